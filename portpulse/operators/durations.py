@@ -98,6 +98,7 @@ def timeline(
     windows: DataFrame | None = None,
     statuses: Sequence[str] = STATUSES,
     carry_idle_ports: bool = False,
+    keep_first_seen: bool = False,
 ) -> DataFrame:
     """Per port, the moments its status changed inside the period, in order.
 
@@ -107,6 +108,10 @@ def timeline(
 
     ``ports`` lists the ports of interest with their operator; the outage rows are
     made from it, and a port without log rows drops out again.
+
+    A port needs a lower bound: a row carried in and one inside the period, or two
+    inside. ``carry_idle_ports`` keeps a port with a carried row only,
+    ``keep_first_seen`` one with a single row inside.
     """
     lo_s, hi_s = seconds_of(lo), seconds_of(hi)
     if windows is not None:
@@ -158,7 +163,9 @@ def timeline(
     carried = F.max(F.when(logged & (F.col("_us") <= lo_s * 1_000_000), 1)).over(port)
     inside = F.sum("_inside").over(port)
     alive = F.max(F.when(logged & F.col("_us").isNotNull(), 1)).over(port)
-    bounded = (inside >= 2) | (carried.isNotNull() & (inside >= (0 if carry_idle_ports else 1)))
+    bounded = (inside >= (1 if keep_first_seen else 2)) | (
+        carried.isNotNull() & (inside >= (0 if carry_idle_ports else 1))
+    )
     known = F.last(F.when(F.col("_kind") != _OFFLINE, F.col("_code")), ignorenulls=True).over(upto)
     rows = (
         rows.withColumn("_known", known)
@@ -174,7 +181,7 @@ def timeline(
         .withColumn(
             "_start",
             F.when(~F.col("_new") & (F.col("_us") == first_us), F.lit(lo_minute).cast("bigint"))
-            .otherwise(minute_s),
+            .otherwise(F.least(minute_s, F.lit(hi_s).cast("bigint"))),
         )
         .withColumn("_end", F.coalesce(F.lead("_start").over(ordered), F.lit(hi_s).cast("bigint")))
     )
@@ -182,7 +189,12 @@ def timeline(
 
 
 def amended_events(rows: DataFrame, hi: datetime, statuses: Sequence[str] = STATUSES) -> DataFrame:
-    """The timeline as log rows, with each port's last status repeated at the end."""
+    """The timeline as log rows, with each port's last status repeated at the end.
+
+    One row per port and minute: what a later row of the same minute overrides has no
+    length and is left out.
+    """
+    rows = rows.where(F.col("_end") > F.col("_start"))
     port = Window.partitionBy(*PORT_KEYS).orderBy("_us", "_kind")
     hi_s = F.lit(seconds_of(hi)).cast("bigint")
     last = F.lead("_start").over(port).isNull()
