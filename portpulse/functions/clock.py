@@ -6,7 +6,8 @@ cluster's settings.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -95,6 +96,56 @@ def local_time(ts: Column, state: Column) -> Column:
     return converted
 
 
+def zone_offsets(zone: str, lo: datetime, hi: datetime) -> list[tuple[datetime, timedelta]]:
+    """UTC offsets of a zone between two UTC moments: (valid from, offset)."""
+    info = ZoneInfo(zone)
+
+    def offset(at: datetime) -> timedelta:
+        return at.replace(tzinfo=timezone.utc).astimezone(info).utcoffset() or timedelta(0)
+
+    steps = [(lo, offset(lo))]
+    at = lo
+    while at < hi:
+        following = min(at + timedelta(days=1), hi)
+        if offset(following) != offset(at):
+            before, after = at, following
+            while after - before > timedelta(minutes=1):
+                middle = before + (after - before) / 2
+                if offset(middle) == offset(at):
+                    before = middle
+                else:
+                    after = middle
+            moment = after.replace(second=0, microsecond=0)
+            steps.append((moment, offset(following)))
+        at = following
+    return steps
+
+
+def local_time_between(
+    ts: Column, state: Column, start: datetime | str, end: datetime | str
+) -> Column:
+    """:func:`local_time` for rows whose local time is between two dates.
+
+    A zone's offset changes at most a few times in such a range, so the conversion is
+    a comparison and an addition per row instead of calendar arithmetic. Rows outside
+    the range get a time that is outside it too.
+    """
+    lo, hi = to_datetime(start) - timedelta(days=2), to_datetime(end) + timedelta(days=2)
+    converted = ts
+    for zone in sorted(set(STATE_TIMEZONES.values())):
+        states = [s for s, z in STATE_TIMEZONES.items() if z == zone]
+        steps = zone_offsets(zone, lo, hi)
+        local = _shifted(ts, steps[0][1])
+        for moment, offset in steps[1:]:
+            local = F.when(ts >= ntz(moment), _shifted(ts, offset)).otherwise(local)
+        converted = F.when(state.isin(states), local).otherwise(converted)
+    return converted
+
+
+def _shifted(ts: Column, offset: timedelta) -> Column:
+    return ts + F.expr(f"INTERVAL '{int(offset.total_seconds() // 60)}' MINUTE")
+
+
 def week_of_month(ts: Column) -> Column:
     return F.floor((F.dayofmonth(ts) - 1) / 7).cast("int") + 1
 

@@ -341,19 +341,22 @@ def long_durations(
 ) -> DataFrame:
     """Dense table in long form: one row per port, bucket and status, and Total.
 
-    ``only`` is an array of the statuses to keep, e.g. :func:`observed_statuses`.
+    ``only`` names the statuses to keep besides Unknown and Total, as
+    :func:`observed_statuses` gives them.
     """
     values = [*statuses, TOTAL]
     ids = [c for c in dense.columns if c not in values]
     long = dense.unpivot(ids, values, "status", "status_duration")
     if only is not None:
         status = F.col("status")
-        long = long.where(status.isin(UNKNOWN, TOTAL) | F.array_contains(only, status))
+        code = F.array_position(F.lit(list(statuses)), status).cast("bigint") - 1
+        long = long.where(status.isin(UNKNOWN, TOTAL) | F.array_contains(only, code))
     return long
 
 
-def observed_statuses(rows: DataFrame, statuses: Sequence[str] = STATUSES) -> Column:
-    return F.transform(_seen(rows)["codes"], lambda c: status_of(c, statuses))
+def observed_statuses(rows: DataFrame) -> Column:
+    """The codes of the statuses that occur in a timeline, as a scalar."""
+    return _seen(rows)["codes"]
 
 
 def fill_residual(

@@ -17,6 +17,8 @@ from portpulse.schema import (
 )
 
 EARTH_RADIUS_KM = 6371
+# Parts a match group is spread over before its nearest ports are known.
+_SPREAD = 32
 MATCH_KEYS = ["state", "postcode", "cpo_name", "suburb"]
 
 
@@ -101,7 +103,11 @@ def planar_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
 def funded_candidates(
     location: DataFrame, funded: DataFrame, trim_keys: bool = False
 ) -> DataFrame:
-    """Ports that share the match keys with a funded site, with their distance."""
+    """Ports that share the match keys with a funded site, with their distance.
+
+    A crowded match group is spread over ``_SPREAD`` parts, each of which meets a copy
+    of the group's one funded site.
+    """
 
     def key(name: str) -> Column:
         text = F.coalesce(F.col(name).cast("string"), F.lit("nan"))
@@ -119,7 +125,7 @@ def funded_candidates(
         ),
         MATCH_KEYS,
         ["_f_address", "_f_lga", "_f_lat", "_f_lon"],
-    )
+    ).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))))
     ports = location.select(
         "evse_id",
         "evse_port_id",
@@ -128,8 +134,9 @@ def funded_candidates(
         "latitude",
         "longitude",
         *[key(k).alias(k) for k in MATCH_KEYS],
+        F.pmod(F.xxhash64("evse_id", "evse_port_id"), F.lit(_SPREAD)).cast("int").alias("_part"),
     )
-    return ports.join(sites, MATCH_KEYS).withColumn(
+    return ports.join(sites, [*MATCH_KEYS, "_part"]).withColumn(
         "distance_km",
         planar_km(F.col("latitude"), F.col("longitude"), F.col("_f_lat"), F.col("_f_lon")),
     )
@@ -142,23 +149,20 @@ def match_funded_sites(
 
     A port is funded if it is one of the two ports nearest to the funded site among
     those with the same match keys, and shares a word with it in area or address.
-    Keeping two per group is a limit inside the group, which Spark applies on both
-    sides of the shuffle, so a crowded group does not gather in one task.
+    The two nearest are taken in each part of a group first, then among those.
     """
-    group = Window.partitionBy(*MATCH_KEYS).orderBy("distance_km", "evse_id", "evse_port_id")
-    nearest = (
-        funded_candidates(location, funded, trim_keys)
-        .withColumn("_n", F.row_number().over(group))
-        .where(F.col("_n") <= 2)
-        .where(
-            share_a_word(F.col("lga_name"), F.col("_f_lga"))
-            | share_a_word(F.col("address"), F.col("_f_address"))
-        )
-        .select(
-            "evse_id",
-            "evse_port_id",
-            program_label(F.col("program"), F.col("round")).alias("_label"),
-        )
+    order = ["distance_km", "evse_id", "evse_port_id"]
+    candidates = funded_candidates(location, funded, trim_keys)
+    for group in ([*MATCH_KEYS, "_part"], MATCH_KEYS):
+        nth = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        candidates = candidates.withColumn("_n", nth).where(F.col("_n") <= 2)
+    nearest = candidates.where(
+        share_a_word(F.col("lga_name"), F.col("_f_lga"))
+        | share_a_word(F.col("address"), F.col("_f_address"))
+    ).select(
+        "evse_id",
+        "evse_port_id",
+        program_label(F.col("program"), F.col("round")).alias("_label"),
     )
     return (
         location.join(nearest, ["evse_id", "evse_port_id"], "left")

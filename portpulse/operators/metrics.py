@@ -8,12 +8,19 @@ every shuffle, and metrics and rates are row arithmetic.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from portpulse.functions.clock import bucket_start, local_time, midnight, ntz
+from portpulse.functions.clock import (
+    bucket_start,
+    local_time,
+    local_time_between,
+    midnight,
+    ntz,
+    to_datetime,
+)
 from portpulse.functions.rates import metric_seconds, rate
 from portpulse.functions.scale import all_not_null
 from portpulse.schema import (
@@ -50,9 +57,24 @@ def dashboard_names(fact: DataFrame) -> DataFrame:
 
 
 def in_local_time(df: DataFrame, column: str = "interval") -> DataFrame:
+    """UTC -> local wall-clock time of the row's state; unknown states stay on UTC."""
     return df.withColumn(column, local_time(F.col(column), F.col("state")))
 
 
+def local_between_dates(
+    df: DataFrame, start: datetime | str, end: datetime | str, column: str = "interval"
+) -> DataFrame:
+    """Rows whose local time is between two moments, both inclusive, in local time.
+
+    The coarse bounds on the UTC column reach the scan.
+    """
+    margin = timedelta(days=1)
+    at = F.col(column)
+    coarse = at.between(ntz(to_datetime(start) - margin), ntz(to_datetime(end) + margin))
+    local = local_time_between(at, F.col("state"), start, end)
+    return between_dates(df.where(coarse).withColumn(column, local), start, end)
+
+
 def between_dates(df: DataFrame, start: datetime | str, end: datetime | str) -> DataFrame:
     """Both bounds inclusive; an end given as a date means its midnight only."""
     return df.where(F.col("interval").between(ntz(start), ntz(end)))
@@ -109,24 +131,26 @@ def month_starts(df: DataFrame, column: str) -> DataFrame:
         F.make_date(F.max(F.year(column)) + 1, F.lit(1), F.lit(1)).alias("hi"),
     )
     step = F.make_ym_interval(F.lit(0), F.lit(1))
-    return bounds.select(
-        midnight(F.explode(F.sequence("lo", "hi", step))).alias("month_start")
-    )
+    months = bounds.select(F.explode(F.sequence("lo", "hi", step)).alias("month_start"))
+    return months.select(midnight(F.col("month_start")).alias("month_start"))
 
 
 def evse_level(fact: DataFrame, statuses: Sequence[str] = STATUSES) -> DataFrame:
     """Port rows -> charger rows: summed seconds and the number of distinct ports."""
-    return _with_port_count(fact, [*EVSE_KEYS, "interval"], ["evse_port_id"], PORT_COUNT, statuses)
+    keys = [*EVSE_KEYS, "interval"]
+    return _with_port_count(fact, keys, "evse_id", ["evse_port_id"], PORT_COUNT, statuses)
 
 
 def site_level(fact: DataFrame, statuses: Sequence[str] = STATUSES) -> DataFrame:
     """Port rows -> site rows, the report's input, with distinct ports per interval."""
-    return _with_port_count(fact, [*SITE_KEYS, "interval"], PORT_KEYS, SITE_PORT_COUNT, statuses)
+    keys = [*SITE_KEYS, "interval"]
+    return _with_port_count(fact, keys, "address", PORT_KEYS, SITE_PORT_COUNT, statuses)
 
 
 def _with_port_count(
     fact: DataFrame,
     keys: Sequence[str],
+    spread: str,
     port: Sequence[str],
     name: str,
     statuses: Sequence[str],
@@ -134,11 +158,14 @@ def _with_port_count(
     """Sums plus a distinct count, null keys dropped.
 
     Ports are folded first and counted next, so neither step holds a set of ports
-    per group in memory.
+    per group in memory. Both steps share one shuffle on a part of their keys; the
+    interval in it spreads a crowded charger or site over as many tasks as there
+    are half hours.
     """
     values = [*statuses, TOTAL]
     per_port = (
         fact.where(all_not_null(keys))
+        .repartition(spread, "interval")
         .groupBy(*keys, *[c for c in port if c not in keys])
         .agg(*[F.sum(v).alias(v) for v in values])
     )

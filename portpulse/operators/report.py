@@ -28,19 +28,32 @@ def _shares(statuses: Sequence[str]) -> list[Column]:
     return [rate(v, statuses).alias(share(v)) for v in [*METRICS, *statuses]]
 
 
+def latest_interval(df: DataFrame) -> Column:
+    """The last interval of a table, as a scalar; of a plain scan it is cheap."""
+    return df.select(F.max("interval")).scalar()
+
+
+def interval_count(df: DataFrame) -> Column:
+    return df.select(F.count_distinct("interval")).scalar()
+
+
 def snapshot(
-    sites: DataFrame, groups: Sequence[str], statuses: Sequence[str] = STATUSES
+    sites: DataFrame,
+    groups: Sequence[str],
+    latest: Column | None = None,
+    statuses: Sequence[str] = STATUSES,
 ) -> DataFrame:
     """Shares of time per group, plus the same without the operator as ``Overall``.
 
     ``value`` is the number of ports at the latest interval, ``evse_port_site_count``
     its sum over time. Both levels and the port count come from one aggregation over
-    grouping sets, after the rows of a group have been summed.
+    grouping sets, after the rows of a group have been summed. ``latest`` may come from
+    the table the sites were made of, which saves making them twice.
     """
     groups = list(groups)
     others = [g for g in groups if g != "cpo_name"]
     values = [*statuses, TOTAL, SITE_PORT_COUNT]
-    latest = sites.where(F.col("Total").isNotNull()).select(F.max("interval")).scalar()
+    latest = latest_interval(sites) if latest is None else latest
     base = (
         sites.where(all_not_null(groups))
         .groupBy(*groups)
@@ -61,10 +74,12 @@ def snapshot(
     return rows.select(*groups, SITE_PORT_COUNT, *_shares(statuses), "value")
 
 
-def site_report(sites: DataFrame, statuses: Sequence[str] = STATUSES) -> DataFrame:
+def site_report(
+    sites: DataFrame, intervals: Column | None = None, statuses: Sequence[str] = STATUSES
+) -> DataFrame:
     """Shares in percent per site over the whole period, and its mean port count."""
     values = [*statuses, TOTAL, SITE_PORT_COUNT]
-    intervals = sites.select(F.count_distinct("interval")).scalar()
+    intervals = interval_count(sites) if intervals is None else intervals
     rows = (
         sites.where(all_not_null(SITE_KEYS))
         .groupBy(*SITE_KEYS)

@@ -6,6 +6,8 @@ floating-point columns are rounded, so that results can be compared across engin
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,11 +65,30 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 # --- shared inputs ---------------------------------------------------------
-def _location(spark: SparkSession, sf_dir: str, funded: bool = True) -> DataFrame:
+# The batch job writes its tables once and everything else reads them. Kept per
+# session and folder: where a table has been written to.
+_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored(build: Query) -> Query:
+    """Write a table on first use and read it from then on."""
+
+    @functools.wraps(build)
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+        if key not in _WRITTEN:
+            _WRITTEN[key] = settle(build(spark, sf_dir))
+        return _WRITTEN[key]
+
+    return read
+
+
+@stored
+def _location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly.prepared_location(
         sample.location(spark, sf_dir),
         sample.REQUIRED_STATES,
-        sample.funded_sites(spark, sf_dir) if funded else None,
+        sample.funded_sites(spark, sf_dir),
     )
 
 
@@ -80,13 +101,14 @@ def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _timeline(spark: SparkSession, sf_dir: str, windows: bool = True) -> DataFrame:
     return monthly.port_timeline(
         sample.status_log(spark, sf_dir),
-        _location(spark, sf_dir, funded=False),
+        _location(spark, sf_dir),
         sample.outages(spark, sf_dir) if windows else None,
         PERIOD,
     )
 
 
-def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _new_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table derived from the log."""
     return monthly.fact_table(
         sample.status_log(spark, sf_dir),
         _location(spark, sf_dir),
@@ -95,6 +117,11 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
+def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _new_fact(spark, sf_dir)
+
+
 def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.load(_fact(spark, sf_dir), LOAD_FROM, LOAD_TO)
 
@@ -103,16 +130,23 @@ def _evse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.evse_level(_loaded(spark, sf_dir))
 
 
-def _sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.site_level(metrics.dashboard_names(_fact(spark, sf_dir)))
+def _report_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.dashboard_names(_fact(spark, sf_dir))
+
+
+def _snapshot(
+    spark: SparkSession, sf_dir: str, groups: Sequence[str], funding: str = "all"
+) -> DataFrame:
+    fact = _report_fact(spark, sf_dir).where(metrics.funding_filter(funding))
+    return report.snapshot(metrics.site_level(fact), groups, report.latest_interval(fact))
 
 
 def _areas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.snapshot(_sites(spark, sf_dir), ["lga_name", "cpo_name"])
+    return _snapshot(spark, sf_dir, ["lga_name", "cpo_name"])
 
 
 def _operators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.snapshot(_sites(spark, sf_dir), ["cpo_name"])
+    return _snapshot(spark, sf_dir, ["cpo_name"])
 
 
 def _day(column: str) -> Column:
@@ -156,7 +190,7 @@ def outage_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def outage_synthetic_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo, hi = PERIOD.bounds
-    ports = _location(spark, sf_dir, funded=False)
+    ports = _location(spark, sf_dir)
     log = history.restrict_ports(sample.status_log(spark, sf_dir), ports)
     return outages.with_outage_rows(history.history_window(log, lo, hi), _windows(spark, sf_dir))
 
@@ -212,7 +246,7 @@ def residual_unknown_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 def operator_status_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How long each operator's equipment was in each status."""
     per_cpo = (
-        _fact(spark, sf_dir)
+        _new_fact(spark, sf_dir)
         .groupBy("cpo_name")
         .agg(*[F.sum(s).alias(s) for s in [*STATUSES, TOTAL]])
     )
@@ -341,7 +375,7 @@ def funding_area_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = chosen.groupBy("lga_name", "cpo_name", "government_funded", "postcode").agg(
         F.count("*").alias("intervals"), F.sum("Charging").alias("charging")
     )
-    return metrics.suburb_names(counts, _location(spark, sf_dir, funded=False))
+    return metrics.suburb_names(counts, _location(spark, sf_dir))
 
 
 @query
@@ -514,25 +548,18 @@ def report_area_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def report_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(report.site_report(_sites(spark, sf_dir)))
-
-
-def _funded_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sites(spark, sf_dir).where(metrics.funding_filter("funded"))
+    fact = _report_fact(spark, sf_dir)
+    return rounded(report.site_report(metrics.site_level(fact), report.interval_count(fact)))
 
 
 @query
 def funded_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(
-        report.snapshot(_funded_sites(spark, sf_dir), ["cpo_name", "government_funded"])
-    )
+    return rounded(_snapshot(spark, sf_dir, ["cpo_name", "government_funded"], "funded"))
 
 
 @query
 def funded_area_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    areas = report.snapshot(
-        _funded_sites(spark, sf_dir), ["cpo_name", "lga_name", "government_funded"]
-    )
+    areas = _snapshot(spark, sf_dir, ["cpo_name", "lga_name", "government_funded"], "funded")
     uptime = report.funded_uptime_table(areas)
     unavailable = report.funded_unavailability_table(areas).drop("value")
     return rounded(uptime.join(unavailable, ["government_funded", "lga_name", "cpo_name"]))
@@ -625,7 +652,7 @@ def clean_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def area_operator_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    location = _location(spark, sf_dir, funded=False)
+    location = _location(spark, sf_dir)
     areas = location.select(F.lit("area").alias("kind"), F.col("lga_name").alias("name"))
     operators = location.select(F.lit("operator").alias("kind"), F.col("cpo_name").alias("name"))
     return areas.unionByName(operators).distinct().orderBy("kind", "name")
@@ -641,8 +668,6 @@ def session_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- sources and sinks -----------------------------------------------------
 def _scratch(spark: SparkSession, name: str) -> str:
-    import uuid
-
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -650,7 +675,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact table in long form, written per state and month and read back for one state."""
     path = _scratch(spark, "fact")
-    writers.write_fact(durations.long_durations(_fact(spark, sf_dir)), path)
+    writers.write_fact(durations.long_durations(_new_fact(spark, sf_dir)), path)
     return (
         readers.read_fact(spark, path, "VIC", "2024-01-01", "2024-01-31")
         .groupBy("state", "year", "month", "status")

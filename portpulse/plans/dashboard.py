@@ -20,8 +20,8 @@ def load(
     """Local time, date range, and no area that would reveal a single operator."""
     if state is not None:
         fact = fact.where(fact["state"] == state)
-    local = metrics.in_local_time(metrics.dashboard_names(fact))
-    return privacy.hide_single_operator_areas(metrics.between_dates(local, start, end))
+    local = metrics.local_between_dates(metrics.dashboard_names(fact), start, end)
+    return privacy.hide_single_operator_areas(local)
 
 
 def filtered_rollup(

@@ -34,12 +34,12 @@ def prepared_location(
 ) -> DataFrame:
     """State from the postcode, required states only, funding program.
 
-    Written once, because every later step reads it.
+    Several later steps read it, so the caller had better write it once.
     """
     ready = places.in_required_states(places.with_postcode_state(location), required_states)
     if funded is not None:
         ready = places.match_funded_sites(ready, funded)
-    return settle(ready)
+    return ready
 
 
 def port_timeline(

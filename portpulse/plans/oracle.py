@@ -283,7 +283,7 @@ agg_{name} AS (
   FROM {source} GROUP BY {k}interval),
 day_{name} AS (
   SELECT *, min(date_trunc('day', interval)) OVER (PARTITION BY {series}) AS first_day FROM agg_{name}),
-bin_{name} AS (SELECT {series}, {bin_sql}::TIMESTAMP AS b, {sums} FROM day_{name} GROUP BY {series}, b),
+bin_{name} AS (SELECT {series}, CAST({bin_sql} AS TIMESTAMP) AS b, {sums} FROM day_{name} GROUP BY {series}, b),
 all_{name} AS (
   SELECT {series}, unnest(generate_series(min(b), max(b), {step})) AS b
   FROM bin_{name} GROUP BY {series}),
@@ -376,8 +376,8 @@ grid AS (
   SELECT {PORT}, unnest(generate_series(a, {HI} - INTERVAL 30 SECOND, INTERVAL 30 SECOND)) AS g
   FROM span),
 filled AS (
-  SELECT grid.evse_id, grid.evse_port_id, g, status
-  FROM grid ASOF JOIN tl ON grid.evse_id = tl.evse_id AND grid.evse_port_id = tl.evse_port_id AND g >= t0)""",
+  SELECT {PORT}, g, last_value(status IGNORE NULLS) OVER (PARTITION BY {PORT} ORDER BY g) AS status
+  FROM grid LEFT JOIN (SELECT {PORT}, t0 AS g, status FROM tl) USING ({PORT}, g))""",
     ],
     f"""SELECT {PORT}, time_bucket(INTERVAL 30 MINUTE, g) AS update_time, status,
     CAST(count(*) * 30 AS BIGINT) AS status_duration FROM filled GROUP BY ALL""",

@@ -20,7 +20,7 @@ def split_by_day(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def stream_log(
-    spark: SparkSession, sf_dir: str, path: str, files_per_batch: int = 10
+    spark: SparkSession, sf_dir: str, path: str, files_per_batch: int = 16
 ) -> DataFrame:
     """Streaming status log over event files under ``path``."""
     events = (

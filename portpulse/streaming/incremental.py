@@ -46,7 +46,7 @@ class Store:
     path: str
     statuses: Sequence[str] = tuple(STATUSES)
     # Fixed for the life of a store; a day of one shard is written by one task.
-    shards: int = 16
+    shards: int = 4
 
     def _read(self, name: str) -> DataFrame | None:
         try:
