@@ -171,9 +171,10 @@ dense AS (
   UNION ALL SELECT DISTINCT {PORT}, update_time, 'Total', 1800::BIGINT FROM dense2)"""
 
 
-def _sums(value: str, variable: str, names: list[str], cast: bool = True) -> str:
+def _sums(value: str, variable: str, names: list[str], absent: str = "NULL") -> str:
     return ",\n         ".join(
-        f"CAST(sum({value}) FILTER ({variable} = '{n}') AS BIGINT) AS \"{n}\"" for n in names
+        f"CAST(coalesce(sum({value}) FILTER ({variable} = '{n}'), {absent}) AS BIGINT) AS \"{n}\""
+        for n in names
     )
 
 
@@ -182,7 +183,7 @@ FACT = f"""
 fact AS (
   SELECT {PORT}, update_time AS interval, cpo_name, address, suburb, postcode, lga_name, state,
          latitude, longitude, power, government_funded, w.* EXCLUDE ({PORT}, update_time)
-  FROM (SELECT {PORT}, update_time, {_sums('status_duration', 'status', WIDE)}
+  FROM (SELECT {PORT}, update_time, {_sums('status_duration', 'status', WIDE, absent='0')}
         FROM dense GROUP BY ALL) w
   JOIN loc USING ({PORT}))"""
 

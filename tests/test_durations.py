@@ -167,7 +167,7 @@ def by_grid(rows, windows):
     ports = defaultdict(list)
     for e, p, c, s, t in rows:
         ports[(e, p, c)].append((t, s))
-    sums, frames = defaultdict(int), {}
+    sums = defaultdict(int)
     for key, log in ports.items():
         log = sorted(r for r in log if r[0] <= HI)
         before = [r for r in log if r[0] <= LO]
@@ -195,11 +195,10 @@ def by_grid(rows, windows):
         tick, state = min(moments), None
         while tick < HI:
             state = moments.get(tick, state)
-            bucket = tick - timedelta(minutes=tick.minute % 30)
+            bucket = tick.replace(second=0) - timedelta(minutes=tick.minute % 30)
             sums[(key[1], bucket, state)] += 30
             tick += timedelta(seconds=30)
-        frames[key[1]] = new
-    return {k: v for k, v in sums.items()}
+    return dict(sums)
 
 
 @pytest.mark.parametrize("seed", range(4))

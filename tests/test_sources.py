@@ -22,7 +22,7 @@ def test_missing_and_malformed_files_are_errors(spark, tmp_path):
         readers.read_csv(spark, str(tmp_path / "none.csv"), schema.REQUIRED_STATES).collect()
     bad = tmp_path / "bad.csv"
     bad.write_text("lga_code,lat,lon,lga_name\nx,y,z,Town\n")
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="FAILFAST|FAILED_READ_FILE"):
         readers.read_csv(spark, str(bad), schema.AREA_CENTROIDS).collect()
 
 
