@@ -137,16 +137,21 @@ def timeline(
                 F.lit(_OFFLINE).alias("kind"),
             ),
         )
+        # As in the log, only the last edge of a kind in a minute can matter.
+        minutes = (
+            windows.select("cpo_name", F.explode(edges).alias("_e"))
+            .groupBy("cpo_name", "_e.kind", "_e.code", whole_minutes(F.col("_e.us")).alias("_m"))
+            .agg(F.max("_e.us").alias("_us"))
+        )
         added = (
             ports.select(*CPO_PORT)
-            .join(windows, "cpo_name")
-            .select(*CPO_PORT, F.explode(edges).alias("_e"))
+            .join(minutes, "cpo_name")
             .select(
                 *CPO_PORT,
-                F.col("_e.us").alias("_us"),
-                F.col("_e.code").alias("_code"),
+                "_us",
+                F.col("code").alias("_code"),
                 F.lit(0).cast("bigint").alias("_inside"),
-                F.col("_e.kind").alias("_kind"),
+                F.col("kind").alias("_kind"),
             )
         )
         rows = rows.unionByName(added)

@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from portpulse.functions.clock import epoch_minute, ntz
-from portpulse.schema import MISSING, PORT_KEYS
+from portpulse.functions.clock import bucket_second, epoch_minute, epoch_second, ntz
+from portpulse.schema import BUCKET_SECONDS, MISSING, PORT_KEYS
 
 CPO_PORT = ["cpo_name", *PORT_KEYS]
 
@@ -22,23 +22,34 @@ def closed_windows(windows: DataFrame, hi: datetime) -> DataFrame:
     )
 
 
-def windows_by_day(windows: DataFrame) -> DataFrame:
-    """One row per operator and day with the windows that touch that day.
+def windows_by_half_hour(windows: DataFrame) -> DataFrame:
+    """One row per operator and half hour with the windows that touch it.
 
-    Keyed by day so that the join with the log is an equi-join whose right key is
-    unique: each log row meets at most one short array, and a busy operator's rows
-    spread over as many keys as there are days.
+    Keyed by half hour so that the join with the log is an equi-join whose right key
+    is unique: each log row meets at most one short array, and a busy operator's rows
+    spread over as many keys as the period has half hours. Overlapping windows cover
+    the same moments as one long window, so they are merged first, which keeps the
+    arrays short however many outages are reported.
     """
-    days = F.sequence(
-        F.col("offline_timestamp").cast("date"), F.col("online_timestamp").cast("date")
+    begin, end = F.col("offline_timestamp"), F.col("online_timestamp")
+    touched = F.sequence(
+        bucket_second(epoch_second(begin)),
+        bucket_second(epoch_second(end)),
+        F.lit(BUCKET_SECONDS).cast("bigint"),
     )
+    key = ["cpo_name", "_bucket"]
+    ordered = Window.partitionBy(*key).orderBy("offline_timestamp", "online_timestamp")
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     return (
-        windows.where(F.col("online_timestamp") >= F.col("offline_timestamp"))
-        .select("*", F.explode(days).alias("_day"))
-        .groupBy("cpo_name", "_day")
-        .agg(
-            F.collect_list(F.struct("offline_timestamp", "online_timestamp")).alias("_windows")
-        )
+        windows.where(end > begin)
+        .select("*", F.explode(touched).alias("_bucket"))
+        .withColumn("_before", F.max("online_timestamp").over(earlier))
+        .withColumn("_starts", F.when(begin < F.col("_before"), 0).otherwise(1))
+        .withColumn("_run", F.sum("_starts").over(ordered))
+        .groupBy(*key, "_run")
+        .agg(F.min("offline_timestamp").alias("off"), F.max("online_timestamp").alias("on"))
+        .groupBy(*key)
+        .agg(F.collect_list(F.struct("off", "on")).alias("_windows"))
     )
 
 
@@ -47,16 +58,16 @@ def flag_in_outage(log: DataFrame, windows: DataFrame, flag: str) -> DataFrame:
     ts = F.col("update_time")
 
     def covers(w: Column) -> Column:
-        return (ts > w["offline_timestamp"]) & (ts < w["online_timestamp"])
+        return (ts > w["off"]) & (ts < w["on"])
 
     return (
-        log.withColumn("_day", ts.cast("date"))
-        .join(windows_by_day(windows), ["cpo_name", "_day"], "left")
+        log.withColumn("_bucket", bucket_second(epoch_second(ts)))
+        .join(windows_by_half_hour(windows), ["cpo_name", "_bucket"], "left")
         .withColumn(
             flag,
             F.when(F.col("_windows").isNull(), False).otherwise(F.exists("_windows", covers)),
         )
-        .drop("_day", "_windows")
+        .drop("_bucket", "_windows")
     )
 
 

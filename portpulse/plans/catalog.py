@@ -288,7 +288,8 @@ def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lga_name",
         "postcode",
         F.substring("evse_id", 2, 20).cast("bigint").alias("n"),
-    ).dropDuplicates(["latitude", "longitude"])
+    )
+    chargers = places.first_per_key(chargers, ["latitude", "longitude"], ["n"])
     n = F.col("n")
 
     def part(long_name: Column, short_name: Column, *kinds: str) -> Column:
@@ -465,6 +466,14 @@ def rollup_by_cpo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(metrics.standing_rollups(funded, "1440min", funded_only=True)["cpo"])
 
 
+@query
+def rollup_of_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's choice of areas, operators and funding, all operators together."""
+    return rounded(
+        dashboard.filtered_rollup(_evse(spark, sf_dir), [], "10080min", AREAS, CPOS, "not_funded")
+    )
+
+
 @query
 def rollup_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(metrics.rollup(_evse(spark, sf_dir), metrics.SITE_ROLLUP, "1440min"))
@@ -731,8 +740,13 @@ def boundary_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -------------------------------------------------------------
 @query
 def live_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return live.latest_status_of_folder(spark, sf_dir, _scratch(spark, "live"))
+
+
+@query
+def live_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = live.latest_status_of_folder(spark, sf_dir, _scratch(spark, "live"))
-    return latest.groupBy("cpo_name", "status").agg(F.count("*").alias("ports"))
+    return live.availability(latest, _location(spark, sf_dir))
 
 
 @query

@@ -535,6 +535,18 @@ ORACLE["rollup_by_cpo"] = text(
     ],
     "SELECT * FROM rolled",
 )
+ORACLE["rollup_of_areas"] = text(
+    [
+        *TO_EVSE,
+        """
+chosen AS (
+  SELECT * FROM evse WHERE lga_name IN ('LGA 0', 'LGA 1', 'LGA 2', 'LGA 3', 'LGA 4')
+    AND cpo_name IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD')
+    AND government_funded = 'not_funded')""",
+        _rolled([], "10080min", "chosen"),
+    ],
+    "SELECT * FROM rolled",
+)
 SITE_ROLLUP = ["cpo_name", "address", "suburb", "postcode", "latitude", "longitude"]
 ORACLE["rollup_by_site"] = text(
     [*TO_EVSE, _rolled(SITE_ROLLUP, "1440min")],
@@ -847,11 +859,15 @@ ORACLE["partitioned_roundtrip"] = text(
 ORACLE["boundary_read"] = text(
     [TABLES], "SELECT address AS area_name, postcode, true AS drawn FROM site"
 )
-ORACLE["live_latest_status"] = text(
-    [TABLES],
-    f"""SELECT cpo_name, status, count(*) AS ports
-    FROM (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY {PORT} ORDER BY update_time DESC) = 1)
-    GROUP BY ALL""",
+LATEST = f"""
+latest AS (SELECT * FROM log
+  QUALIFY row_number() OVER (PARTITION BY {PORT} ORDER BY update_time DESC) = 1)"""
+ORACLE["live_latest_status"] = text([TABLES, LATEST], "SELECT * FROM latest")
+ORACLE["live_availability"] = text(
+    [TABLES, LATEST],
+    f"""SELECT loc1.cpo_name, lga_name, count(*) AS ports,
+    count(*) FILTER (status = 'Available') AS available_ports
+    FROM latest JOIN loc1 USING ({PORT}) GROUP BY ALL""",
 )
 ORACLE["incremental_durations"] = text(
     [
