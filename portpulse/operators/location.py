@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from portpulse.functions.scale import settle
 from portpulse.functions.text import program_label, share_a_word
 from portpulse.schema import (
     ACT_LOCALITIES,
@@ -136,7 +137,8 @@ def funded_candidates(
         *[key(k).alias(k) for k in MATCH_KEYS],
         F.pmod(F.xxhash64("evse_id", "evse_port_id"), F.lit(_SPREAD)).cast("int").alias("_part"),
     )
-    return ports.join(sites, [*MATCH_KEYS, "_part"]).withColumn(
+    # Settled, because the copies are not in Spark's estimate of the table's size.
+    return ports.join(settle(sites), [*MATCH_KEYS, "_part"]).withColumn(
         "distance_km",
         planar_km(F.col("latitude"), F.col("longitude"), F.col("_f_lat"), F.col("_f_lon")),
     )

@@ -269,7 +269,7 @@ def cpo_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
         dirty,
         {"BUILDING": places.id_before_dash, "HOUSEHOLD": places.id_before_dash},
         {"MACHINERY": places.needs_postcode},
-    ).select("evse_id", "evse_port_id", "cpo_name", "postcode")
+    ).select("evse_id", "evse_port_id", "cpo_name", F.col("postcode").cast("string").alias("postcode"))
 
 
 @query

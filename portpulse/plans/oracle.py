@@ -420,7 +420,7 @@ ORACLE["cpo_cleaning"] = text(
     [TABLES],
     """SELECT CASE WHEN cpo_name IN ('BUILDING', 'HOUSEHOLD') THEN evse_id
       ELSE evse_id || ' - ' || suburb END AS evse_id, evse_port_id, cpo_name,
-      CASE WHEN user_id % 4 <> 0 THEN postcode END AS postcode
+      CASE WHEN user_id % 4 <> 0 THEN CAST(postcode AS VARCHAR) END AS postcode
     FROM loc0 WHERE user_id % 10 <> 0 AND (cpo_name <> 'MACHINERY' OR user_id % 4 <> 0)""",
 )
 ORACLE["funded_site_match"] = text(

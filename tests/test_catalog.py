@@ -47,6 +47,9 @@ def test_query_equals_its_oracle(spark, other, name):
     result = other.sql(entry.oracle_sql()[name])
     assert sorted(df.columns) == sorted(result.columns)
     assert as_rows(df.columns, df.collect()) == as_rows(result.columns, result.fetchall())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+        assert unwanted not in plan
 
 
 def test_entry(spark):
