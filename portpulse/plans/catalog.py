@@ -412,7 +412,7 @@ def hidden_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def evse_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(metrics.long_variables(_evse(spark, sf_dir)))
+    return metrics.long_variables(rounded(_evse(spark, sf_dir)))
 
 
 @query

@@ -221,3 +221,21 @@ def test_period_bounds():
     lo, hi = period_bounds("2025-05-01", "2025-05-31")
     assert (lo, hi) == (datetime(2025, 4, 30, 13), datetime(2025, 5, 31, 13))
     assert previous_month(datetime(2025, 1, 15)) == (datetime(2024, 12, 1), datetime(2025, 1, 1))
+
+
+def test_chatty_port_is_compacted_before_it_is_ordered(spark, make_log):
+    """A port with most of the log enters the ordered windows with one row per minute."""
+    busy = spark.range(200_000).selectExpr(
+        "'E' as evse_id",
+        "'busy' as evse_port_id",
+        "'A' as cpo_name",
+        "if(id % 2 = 0, 'Charging', 'Available') as status",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 0.1) as update_time",
+    )
+    quiet = make_log([("E", "quiet", "A", "Reserved", "2023-12-31 10:00:00"), ("E", "quiet", "A", "Reserved", day("01:00:00"))])
+    log = busy.unionByName(quiet)
+    compact = durations.compact_log(log, LO, HI, None, durations.STATUSES)
+    assert compact.where("evse_port_id = 'busy'").count() == 200_000 // 600 + 2
+    result = observed(log)
+    assert total(result, "Reserved") == 6 * 3600
+    assert total(result, "Charging") + total(result, "Available") == 6 * 3600
