@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from portpulse.llm.bpe import op7_bpe
+from portpulse.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from portpulse.llm.packing import op2_packing
 from portpulse.llm.substring_dedup import op4_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op4_substring_dedup,)
+    q.__name__: q for q in (op2_packing, op4_substring_dedup, op5_exact_dedup, op7_bpe)
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
