@@ -7,11 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from portpulse.llm.bpe import op7_bpe
+from portpulse.llm.embedding_dedup import op9_embedding_dedup
 from portpulse.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from portpulse.llm.ngram_join import op8_ngram_join
 from portpulse.llm.packing import op2_packing
 from portpulse.llm.substring_dedup import op4_substring_dedup
+from portpulse.llm.toxicity import op10_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_packing, op4_substring_dedup, op5_exact_dedup, op7_bpe)
+    q.__name__: q
+    for q in (
+        op2_packing,
+        op4_substring_dedup,
+        op5_exact_dedup,
+        op7_bpe,
+        op8_ngram_join,
+        op9_embedding_dedup,
+        op10_toxicity,
+    )
 }
 ORACLE: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
