@@ -229,6 +229,31 @@ def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def _tagged(batches: Batches) -> Batches:
+    for b in batches:
+        at = b.num_columns - 1
+        found = pa.array([digest(t) for t in b.column(at).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [*b.columns[:at], found], names=[*b.schema.names[:at], "_digest"]
+        )
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns. Rows are told apart by id and
+    digest, which also spreads the copies of one text over the tasks."""
+    index = live_index(digest_rows(docs, id_col, text_col))
+    rows = docs.select(
+        F.struct(*(F.col(c) for c in docs.columns)).alias("_row"),
+        F.col(id_col).cast("long").alias("_id"),
+        F.col(text_col).alias("_text"),
+    )
+    tagged = rows.mapInArrow(_tagged, rows.drop("_text").schema.add("_digest", "binary"))
+    stay = index.select(F.col("keep_id").alias("_keep"), F.col("digest").alias("_kept"))
+    met = F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_digest") == F.col("_kept"))
+    left = tagged.join(stay, met, "left_semi").dropDuplicates(["_id", "_digest"])
+    return left.select("_row.*")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_copies(table(spark, sf_dir, "documents"))
 

@@ -259,6 +259,55 @@ def similar_texts(
     n-grams and is linked with nothing: it is a class of its own, under its own id. Null
     and repeated ids are allowed; other columns are ignored; an empty table gives none.
     """
+    return _linked(docs, id_col, text_col, n, threshold, recall).select(
+        F.col("id").alias(id_col), "class_id", "n_links", "kept"
+    )
+
+
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    n: int = N,
+    threshold: float = THRESHOLD,
+    recall: float = RECALL,
+) -> DataFrame:
+    """The rows of ``docs`` that ``similar_texts`` keeps, with all their columns."""
+    found = _linked(docs, id_col, text_col, n, threshold, recall)
+    stay = found.where("kept and key is not null").select(
+        F.col("id").alias("_keep"), F.col("key").alias("_kept")
+    )
+    rows = docs.select(
+        F.struct(*(F.col(c) for c in docs.columns)).alias("_row"),
+        F.col(id_col).cast("long").alias("_id"),
+        F.col(text_col).alias("_text"),
+    )
+    tagged = rows.mapInArrow(_tagged(n), rows.drop("_text").schema.add("_key", "binary"))
+    met = F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_key") == F.col("_kept"))
+    left = tagged.join(stay, met, "left_semi").dropDuplicates(["_id", "_key"])
+    return left.unionByName(tagged.where("_key is null")).select("_row.*")
+
+
+def _tagged(n: int):
+    """Replace the text by its set key, null where there are no n-grams."""
+
+    def run(batches: Batches) -> Batches:
+        for b in batches:
+            at = b.num_columns - 1
+            texts, keys = b.column(at).to_pylist(), []
+            for part in slices(texts):
+                keys += [_set_key(g) if len(g) else None for g in _gram_sets(texts[part], n)]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:at], pa.array(keys, pa.binary())], names=[*b.schema.names[:at], "_key"]
+            )
+
+    return run
+
+
+def _linked(
+    docs: DataFrame, id_col: str, text_col: str, n: int, threshold: float, recall: float
+) -> DataFrame:
+    """id, key (null without n-grams), class_id, n_links and kept of every row."""
     bands, rows = bands_and_rows(threshold, recall, SIGNATURE)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     members = settle(
@@ -336,14 +385,15 @@ def similar_texts(
     out = settle(
         members.where("grams > 0")
         .join(per_set, "key")
-        .select("id", "row", "class_key", "class_id", "n_links")
+        .select("id", "row", "key", "class_key", "class_id", "n_links")
     )
     keeper = out.groupBy("class_key").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
-    texts = out.join(keeper.select("class_key", F.col("first.row").alias("first")), "class_key").select(
-        F.col("id").alias(id_col), "class_id", "n_links", (F.col("row") == F.col("first")).alias("kept")
-    )
+    texts = out.join(
+        keeper.select("class_key", F.col("first.row").alias("first")), "class_key"
+    ).select("id", "key", "class_id", "n_links", (F.col("row") == F.col("first")).alias("kept"))
     empty = members.where("grams = 0").select(
-        F.col("id").alias(id_col),
+        "id",
+        F.lit(None).cast("binary").alias("key"),
         F.col("id").alias("class_id"),
         F.lit(0).cast("long").alias("n_links"),
         F.lit(True).alias("kept"),

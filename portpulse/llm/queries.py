@@ -11,19 +11,29 @@ from portpulse.llm.embedding_dedup import op9_embedding_dedup
 from portpulse.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from portpulse.llm.ngram_join import op8_ngram_join
 from portpulse.llm.packing import op2_packing
+from portpulse.llm.quality import op3_quality
 from portpulse.llm.substring_dedup import op4_substring_dedup
 from portpulse.llm.toxicity import op10_toxicity
+from portpulse.llm.url_filter import OP1_SQL, op1_url_filter
+from portpulse.llm.warc import OP6_SQL, op6_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
+        op1_url_filter,
         op2_packing,
+        op3_quality,
         op4_substring_dedup,
         op5_exact_dedup,
+        op6_warc,
         op7_bpe,
         op8_ngram_join,
         op9_embedding_dedup,
         op10_toxicity,
     )
 }
-ORACLE: dict[str, str] = {"op5_exact_dedup": OP5_SQL}
+ORACLE: dict[str, str] = {
+    "op1_url_filter": OP1_SQL,
+    "op5_exact_dedup": OP5_SQL,
+    "op6_warc": OP6_SQL,
+}

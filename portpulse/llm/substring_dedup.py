@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portpulse.functions.scale import settle
@@ -241,37 +241,40 @@ def _indexed(rows: DataFrame, words: int, window: int) -> DataFrame:
     )
 
 
-def _remove(batches: Batches) -> Batches:
-    """Per text: words, removed words, and the words that stay, joined by one blank."""
-    out = pa.schema(
-        [
-            ("id", pa.int64()),
-            ("n_words", pa.int64()),
-            ("n_removed", pa.int64()),
-            ("kept_text", pa.string()),
-        ]
+def _remove(as_given: bool):
+    """Replace a row's text and runs by its number of words, of removed words, and the words
+    that stay, joined by one blank (``as_given``: a text that loses none, as it was)."""
+    tail = pa.schema(
+        [("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())]
     )
-    for b in batches:
-        rows = []
-        texts = b.column(1).to_pylist()
-        for i, text, runs in zip(b.column(0).to_pylist(), texts, b.column(2).to_pylist(), strict=True):
-            words = utf8(text).split()
-            if runs:
-                edge = np.zeros(len(words) + 1, np.int64)
-                for r in runs:
-                    edge[r["from"]] += 1
-                    edge[r["to"]] -= 1
-                keep = np.cumsum(edge[:-1]) == 0
-                stay = [words[k] for k in np.flatnonzero(keep)]
-            else:
-                stay = words
-            kept = b" ".join(stay).decode("utf-8", "surrogatepass")
-            rows.append((i, len(words), len(words) - len(stay), kept))
-            if len(kept) > 1 << 22 or len(rows) >= 1000:
-                yield batch(out, zip(*rows, strict=True))
-                rows = []
-        if rows:
-            yield batch(out, zip(*rows, strict=True))
+
+    def run(batches: Batches) -> Batches:
+        for b in batches:
+            ids, rows = b.column(0), b.column(1)
+            texts, runs = b.column(2).to_pylist(), b.column(3).to_pylist()
+            out = pa.schema([b.schema.field(0), b.schema.field(1), *tail])
+            for part in slices(texts, 1 << 22):
+                found = [_kept(t, r) for t, r in zip(texts[part], runs[part], strict=True)]
+                if as_given:
+                    found = [
+                        f if f[1] else (*f[:2], t) for f, t in zip(found, texts[part], strict=True)
+                    ]
+                at, n = part.start, len(found)
+                yield batch(out, [ids.slice(at, n), rows.slice(at, n), *zip(*found, strict=True)])
+
+    return run
+
+
+def _kept(text: str | None, runs: list | None) -> tuple[int, int, str]:
+    words = utf8(text).split()
+    stay = words
+    if runs:
+        edge = np.zeros(len(words) + 1, np.int64)
+        for r in runs:
+            edge[r["from"]] += 1
+            edge[r["to"]] -= 1
+        stay = [words[k] for k in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
+    return len(words), len(words) - len(stay), b" ".join(stay).decode("utf-8", "surrogatepass")
 
 
 def remove_repeats(
@@ -290,6 +293,39 @@ def remove_repeats(
     windows and lose all of them. Windows are judged on the input. Other columns are
     ignored. An empty table gives an empty result.
     """
+    found = _judged(docs, id_col, text_col, window, gram, F.lit(None).cast("boolean"), False)
+    return found.drop("row").withColumnRenamed("id", id_col)
+
+
+def strip_repeats(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length_col: str | None = None,
+    window: int = WINDOW,
+    gram: int = GRAM,
+) -> DataFrame:
+    """All rows and columns of ``docs``; texts that lose words are replaced by the words
+    that stay (``length_col``, if given, by their length). Others keep their text as it is."""
+    others = [F.col(c) for c in docs.columns if c != text_col]
+    row = F.struct(*others) if others else F.lit(None).cast("boolean")
+    found = _judged(docs, id_col, text_col, window, gram, row, True)
+
+    def column(c: str) -> Column:
+        if c == text_col:
+            return F.col("kept_text")
+        if c == length_col:
+            length = F.length("kept_text").cast(docs.schema[c].dataType)
+            return F.when(F.col("n_removed") > 0, length).otherwise(F.col("row")[c])
+        return F.col("row")[c]
+
+    return found.select(*(column(c).alias(c) for c in docs.columns))
+
+
+def _judged(
+    docs: DataFrame, id_col: str, text_col: str, window: int, gram: int, row: Column, as_given: bool
+) -> DataFrame:
+    """id, row (an expression that is carried along), n_words, n_removed, kept_text."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     repeated = (
         mapped(rows.select("text"), _keys(window, gram), "key long, n long")
@@ -314,7 +350,11 @@ def remove_repeats(
     chosen = chosen.groupBy("id", "text_key").agg(
         F.collect_list(F.struct("key", "segment", "twice", "byte", "bytes")).alias("chosen")
     )
-    keyed = mapped(rows, _with_key, "id long, text_key long, text string")
+    keyed = mapped(
+        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")),
+        _with_key,
+        "id long, text_key long, text string",
+    )
     pieces = settle(
         mapped(
             _matched(keyed, chosen, "inner").select("text", "chosen"),
@@ -365,18 +405,24 @@ def remove_repeats(
             ).alias("runs")
         )
     )
-    return mapped(
-        _matched(keyed, spans, "left").select("id", "text", "runs"),
-        _remove,
-        "id long, n_words long, n_removed long, kept_text string",
-    ).withColumnRenamed("id", id_col)
+    carried = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), row.alias("row")
+    )
+    carried = carried.mapInArrow(
+        _with_key, carried.select("id", F.lit(0).cast("long").alias("text_key"), "text", "row").schema
+    )
+    ready = _matched(carried, spans, "left").select("id", "row", "text", "runs")
+    schema = ready.select("id", "row").schema
+    for name, kind in (("n_words", "long"), ("n_removed", "long"), ("kept_text", "string")):
+        schema = schema.add(name, kind)
+    return ready.mapInArrow(_remove(as_given), schema)
 
 
 def _with_key(batches: Batches) -> Batches:
     for b in batches:
         keys = pa.array([text_key(t) for t in b.column(1).to_pylist()], pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), keys, b.column(1)], names=["id", "text_key", "text"]
+            [b.column(0), keys, *b.columns[1:]], names=["id", "text_key", *b.schema.names[1:]]
         )
 
 

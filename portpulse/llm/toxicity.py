@@ -320,9 +320,11 @@ def labelled_sample(
     return texts.join(mine, F.col("_doc") == F.col("_id")).select("_text", "_label")
 
 
-def scored(docs: DataFrame, grammar: Grammar, text_col: str = "text", *keep: str) -> DataFrame:
-    """Columns ``keep`` of every row, and ``score``: 0 to 1; null and empty texts score as
-    texts without a match. Reads nothing but the text."""
+def scored(
+    docs: DataFrame, grammar: Grammar, text_col: str = "text", *keep: str, into: str = "score"
+) -> DataFrame:
+    """Columns ``keep`` of every row, and the score (0 to 1) under the name ``into``; null
+    and empty texts score as texts without a match. Reads nothing but the text."""
     lexicon, bias, slopes = grammar.lexicon, grammar.bias, grammar.slopes
 
     def run(batches: Batches) -> Batches:
@@ -332,11 +334,11 @@ def scored(docs: DataFrame, grammar: Grammar, text_col: str = "text", *keep: str
             found = [machine.score(t) for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:at], pa.array(found, pa.float64())],
-                names=[*b.schema.names[:at], "score"],
+                names=[*b.schema.names[:at], into],
             )
 
     kept = docs.select(*keep, F.col(text_col).alias("_text"))
-    schema = kept.drop("_text").schema.add("score", "double")
+    schema = kept.drop("_text").schema.add(into, "double")
     return kept.mapInArrow(run, schema)
 
 
