@@ -344,7 +344,10 @@ def _linked(
     )
     one_text = (
         mapped(source.select("text"), _first_texts(n), "key binary, text string")
-        .join(dealt.select(F.col("key"), "root", "copies", "blocks", "block"), "key")
+        # A shuffled join whatever the size: the candidates grow with the texts.
+        .join(
+            dealt.select("key", "root", "copies", "blocks", "block").hint("merge"), "key"
+        )
         .dropDuplicates(["key"])
     )
     with_sets = mapped(
