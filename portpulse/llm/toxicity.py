@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from portpulse.functions.scale import settle
 from portpulse.llm.common import Batches, batch, mapped, table
 
 SAMPLE = 20_000
@@ -309,7 +310,10 @@ def labelled_sample(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "toxic", sample: int = SAMPLE,
 ) -> DataFrame:
-    """Labelled rows outside the held-out part, about ``sample`` of them at most."""
+    """Labelled rows outside the held-out part, about ``sample`` of them at most.
+
+    The chosen labels are bounded by ``sample``, so they are sent to the texts.
+    """
     mine = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
     mine = mine.where(F.col("_label").isin(0, 1) & ~held_out("_id"))
     n = mine.count()
@@ -317,7 +321,8 @@ def labelled_sample(
         share = int(sample / n * (1 << 30))
         mine = mine.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < share)
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-    return texts.join(mine, F.col("_doc") == F.col("_id")).select("_text", "_label")
+    chosen = texts.join(F.broadcast(mine), F.col("_doc") == F.col("_id"))
+    return settle(chosen.select("_text", "_label"))
 
 
 def scored(
