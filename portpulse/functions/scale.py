@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -9,17 +10,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+
+#: Folders made for sessions of one process, by application.
+_OWN: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only when ``spark.checkpoint.dir`` is unset (tests on one machine) is a
-    local folder made.
+    Where it is unset, a session of one process makes its own; on a cluster that is an
+    error, as executors do not see each other's disks.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="portpulse-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = own_folder(spark.sparkContext.master)
+    return _OWN[app]
+
+
+def own_folder(master: str) -> str:
+    if not re.fullmatch(r"local(\[[^]]*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="portpulse-")
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/settled-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all tables that this application has settled; none may be read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -29,9 +53,10 @@ def settle(df: DataFrame) -> DataFrame:
     loss of an executor, and gives Spark the table's true size, so that a join
     broadcasts it only while it is below ``spark.sql.autoBroadcastJoinThreshold`` and
     falls back to a shuffled join, with adaptive skew handling, beyond that.
+    :func:`release` deletes what a session has settled.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

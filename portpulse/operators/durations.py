@@ -35,8 +35,8 @@ from portpulse.schema import (
 CPO_PORT = [*PORT_KEYS, "cpo_name"]
 # Order of rows at the same moment: logged, back online, gone missing.
 _LOGGED, _ONLINE, _OFFLINE = 0, 1, 2
-# Room for the status code below the microseconds of a packed moment.
-_CODE_BITS = 5
+# Room beside the microseconds of a moment (51 bits until the year 2041) in one integer.
+_SPARE_BITS = 12
 
 
 def whole_minutes(us: Column) -> Column:
@@ -45,13 +45,17 @@ def whole_minutes(us: Column) -> Column:
 
 
 def status_code(status: Column, statuses: Sequence[str]) -> Column:
-    """Position of a status in the declared list; an undeclared one is an error."""
-    if len(statuses) > 1 << _CODE_BITS:
-        raise ValueError(f"at most {1 << _CODE_BITS} statuses, not {len(statuses)}")
+    """Position of a status in the list; one that is not in it counts as ``Unknown``."""
     code = F.array_position(F.lit(list(statuses)), status).cast("bigint")
-    return F.when(
-        code == 0, F.raise_error(F.concat(F.lit("status not declared: "), status))
-    ).otherwise(code - 1)
+    return F.when(code == 0, F.lit(list(statuses).index(UNKNOWN))).otherwise(code - 1).cast("bigint")
+
+
+def code_bits(statuses: Sequence[str]) -> int:
+    """Bits of a status code below the microseconds of a packed moment."""
+    bits = max(1, (len(statuses) - 1).bit_length())
+    if bits > _SPARE_BITS:
+        raise ValueError(f"{len(statuses)} statuses do not fit a table of statuses")
+    return bits
 
 
 def compact_log(
@@ -83,7 +87,7 @@ def compact_log(
     lo_us, hi_us = seconds_of(lo) * 1_000_000, seconds_of(hi) * 1_000_000
     before = us <= lo_us
     minute = F.when(before, F.lit(-1).cast("bigint")).otherwise(whole_minutes(us))
-    packed = F.when(~F.col("_out"), F.shiftleft(us, _CODE_BITS) + F.col("_code"))
+    packed = F.when(~F.col("_out"), F.shiftleft(us, code_bits(statuses)) + F.col("_code"))
     return rows.groupBy(*CPO_PORT, minute.alias("_minute")).agg(
         F.max(packed).alias("_last"),
         F.count(F.when((us > lo_us) & (us < hi_us), 1)).alias("_inside"),
@@ -116,10 +120,11 @@ def timeline(
     lo_s, hi_s = seconds_of(lo), seconds_of(hi)
     if windows is not None:
         windows = closed_windows(windows, hi)
+    bits = code_bits(statuses)
     compact = compact_log(log, lo, hi, windows, statuses).select(
         *CPO_PORT,
-        F.shiftright(F.col("_last"), _CODE_BITS).alias("_us"),
-        F.col("_last").bitwiseAND(F.lit((1 << _CODE_BITS) - 1).cast("bigint")).alias("_code"),
+        F.shiftright(F.col("_last"), bits).alias("_us"),
+        F.col("_last").bitwiseAND(F.lit((1 << bits) - 1).cast("bigint")).alias("_code"),
         "_inside",
         F.lit(_LOGGED).alias("_kind"),
     )

@@ -27,6 +27,12 @@ class Period:
         return period_bounds(self.start, self.end, self.shift_hours)
 
 
+def statuses_of(types: DataFrame, name: str = "name") -> list[str]:
+    """The statuses of a feed's table of types (a few rows), the known ones first."""
+    told = {r[0] for r in types.select(name).distinct().collect() if r[0] is not None}
+    return [*STATUSES, *sorted(told - set(STATUSES))]
+
+
 def prepared_location(
     location: DataFrame,
     required_states: DataFrame | Sequence[str],

@@ -16,6 +16,8 @@ STATUSES = [
     "Unavailable",
     "Out of order",
     "Unknown",
+    "Inoperative",
+    "Blocked",
     "Missing",
 ]
 METRICS = ["Utilisation", "Uptime", "Unavailability"]
@@ -40,6 +42,8 @@ STATUS = """CASE WHEN event_type = 'view' THEN 'Available'
       WHEN event_type = 'signup' AND value < 5 THEN 'Unknown'
       WHEN event_type = 'signup' THEN 'Reserved'
       WHEN event_type = 'error' AND value < 20 THEN 'Unavailable'
+      WHEN event_type = 'error' AND value < 30 THEN 'Inoperative'
+      WHEN event_type = 'error' AND value < 40 THEN 'Blocked'
       ELSE 'Out of order' END"""
 
 # --- tables ----------------------------------------------------------------
@@ -239,15 +243,16 @@ UNAVAILABLE = '"Unavailable" + "Out of order"'
 METRIC_SQL = {
     "Utilisation": '"Charging" + "Finishing" + "Reserved"',
     "Uptime": '"Available" + "Charging" + "Finishing" + "Reserved"',
-    "Unavailability": UNAVAILABLE,
+    "Unavailability": UNAVAILABLE + ' + "Inoperative" + "Blocked"',
 }
+REPORT_SQL = {**METRIC_SQL, "Unavailability": UNAVAILABLE}
 
 
-def _rates(scale: str, naming, digits: int | None = 6) -> str:
+def _rates(scale: str, naming, digits: int | None = 6, metrics: dict[str, str] = METRIC_SQL) -> str:
     """Rates of the summed columns, each null over 0."""
     out = []
     for name in [*METRICS, *STATUSES]:
-        top = METRIC_SQL.get(name, f'"{name}"')
+        top = metrics.get(name, f'"{name}"')
         below = '"Total" - "Missing" - "Unknown"' if name in METRICS else '"Total"'
         value = f"(({top}) * {scale}::DOUBLE) / nullif({below}, 0)"
         if digits is not None:
@@ -321,7 +326,7 @@ cnt_{name} AS (
   SELECT {select_o}'Overall', {value} FROM {source} WHERE {latest} {group_o}),
 {name} AS (
   SELECT {g}, evse_port_site_count,
-  {_rates('1', _prop, digits)}, value
+  {_rates('1', _prop, digits, REPORT_SQL)}, value
   FROM sum_{name} JOIN cnt_{name} USING ({using}) WHERE value IS NOT NULL)"""
 
 
@@ -581,7 +586,7 @@ ORACLE["interval_snapshot"] = text(
     [*TO_EVSE, _rolled(SITE_ROLLUP, "1440min", digits=None)],
     f"""SELECT {', '.join(c for c in SITE_ROLLUP if c not in ('latitude', 'longitude'))},
     round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, evse_port_count, interval,
-    {', '.join(f'round_even("{n}", 2) AS "{n}"' for n in [*METRICS, *STATUSES])}
+    {', '.join(f'round_even("{n}", 2) AS "{n}"' if n in LABELLED else f'round("{n}", 6) AS "{n}"' for n in [*METRICS, *STATUSES])}
     FROM rolled WHERE interval = TIMESTAMP '2024-01-15'""",
 )
 _POSITION = {
@@ -688,7 +693,7 @@ ORACLE["report_area_snapshot"] = text(
 def _percent_rates() -> str:
     out = []
     for name in [*METRICS, *STATUSES]:
-        top = METRIC_SQL.get(name, f'"{name}"')
+        top = REPORT_SQL.get(name, f'"{name}"')
         below = '"Total" - "Missing" - "Unknown"' if name in METRICS else '"Total"'
         out.append(
             f'round_even((({top})::DOUBLE / nullif({below}, 0)) * 100, 1) AS "{_prop(name)}"'
@@ -856,6 +861,36 @@ ORACLE["partitioned_roundtrip"] = text(
         for n in WIDE
     ),
 )
+
+
+def _two_periods() -> str:
+    """The fact of each period over the moved log, under the month it starts in."""
+    moved = "FROM (SELECT * REPLACE (ts + INTERVAL 15 DAY AS ts) FROM events)"
+    parts = []
+    for month, lo, hi in (
+        (1, "2024-01-16 13:00:00", "2024-01-31 13:00:00"),
+        (2, "2024-01-31 13:00:00", "2024-02-12 13:00:00"),
+    ):
+        sums = ", ".join(f'CAST(sum("{n}") AS BIGINT) AS "{n}"' for n in WIDE)
+        sql = text(
+            TO_FACT,
+            f"""SELECT state, 2024 AS year, {month} AS month, count(*) AS n, {sums}
+            FROM fact GROUP BY state""",
+        )
+        sql = sql.replace("FROM events", moved)
+        parts.append(sql.replace(LO, f"TIMESTAMP '{lo}'").replace(HI, f"TIMESTAMP '{hi}'"))
+    return "\nUNION ALL\n".join(f"SELECT * FROM ({p})" for p in parts)
+
+
+ORACLE["fact_two_periods"] = _two_periods()
+ORACLE["dashboard_state"] = text(
+    [
+        *TO_FACT,
+        LOADED.replace("FROM fact)", "FROM fact WHERE state = 'VIC')"),
+    ],
+    f"""SELECT state, cpo_name, lga_name, count(*) AS n, {_wide_sums}
+    FROM loaded GROUP BY state, cpo_name, lga_name""",
+)
 ORACLE["boundary_read"] = text(
     [TABLES], "SELECT address AS area_name, postcode, true AS drawn FROM site"
 )

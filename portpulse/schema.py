@@ -35,9 +35,9 @@ REPORTED_STATUSES = [
     "Out of order",
     "Unknown",
 ]
-STATUSES = REPORTED_STATUSES + [MISSING]
 # Reported by some networks only.
 RARE_STATUSES = ["Inoperative", "Blocked"]
+STATUSES = REPORTED_STATUSES + RARE_STATUSES + [MISSING]
 
 METRICS = ["Utilisation", "Uptime", "Unavailability"]
 UTILISATION_PARTS = ["Charging", "Finishing", "Reserved"]

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portpulse.functions.clock import to_datetime
-from portpulse.schema import NORMALIZED, conform
+from portpulse.schema import NORMALIZED, PERIOD_SHIFT_HOURS, conform
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -36,19 +36,20 @@ def read_normalized_jdbc(
     spark: SparkSession,
     url: str,
     properties: Mapping[str, str],
+    history_bounds: tuple[datetime | str, datetime | str],
     partitions: int = 64,
-    history_bounds: tuple[datetime | str, datetime | str] | None = None,
 ) -> dict[str, DataFrame]:
     """The seven operational tables over JDBC.
 
-    The history is read in parallel slices of time; filters on it are pushed into
-    the database.
+    The history is read in parallel slices between ``history_bounds``, its own first and
+    last time: with narrower ones all older rows come in one slice. Filters on it are
+    pushed into the database.
     """
     tables = {}
     for name, schema in NORMALIZED.items():
         reader = spark.read.format("jdbc").option("url", url).option("dbtable", name)
         reader = reader.options(**dict(properties)).option("preferTimestampNTZ", True)
-        if name == "port_status_history" and history_bounds is not None:
+        if name == "port_status_history":
             lo, hi = history_bounds
             reader = (
                 reader.option("partitionColumn", "updated_timestamp")
@@ -92,19 +93,24 @@ def read_boundary_lines(
 def read_fact(
     spark: SparkSession,
     path: str,
-    state: str,
+    state: str | None,
     start: datetime | str,
     end: datetime | str,
+    shift_hours: int = PERIOD_SHIFT_HOURS,
 ) -> DataFrame:
-    """The monthly partitions of one state inside a month range.
+    """The periods of one state (or of all) that hold a range of local time.
 
+    Periods are ``shift_hours`` ahead of UTC and no state is further ahead, so a local
+    time lies in the period of its own month or, in its last hours, in the next one.
     The filters are on partition columns, so other states and months are not listed
     into the scan.
     """
-    lo, hi = to_datetime(start), to_datetime(end)
+    lo, hi = to_datetime(start), to_datetime(end) + timedelta(hours=shift_hours)
     month = F.col("year") * 12 + F.col("month")
-    return spark.read.parquet(path).where(
-        (F.col("state") == state)
-        & F.col("year").between(lo.year, hi.year)
+    fact = spark.read.parquet(path)
+    if state is not None:
+        fact = fact.where(F.col("state") == state)
+    return fact.where(
+        F.col("year").between(lo.year, hi.year)
         & month.between(lo.year * 12 + lo.month, hi.year * 12 + hi.month)
     )

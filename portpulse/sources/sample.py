@@ -51,6 +51,8 @@ def status_name(event_type: Column, value: Column) -> Column:
         .when((event_type == "signup") & (value < 5), "Unknown")
         .when(event_type == "signup", "Reserved")
         .when((event_type == "error") & (value < 20), "Unavailable")
+        .when((event_type == "error") & (value < 30), "Inoperative")
+        .when((event_type == "error") & (value < 40), "Blocked")
         .otherwise("Out of order")
     )
 
@@ -131,14 +133,14 @@ def status_log(spark: SparkSession, sf_dir: str, events: DataFrame | None = None
     )
 
 
-def outages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def outages(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Operator outage windows: the most severe errors open one."""
+    events = table(spark, sf_dir, "events") if events is None else events
     operator = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("site"), F.col("c_mktsegment").alias("cpo_name")
     )
     return (
-        table(spark, sf_dir, "events")
-        .where((F.col("event_type") == "error") & (F.col("value") >= OUTAGE_SEVERITY))
+        events.where((F.col("event_type") == "error") & (F.col("value") >= OUTAGE_SEVERITY))
         .select("event_id", "ts", _site(F.col("user_id")).alias("site"))
         .join(operator, "site")
         .select(

@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from portpulse.functions.clock import to_datetime
+
+#: Rows of one file at most; a partition's number of files follows its volume.
+FILE_ROWS = 5_000_000
+
 
-def write_fact(fact: DataFrame, path: str, time: str = "update_time") -> None:
-    """One partition per state, year and month; only the partitions written are replaced.
+def write_fact(fact: DataFrame, path: str, period_start: datetime | str) -> None:
+    """The rows of one period: one partition per state, under the period's label.
 
-    Rows are spread over several files per partition by port, so that a large state
-    is not written by one task.
+    The label is year and month of the period's local start. The rows' own times cannot
+    tell it: a period begins some hours before its month does in UTC. Only partitions of
+    this label are replaced, so a month can be run again and others stay.
     """
+    start = to_datetime(period_start)
+    labelled = fact.withColumns({"year": F.lit(start.year), "month": F.lit(start.month)})
     (
-        fact.withColumn("year", F.year(time))
-        .withColumn("month", F.month(time))
-        .repartition("state", "year", "month", F.pmod(F.xxhash64("evse_id"), F.lit(64)))
+        labelled.hint("rebalance", "state")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", FILE_ROWS)
         .partitionBy("state", "year", "month")
         .parquet(path)
     )

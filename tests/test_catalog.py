@@ -5,6 +5,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from portpulse.plans.catalog import QUERIES
+from portpulse.plans.oracle import ORACLE
 
 duckdb = pytest.importorskip("duckdb")
 SF_DIR = "/root/testdata/sf0.001"
@@ -38,13 +40,15 @@ def as_rows(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLE.items() <= entry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_oracle(spark, other, name):
-    df = entry.queries()[name](spark, SF_DIR)
-    result = other.sql(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SF_DIR)
+    result = other.sql(ORACLE[name])
     assert sorted(df.columns) == sorted(result.columns)
     assert as_rows(df.columns, df.collect()) == as_rows(result.columns, result.fetchall())
     plan = df._jdf.queryExecution().executedPlan().toString()

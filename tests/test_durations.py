@@ -5,10 +5,10 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.errors import PySparkException
 
 from portpulse.functions.clock import period_bounds, previous_month
 from portpulse.operators import durations
+from portpulse.plans.monthly import statuses_of
 from portpulse.schema import REPORTED_STATUSES
 
 LO, HI = datetime(2024, 1, 1), datetime(2024, 1, 1, 6)
@@ -136,10 +136,14 @@ def test_observed_unknown_is_counted_on_top_unless_exact(make_log):
     )
 
 
-def test_undeclared_status_is_an_error(make_log):
+def test_undeclared_status_counts_as_unknown(spark, make_log):
     log = make_log([(*PORT, "Sleeping", day("00:10:00")), (*PORT, "Available", day("00:20:00"))])
-    with pytest.raises(PySparkException, match="status not declared"):
-        observed(log)
+    assert {status for _, _, status in observed(log)} == {"Unknown", "Available"}
+    types = spark.createDataFrame([(1, "Sleeping"), (2, "Blocked"), (3, None)], "id long, name string")
+    assert statuses_of(types) == [*durations.STATUSES, "Sleeping"]
+    many = [*durations.STATUSES, *(f"s{i}" for i in range(60)), "Sleeping"]
+    rows = durations.timeline(log, log, LO, HI, None, many)
+    assert "Sleeping" in {r.status for r in durations.status_durations(rows, many).collect()}
     statuses = [*durations.STATUSES, "Sleeping"]
     ports = log.select("evse_id", "evse_port_id", "cpo_name").distinct()
     rows = durations.timeline(log, ports, LO, HI, None, statuses)

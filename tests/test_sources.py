@@ -6,7 +6,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
 from portpulse import schema
-from portpulse.functions.scale import settle, shared_folder
+from portpulse.functions import scale
+from portpulse.functions.scale import own_folder, release, settle, shared_folder
 from portpulse.sources import readers, writers
 
 
@@ -46,7 +47,7 @@ def test_boundaries(spark, tmp_path):
         assert json.loads(rows[1].geometry)["coordinates"] == [1, 1]
 
 
-def test_fact_partitions_are_replaced_and_pruned(spark, tmp_path):
+def test_a_period_replaces_itself_only_and_reads_are_pruned(spark, tmp_path):
     path = str(tmp_path / "fact")
 
     def fact(rows):
@@ -55,11 +56,26 @@ def test_fact_partitions_are_replaced_and_pruned(spark, tmp_path):
             "state string, evse_id string, update_time timestamp_ntz, status_duration bigint",
         )
 
-    writers.write_fact(fact([("NSW", "2023-12-31 10:00:00", 1), ("NSW", "2024-01-01 10:00:00", 2), ("WA", "2024-01-01 10:00:00", 3)]), path)
-    writers.write_fact(fact([("NSW", "2024-01-02 10:00:00", 20)]), path)
-    got = readers.read_fact(spark, path, "NSW", "2023-12-15", "2024-01-20")
-    assert sorted(r.status_duration for r in got.collect()) == [1, 20]
-    assert readers.read_fact(spark, path, "NSW", "2024-01-15", "2024-02-20").count() == 1
+    # Periods begin 11 hours before their month does in UTC.
+    april = [("NSW", "2024-04-30 12:30:00", 1), ("WA", "2024-04-01 00:00:00", 2)]
+    may = [("NSW", "2024-04-30 13:00:00", 3), ("NSW", "2024-05-31 12:30:00", 4)]
+    june = [("NSW", "2024-05-31 13:00:00", 5), ("WA", "2024-05-31 15:30:00", 6)]
+    for start, rows in (("2024-04-01", april), ("2024-05-01", may), ("2024-06-01", june)):
+        writers.write_fact(fact(rows), path, start)
+
+    def values(state, start, end):
+        got = readers.read_fact(spark, path, state, start, end).collect()
+        return sorted(r.status_duration for r in got)
+
+    assert values("NSW", "2024-04-01", "2024-06-30") == [1, 3, 4, 5]
+    assert values(None, "2024-04-01", "2024-06-30") == [1, 2, 3, 4, 5, 6]
+    # Local May: from its first hours (in April by UTC) to its last (in June's period).
+    assert values("NSW", "2024-05-01", "2024-05-15") == [3, 4]
+    assert values("WA", "2024-05-02", "2024-05-31 23:30:00") == [6]
+    writers.write_fact(fact([("NSW", "2024-05-10 00:00:00", 40)]), path, "2024-05-01")
+    assert values("NSW", "2024-04-01", "2024-06-30") == [1, 5, 40]
+    got = readers.read_fact(spark, path, "NSW", "2024-05-01", "2024-05-20")
+    assert got.collect()[0].month == 5
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(state" in plan
 
@@ -70,3 +86,16 @@ def test_settled_tables_live_in_the_shared_folder(spark):
     assert again.schema == df.schema and again.collect() == df.collect()
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert all(f.startswith(f"file://{shared_folder(spark)}") for f in again.inputFiles())
+
+
+def test_an_unset_folder_is_an_error_and_settled_tables_can_be_released(
+    spark, tmp_path, monkeypatch
+):
+    for master in ("local-cluster[3,2,1000]", "spark://host:7077", "yarn", "k8s://host"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            own_folder(master)
+    monkeypatch.setattr(scale, "shared_folder", lambda _: str(tmp_path))
+    settle(spark.range(3)), settle(spark.range(5))
+    assert len(list(tmp_path.rglob("_SUCCESS"))) == 2
+    release(spark)
+    assert list(tmp_path.iterdir()) == []
