@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portpulse.functions.clock import bucket_second, epoch_minute, epoch_second, ntz
+from portpulse.functions.scale import settle
 from portpulse.schema import BUCKET_SECONDS, MISSING, PORT_KEYS
 
 CPO_PORT = ["cpo_name", *PORT_KEYS]
@@ -97,7 +98,8 @@ def with_outage_rows(log: DataFrame, windows: DataFrame) -> DataFrame:
     of rows bounded by the length of the period, however chatty a port is. Log rows
     themselves never enter a window.
     """
-    kept = outside_outages(log, windows)
+    # Read for its ports, for the last known statuses and for its rows.
+    kept = settle(outside_outages(log, windows))
     ports = kept.select(*CPO_PORT).distinct()
     synthetic = synthetic_rows(ports, windows)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portpulse.functions.rates import metric_seconds, percent, rate
@@ -153,6 +153,26 @@ def funded_unavailability_table(areas: DataFrame) -> DataFrame:
     return ranked(areas, ["Unavailability_prop"], ["government_funded", *UNAVAILABILITY_TABLE])
 
 
+def numbered(
+    rows: DataFrame, by: Sequence[str], keep: Sequence[str], name: str = "rank"
+) -> DataFrame:
+    """The rows of :func:`ranked` with their place, for tables whose order matters.
+
+    One ordered window: a report's table has a row per area and operator.
+    """
+    keys = [c for c in ("lga_name", "cpo_name", "government_funded") if c in rows.columns]
+    order = [F.col(b).desc_nulls_last() for b in by] + [F.col(k).asc() for k in keys]
+    place = F.row_number().over(Window.orderBy(*order))
+    return without_overall(rows).select(place.alias(name), *keep)
+
+
+def area_extremes(areas: DataFrame, shares: Sequence[str]) -> DataFrame:
+    """Best and worst area per share, and the largest and smallest, with their rates."""
+    rows = without_overall(areas).withColumn("size", F.col("value").cast("double"))
+    rates = ["Utilisation_prop", "Uptime_prop", "Unavailability_prop", "value"]
+    return extremes(rows, [*shares, "size"], ["lga_name", "cpo_name", *rates])
+
+
 def mostly_unavailable(areas: DataFrame, above: float = 0.5) -> DataFrame:
     return without_overall(areas).where(F.col("Unavailable_prop") > above)
 

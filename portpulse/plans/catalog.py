@@ -351,12 +351,45 @@ def geocode_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def fill_missing_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.substring("evse_port_id", 2, 20).cast("bigint")
-    gaps = (
-        places.with_postcode_state(sample.location(spark, sf_dir))
+    state = F.when(number % 11 == 0, F.lit("NT")).otherwise(F.col("state"))
+    gaps = places.with_postcode_state(_with_gaps(spark, sf_dir)).withColumn("state", state)
+    filled = places.fill_missing(
+        gaps, places.geocode_parts(_responses(spark, sf_dir)), _area_names(spark, sf_dir)
+    )
+    return filled.select(*PORT_KEYS, "lga_name", "address", "state")
+
+
+@query
+def fact_with_filled_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job over a location table with null areas and addresses."""
+    location = settle(
+        monthly.prepared_location(
+            _with_gaps(spark, sf_dir),
+            sample.REQUIRED_STATES,
+            sample.funded_sites(spark, sf_dir),
+            places.geocode_parts(_responses(spark, sf_dir)),
+            _area_names(spark, sf_dir),
+        )
+    )
+    fact = monthly.fact_table(
+        sample.status_log(spark, sf_dir), location, sample.outages(spark, sf_dir), PERIOD
+    )
+    return fact.groupBy("state", "lga_name", "address", "government_funded").agg(
+        F.count("*").alias("n"), *[F.sum(s).alias(s) for s in [*STATUSES, TOTAL]]
+    )
+
+
+def _with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The location table without some areas and addresses."""
+    number = F.substring("evse_port_id", 2, 20).cast("bigint")
+    return (
+        sample.location(spark, sf_dir)
         .withColumn("lga_name", F.when(number % 5 != 0, F.col("lga_name")))
         .withColumn("address", F.when(number % 7 != 0, F.col("address")))
-        .withColumn("state", F.when(number % 11 == 0, F.lit("NT")).otherwise(F.col("state")))
     )
+
+
+def _area_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     lookup = (
         sample.location(spark, sf_dir)
         .select("lga_name")
@@ -367,10 +400,7 @@ def fill_missing_location(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.col("lga_name"), F.lit(" canonical")).alias("lga_name"),
         )
     )
-    filled = places.fill_missing(
-        gaps, places.geocode_parts(_responses(spark, sf_dir)), conform(lookup, AREA_LOOKUP)
-    )
-    return filled.select(*PORT_KEYS, "lga_name", "address", "state")
+    return conform(lookup, AREA_LOOKUP)
 
 
 # --- dashboard -------------------------------------------------------------
@@ -593,6 +623,29 @@ def funded_area_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(uptime.join(unavailable, ["government_funded", "lga_name", "cpo_name"]))
 
 
+def _funded_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _snapshot(spark, sf_dir, ["cpo_name", "lga_name", "government_funded"], "funded")
+
+
+@query
+def funded_uptime_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keep = ["government_funded", *report.UTILISATION_TABLE]
+    order = ["Uptime_prop", "Utilisation_prop"]
+    return rounded(report.numbered(_funded_areas(spark, sf_dir), order, keep))
+
+
+@query
+def funded_unavailability_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keep = ["government_funded", *report.UNAVAILABILITY_TABLE]
+    return rounded(report.numbered(_funded_areas(spark, sf_dir), ["Unavailability_prop"], keep))
+
+
+@query
+def best_worst_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shares = ["Utilisation_prop", "Unavailability_prop"]
+    return rounded(report.area_extremes(_areas(spark, sf_dir), shares))
+
+
 @query
 def top_areas_utilisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(report.top_utilisation(_areas(spark, sf_dir)))

@@ -37,14 +37,20 @@ def prepared_location(
     location: DataFrame,
     required_states: DataFrame | Sequence[str],
     funded: DataFrame | None = None,
+    geocoded: DataFrame | None = None,
+    lookup: DataFrame | None = None,
 ) -> DataFrame:
-    """State from the postcode, required states only, funding program.
+    """State from the postcode, required states only, funding program, gaps filled.
 
-    Several later steps read it, so the caller had better write it once.
+    Null areas and addresses are filled from geocoded coordinates (``geocode_parts``) and
+    the table of area names, after the funded sites have been matched. Several later
+    steps read the result, so the caller had better write it once.
     """
     ready = places.in_required_states(places.with_postcode_state(location), required_states)
     if funded is not None:
         ready = places.match_funded_sites(ready, funded)
+    if geocoded is not None and lookup is not None:
+        ready = places.fill_missing(ready, geocoded, lookup)
     return ready
 
 
@@ -76,6 +82,7 @@ def fact_table(
     ``location`` is a prepared one. Its columns are joined last, after the log has
     been reduced, and the join keeps the partitioning by port.
     """
-    rows = port_timeline(log, location, windows, period, statuses)
+    # Written once: two facts about the whole timeline and its pieces are read from it.
+    rows = settle(port_timeline(log, location, windows, period, statuses))
     dense = durations.dense_durations(rows, period.bounds[0], statuses, residual)
     return places.apply_cpo_cleaning(metrics.with_location(dense, location))

@@ -454,6 +454,31 @@ ORACLE["fill_missing_location"] = text(
     geo_state AS state
     FROM loc0 LEFT JOIN geo USING (latitude, longitude)""",
 )
+GAPS = TABLES.replace(
+    "evse_port_id, cpo_name, address,\n         suburb, postcode, lga_name, ",
+    "evse_port_id, cpo_name,\n         CASE WHEN user_id % 7 <> 0 THEN address END AS address, suburb,"
+    " postcode,\n         CASE WHEN user_id % 5 <> 0 THEN lga_name END AS lga_name, ",
+    1,
+)
+assert GAPS != TABLES
+FILLED = f"""
+loc_full AS (
+  SELECT 'E' || (user_id // 3) AS evse_id, 'P' || user_id AS evse_port_id, user_id, address,
+         lga_name, {STATE} AS state,
+         latitude + ((user_id // 3) % 2)::DOUBLE * 0.0005::DOUBLE AS latitude, longitude
+  FROM (SELECT DISTINCT user_id FROM events) JOIN site ON site = user_id // 6),
+{GEO.strip().replace("FROM loc0", "FROM loc_full")},
+filled AS (
+  SELECT loc.* EXCLUDE (lga_name, address, state), geo_state AS state,
+    coalesce(lga_name, CASE WHEN geo_lga <> 'Unincorporated ACT' AND geo_lga <> 'Area LGA 3'
+             THEN replace(geo_lga, 'Area ', '') || ' canonical' END) AS lga_name,
+    coalesce(address, geo_address) AS address
+  FROM loc LEFT JOIN geo USING (latitude, longitude))"""
+ORACLE["fact_with_filled_areas"] = text(
+    [GAPS, HISTORY, TIMELINE, DENSE, FUNDED, FILLED, FACT.replace("JOIN loc USING", "JOIN filled USING")],
+    f"""SELECT state, lga_name, address, government_funded, count(*) AS n, {_wide_sums}
+    FROM fact GROUP BY ALL""",
+)
 ORACLE["local_time_rollup"] = text(
     TO_LOADED,
     """SELECT state, date_trunc('day', interval)::TIMESTAMP AS local_day, count(*) AS buckets,
@@ -729,6 +754,47 @@ ORACLE["funded_area_tables"] = text(
 )
 
 
+def _numbered(by: list[str], columns: list[str]) -> str:
+    order = ", ".join(f'"{b}" DESC NULLS LAST' for b in by)
+    cols = ", ".join(f'round("{c}", 6) AS "{c}"' if c.endswith("_prop") else c for c in columns)
+    return text(
+        [
+            *TO_SITES,
+            FUNDED_SITES,
+            _snapshot(["cpo_name", "lga_name", "government_funded"], "funded_sites"),
+        ],
+        f"""SELECT row_number() OVER (ORDER BY {order}, lga_name, cpo_name, government_funded) AS rank,
+    {cols} FROM snap WHERE cpo_name <> 'Overall'""",
+    )
+
+
+ORACLE["funded_uptime_ranked"] = _numbered(
+    ["Uptime_prop", "Utilisation_prop"],
+    ["government_funded", "lga_name", "cpo_name", "Utilisation_prop", "Uptime_prop", "value"],
+)
+ORACLE["funded_unavailability_ranked"] = _numbered(
+    ["Unavailability_prop"],
+    ["government_funded", "lga_name", "cpo_name", "Unavailability_prop", "value"],
+)
+_AREA_COMPANIONS = ", ".join(
+    f'round("{c}", 6) AS "{c}"' for c in ["Utilisation_prop", "Uptime_prop", "Unavailability_prop"]
+)
+ORACLE["best_worst_area"] = text(
+    AREA_SNAP,
+    "\nUNION ALL\n".join(
+        f"""(SELECT '{s}' AS share_name, '{which}' AS which, round({sql}, 6) AS share, lga_name, cpo_name,
+    {_AREA_COMPANIONS}, value
+    FROM snap WHERE cpo_name <> 'Overall' AND {sql} IS NOT NULL ORDER BY {sql} {order}, lga_name, cpo_name LIMIT 1)"""
+        for s, sql in [
+            ("Utilisation_prop", '"Utilisation_prop"'),
+            ("Unavailability_prop", '"Unavailability_prop"'),
+            ("size", "CAST(value AS DOUBLE)"),
+        ]
+        for which, order in (("max", "DESC"), ("min", "ASC"))
+    ),
+)
+
+
 def _top(by: list[str], columns: list[str], n: int) -> str:
     order = ", ".join(f'"{b}" DESC NULLS LAST' for b in by)
     cols = ", ".join(f'round("{c}", 6) AS "{c}"' if c.endswith("_prop") else c for c in columns)
