@@ -5,10 +5,14 @@ documents; only the histogram reaches the driver. It is packed as the configurat
 linear program: patterns (multisets of lengths that fit a sequence), each used a number
 of times. Multiplicative weights hold a price per length, raised where demand is left and
 lowered where it is met; a knapsack dynamic program under these prices gives the best
-pattern around each of the longest lengths left, and each gets a share of what demand
-allows. Rounding takes a share of every pattern's uses down to whole numbers and packs
-the rest best fit, longest first; the share with the fewest sequences is kept. All of
-this depends on the capacity, not on the number of documents.
+pattern around each of the longest lengths left. First only patterns without waste are
+taken, each for a share of what demand allows. Where that does not reach the bound by
+total length, the program is solved fractionally: the patterns worth most under the
+prices, wasteful or not, are used in small steps, the steps are averaged, and prices
+against the best pattern's worth bound the number of sequences from below. Rounding takes
+uses down to whole numbers and packs the rest best fit, longest first, also into the room
+that patterns leave; the plan with the fewest sequences is kept. All of this depends on
+the capacity, not on the number of documents.
 
 The plan says for each length which of its pieces, by their number, go where. Pieces are
 numbered on the cluster: inside each written part, then shifted by the counts of earlier
@@ -20,6 +24,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
+from collections.abc import Sequence
 
 import numpy as np
 import public_tokenizers
@@ -43,6 +48,11 @@ RATE = 0.5
 SHARE = 0.9
 #: Shares of the program's solution that are tried in rounding; best fit packs the rest.
 ROUNDING = (1.0, 0.9, 0.75, 0.5, 0.25)
+#: Accuracies of the fractional program, one after the other, and steps for one pricing.
+ACCURACY = (0.2, 0.1, 0.05, 0.02, 0.01)
+STEPS = 20
+#: A plan this close to the bound is kept without further rounds.
+CLOSE = 0.002
 
 Pattern = tuple[tuple[int, ...], int]  # lengths, longest first, and the number of uses
 
@@ -75,8 +85,8 @@ def _filling(take: np.ndarray, room: int) -> list[int]:
     return out
 
 
-def _best_fit(demand: np.ndarray, capacity: int) -> list[Pattern]:
-    """Best fit, longest first, over what is left of the histogram.
+def _best_fit(demand: np.ndarray, capacity: int, begun: Sequence[Pattern] = ()) -> list[Pattern]:
+    """Best fit, longest first, over what is left of the histogram, into ``begun`` too.
 
     Works on numbers of equal sequences, so its cost depends on the lengths, not on the
     number of pieces.
@@ -89,6 +99,8 @@ def _best_fit(demand: np.ndarray, capacity: int) -> list[Pattern]:
             insort(rooms, room)
         holds[room].append((pattern, uses))
 
+    for pattern, uses in begun:
+        put(pattern, uses, capacity - sum(pattern))
     for length in range(capacity, 0, -1):
         todo = int(demand[length])
         while todo:
@@ -116,6 +128,125 @@ def _best_fit(demand: np.ndarray, capacity: int) -> list[Pattern]:
 
 def plan(histogram: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[Pattern]:
     """Patterns and uses that cover ``histogram`` (pieces per length) exactly."""
+    exact = _exact_fillings(histogram, capacity, rounds)
+    best: list[Pattern] = []
+    for share in ROUNDING:
+        whole = [(p, int(u * share)) for p, u in exact.items()]
+        best = _fewer(best, _completed(whole, histogram, capacity))
+    fewest = -(-int(histogram @ np.arange(capacity + 1)) // capacity)
+    if _sequences(best) > fewest:
+        for uses in _averaged(histogram, capacity, rounds, _sequences(best)):
+            best = _fewer(best, _rounded(uses, histogram, capacity))
+    return best
+
+
+def _sequences(patterns: list[Pattern]) -> int:
+    return sum(u for _, u in patterns)
+
+
+def _fewer(one: list[Pattern], other: list[Pattern]) -> list[Pattern]:
+    return other if not one or _sequences(other) < _sequences(one) else one
+
+
+def _completed(whole: list[Pattern], histogram: np.ndarray, capacity: int) -> list[Pattern]:
+    """Patterns with whole uses, and best fit for the pieces they leave."""
+    rest = histogram.astype(np.int64).copy()
+    whole = [(p, u) for p, u in whole if u]
+    for pattern, uses in whole:
+        np.subtract.at(rest, list(pattern), uses)
+    return _best_fit(rest, capacity, whole)
+
+
+def _rounded(
+    uses: dict[tuple[int, ...], float], histogram: np.ndarray, capacity: int
+) -> list[Pattern]:
+    """Fractional uses as whole ones: rounded down, then one more by the largest fractions."""
+    rest = histogram.astype(np.int64).copy()
+    whole: dict[tuple[int, ...], int] = defaultdict(int)
+
+    def use(pattern: tuple[int, ...], wanted: int) -> None:
+        kinds, counts = np.unique(pattern, return_counts=True)
+        n = min(wanted, int((rest[kinds] // counts).min()))
+        if n > 0:
+            whole[pattern] += n
+            rest[kinds] -= n * counts
+
+    for pattern, u in sorted(uses.items(), key=lambda e: -e[1]):
+        use(pattern, int(u + 1e-9))
+    for pattern, u in sorted(uses.items(), key=lambda e: -(e[1] % 1)):
+        use(pattern, int(u + 1e-9) - whole.get(pattern, 0) + 1)
+    return _completed(list(whole.items()), histogram, capacity)
+
+
+def _averaged(histogram: np.ndarray, capacity: int, rounds: int, known: int):
+    """Fractional solutions of the program (uses per pattern), each better than the last.
+
+    Weights fall with the share of a length's demand that has been met; a step uses the
+    patterns worth most and meets at most a small share of any demand. The uses of all
+    steps, divided by the least share met, meet every demand. No solution has fewer
+    sequences than the worth of all pieces over that of the best pattern.
+    """
+    lengths = np.flatnonzero(histogram)
+    asked = histogram[lengths].astype(float)
+    place = np.zeros(capacity + 1, np.int64)
+    place[lengths] = np.arange(len(lengths))
+    pool: dict[tuple[int, ...], int] = {}
+    kinds, counts = np.zeros((0, 1), np.int64), np.zeros((0, 1))
+    log_weight, prices, bound = np.zeros(len(lengths)), np.zeros(capacity + 1), 0.0
+    for accuracy in ACCURACY:
+        uses, met, best = np.zeros(len(pool)), np.zeros(len(lengths)), np.inf
+        for _ in range(rounds // len(ACCURACY)):
+            worth = lengths * np.exp(log_weight - log_weight.max())
+            prices[lengths] = worth
+            take = _knapsack(prices, lengths, capacity)
+            top, new = 0.0, []
+            for first in lengths[::-1].tolist():
+                pattern = (first, *_filling(take, capacity - first))
+                pattern = tuple(sorted(pattern, reverse=True))
+                value = prices[list(pattern)].sum()
+                top = max(top, value)
+                new.append((pattern, value))
+            bound = max(bound, float(worth @ asked) / top)
+            if known <= max(np.ceil(bound - 1e-6), (1 + CLOSE) * bound):
+                return
+            added = {p: 0 for p, v in new if v >= (1 - accuracy) * top and p not in pool}
+            if added:
+                columns = [np.unique(p, return_counts=True) for p in added]
+                wide = max(kinds.shape[1], *(len(k) for k, _ in columns))
+                more_kinds = np.zeros((len(pool) + len(added), wide), np.int64)
+                more_counts = np.zeros(more_kinds.shape)
+                more_kinds[: len(pool), : kinds.shape[1]] = kinds
+                more_counts[: len(pool), : kinds.shape[1]] = counts
+                for at, (k, c) in enumerate(columns, len(pool)):
+                    more_kinds[at, : len(k)], more_counts[at, : len(k)] = place[k], c
+                kinds, counts = more_kinds, more_counts
+                uses = np.concatenate([uses, np.zeros(len(added))])
+                for p in added:
+                    pool[p] = len(pool)
+            most = np.where(counts > 0, asked[kinds] / np.maximum(counts, 1), np.inf).min(1)
+            for _ in range(STEPS):
+                worth = lengths * np.exp(log_weight - log_weight.max())
+                value = (worth[kinds] * counts).sum(1)
+                step = np.where(value >= (1 - accuracy) * value.max(), most, 0.0)
+                gain = np.bincount(
+                    kinds.ravel(), (counts * step[:, None]).ravel(), len(lengths)
+                ) / asked
+                step, gain = step / gain.max(), gain / gain.max()
+                uses += step
+                met += gain
+                log_weight -= accuracy * gain
+            if met.min() > 0:
+                best = uses.sum() / met.min()
+            if best <= (1 + accuracy) * bound:
+                break
+        if met.min() > 0:
+            yield {p: float(u) for p, u in zip(pool, uses / met.min(), strict=True) if u > 0}
+
+
+def _exact_fillings(
+    histogram: np.ndarray, capacity: int, rounds: int
+) -> dict[tuple[int, ...], int]:
+    """Uses of patterns that leave no room, by prices that follow what demand is left."""
     demand = histogram.astype(np.int64).copy()
     patterns: dict[tuple[int, ...], int] = defaultdict(int)
     if demand[capacity]:
@@ -152,18 +283,7 @@ def plan(histogram: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS)
             break  # the longest pieces fill no sequence: best fit does the rest
         else:
             prices = plain
-    best: list[Pattern] = []
-    for share in ROUNDING:
-        whole = {p: int(u * share) for p, u in patterns.items()}
-        rest = histogram.astype(np.int64).copy()
-        for pattern, uses in whole.items():
-            np.subtract.at(rest, list(pattern), uses)
-        for pattern, uses in _best_fit(rest, capacity):
-            whole[pattern] = whole.get(pattern, 0) + uses
-        found = [(p, u) for p, u in whole.items() if u]
-        if not best or sum(u for _, u in found) < sum(u for _, u in best):
-            best = found
-    return best
+    return patterns
 
 
 def _runs(patterns: list[Pattern]) -> dict[int, np.ndarray]:

@@ -118,6 +118,24 @@ def test_plan_covers_the_histogram_and_is_tight():
         assert used <= least * 1.01 + 1 or h[51] == 500
 
 
+@pytest.mark.parametrize(
+    "demand, fewest",
+    [
+        ({1044: 600, 552: 600, 532: 600, 470: 1200}, 900),
+        ({900: 1000, 600: 5000, 500: 3000}, 2834),
+    ],
+)
+def test_plan_where_nothing_fills_a_sequence(demand, fewest):
+    h = np.zeros(2049, np.int64)
+    h[list(demand)] = list(demand.values())
+    patterns, got = packing.plan(h), np.zeros(2049, np.int64)
+    for pattern, uses in patterns:
+        assert sum(pattern) <= 2048 and uses > 0
+        np.add.at(got, list(pattern), uses)
+    assert (got == h).all()
+    assert sum(u for _, u in patterns) <= fewest + len(demand)
+
+
 def test_pieces_and_places(spark, library):
     rows = [(i, t) for i, t in enumerate(texts())] + [(None, "null id"), (0, None), (7, "same"), (7, "same")]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, length int")
