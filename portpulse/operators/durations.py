@@ -21,7 +21,9 @@ from portpulse.functions.clock import (
     from_epoch_second,
     ntz,
     seconds_of,
+    truncate_minute,
 )
+from portpulse.functions.scale import settle
 from portpulse.operators.outages import closed_windows, flag_in_outage
 from portpulse.schema import (
     BUCKET_SECONDS,
@@ -222,6 +224,27 @@ def amended_events(rows: DataFrame, hi: datetime, statuses: Sequence[str] = STAT
     )
 
 
+def all_amended_events(events: DataFrame, lo: datetime, hi: datetime) -> DataFrame:
+    """The period's rows cut to the minute, rows overridden within a minute included.
+
+    ``events`` are the rows from the carried-in one to ``hi``, with their outage rows.
+    The first row of a port that is not new moves to ``lo``; every row at its last
+    moment is repeated at ``hi``. A row without status is left out.
+    """
+    # Read for the first and last moments and for the rows; one line per port joins back.
+    rows = settle(events.where(F.col("status").isNotNull()))
+    ts = F.col("update_time")
+    ends = settle(rows.groupBy(*PORT_KEYS).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last")))
+    new = F.col("_first") > ntz(lo)
+    begin = F.when(~new & (ts == F.col("_first")), ntz(lo)).otherwise(ts)
+    moments = F.when(ts == F.col("_last"), F.array(begin, ntz(hi))).otherwise(F.array(begin))
+    return (
+        rows.join(ends, list(PORT_KEYS))
+        .select(*CPO_PORT, "status", new.cast("int").alias("new_evse"), F.explode(moments).alias("_t"))
+        .select(*CPO_PORT, "status", truncate_minute(F.col("_t")).alias("update_time"), "new_evse")
+    )
+
+
 def status_of(code: Column, statuses: Sequence[str]) -> Column:
     return F.element_at(F.lit(list(statuses)), (code + 1).cast("int"))
 

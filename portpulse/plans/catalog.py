@@ -214,6 +214,12 @@ def outage_synthetic_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outages.with_outage_rows(history.history_window(log, lo, hi), _windows(spark, sf_dir))
 
 
+@query
+def period_amended_events_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``period_amended_events`` with the rows overridden within their minute."""
+    return durations.all_amended_events(outage_synthetic_events(spark, sf_dir), *PERIOD.bounds)
+
+
 @query
 def period_amended_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return durations.amended_events(_timeline(spark, sf_dir), PERIOD.bounds[1])

@@ -373,6 +373,23 @@ ORACLE["period_amended_events"] = text(
     UNION ALL
     SELECT {PORT}, cpo_name, status, {HI}, CAST(is_new AS INTEGER) FROM tl WHERE t1 = {HI}""",
 )
+ORACLE["period_amended_events_all"] = text(
+    [
+        *TO_HISTORY,
+        f"""
+whole AS (
+  SELECT *, min(update_time) OVER (PARTITION BY {PORT}) AS first_time,
+         max(update_time) OVER (PARTITION BY {PORT}) AS last_time
+  FROM (SELECT * FROM kept UNION ALL SELECT * FROM back UNION ALL SELECT * FROM gone)
+  WHERE status IS NOT NULL)""",
+    ],
+    f"""SELECT {PORT}, cpo_name, status, CAST(first_time > {LO} AS INTEGER) AS new_evse,
+    date_trunc('minute', CASE WHEN first_time <= {LO} AND update_time = first_time THEN {LO}
+                         ELSE update_time END) AS update_time FROM whole
+    UNION ALL
+    SELECT {PORT}, cpo_name, status, CAST(first_time > {LO} AS INTEGER), {HI} FROM whole
+    WHERE update_time = last_time""",
+)
 ORACLE["status_durations"] = text(
     [
         *TO_TIMELINE,

@@ -166,6 +166,24 @@ def test_amended_events(make_log):
     ]
 
 
+def test_all_amended_events_has_rows_overridden_in_their_minute(make_log):
+    log = make_log(
+        [
+            (*PORT, "Available", "2023-12-31 01:00:00"),
+            (*PORT, "Charging", day("00:10:10")),
+            (*PORT, "Finishing", day("00:10:40")),
+        ]
+    )
+    rows = durations.all_amended_events(log, LO, HI).collect()
+    minute = datetime(2024, 1, 1, 0, 10)
+    assert sorted((r.update_time, r.status, r.new_evse) for r in rows) == [
+        (LO, "Available", 0),
+        (minute, "Charging", 0),
+        (minute, "Finishing", 0),
+        (HI, "Finishing", 0),
+    ]
+
+
 def by_grid(rows, windows):
     """Per port: rows outside outages, synthetic rows, then every 30 seconds."""
     ports = defaultdict(list)
