@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from portpulse.llm.bpe import op7_bpe
 from portpulse.llm.embedding_dedup import op9_embedding_dedup
 from portpulse.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from portpulse.llm.filter_audit import OP12_SQL, op12_filter_audit
+from portpulse.llm.hard_negatives import OP11_SQL, op11_hard_negatives
+from portpulse.llm.mixing import OP13_SQL, op13_source_mix
 from portpulse.llm.ngram_join import op8_ngram_join
 from portpulse.llm.packing import op2_packing
 from portpulse.llm.quality import op3_quality
@@ -30,10 +33,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_join,
         op9_embedding_dedup,
         op10_toxicity,
+        op11_hard_negatives,
+        op12_filter_audit,
+        op13_source_mix,
     )
 }
 ORACLE: dict[str, str] = {
     "op1_url_filter": OP1_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op6_warc": OP6_SQL,
+    "op11_hard_negatives": OP11_SQL,
+    "op12_filter_audit": OP12_SQL,
+    "op13_source_mix": OP13_SQL,
 }

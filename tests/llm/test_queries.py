@@ -24,5 +24,5 @@ def test_query_equals_its_sql(spark, name):
 
 def test_all_are_registered():
     assert QUERIES.items() <= entry.queries().items()
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in entry.queries() and ORACLE.items() <= entry.oracle_sql().items()
