@@ -20,16 +20,21 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 WORD_END = "</w>"
-#: Words and pieces remembered by one task.
-REMEMBERED = 400_000
-#: Bytes of a piece that is encoded as a whole.
+#: Pieces and their bytes remembered by one task; beyond, those not met again are forgotten.
+REMEMBERED, REMEMBERED_BYTES = 200_000, 1 << 23
+#: Bytes up to which the ends of many words are merged side by side.
 SHORT = 64
+#: Words whose ends are merged side by side.
+LANES = 1 << 13
 _ID_BITS = 24
 _ID_MASK = (1 << _ID_BITS) - 1
 _NO_PAIR = 1 << 60
@@ -199,134 +204,210 @@ class Vocabulary:
         return [s for s in symbols if s >= 0]
 
 
-class WordTransducer:
-    """Takes the bytes of one word bit by bit and gives out tokens once they are stable."""
+class Transducer:
+    """Takes the bytes of many words bit by bit and gives out tokens once they are stable.
 
-    def __init__(self, vocabulary: Vocabulary):
+    Each word has a lane, whose state is the bytes held back: at most ``limit``, however
+    long the word is.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, lanes: int):
         self.v = vocabulary
-        self.held = bytearray()
+        self.held = [b""] * lanes
         self.limit = 4 * vocabulary.lookahead + 64
 
-    def feed(self, raw: bytes) -> Iterator[int]:
+    def feed(self, portions: Iterable[bytes]) -> dict[int, list[int]]:
+        """A portion for every lane, of any length; by lane, the tokens that are stable now."""
+        given = {}
+        held = list(portions)
+        for lane, (before, raw) in enumerate(zip(self.held, held, strict=True)):
+            if len(before) + len(raw) > self.limit:
+                given[lane] = list(self._fed(lane, raw))
+                held[lane] = self.held[lane]
+            elif before:
+                held[lane] = before + raw
+        self.held = held
+        return given
+
+    def _fed(self, lane: int, raw: bytes) -> Iterator[int]:
         for at in range(0, len(raw), self.limit):
-            self.held += raw[at : at + self.limit]
-            if len(self.held) > self.limit:
-                yield from self._stable()
+            self.held[lane] += raw[at : at + self.limit]
+            if len(self.held[lane]) > self.limit:
+                yield from self._stable(lane)
 
-    def _stable(self) -> Iterator[int]:
+    def _stable(self, lane: int) -> Iterator[int]:
         # The last byte may be the word's last, which is another symbol: it stays out.
-        known = len(self.held) - 1
-        tokens = self.v.merged([self.v.inner[b] for b in self.held[:known]])
+        held = self.held[lane]
+        known = len(held) - 1
         at = 0
-        for t in tokens:
+        for t in self.v.merged([self.v.inner[b] for b in held[:known]]):
             if at + self.v.size[t] > known - self.v.lookahead:
                 break
             at += self.v.size[t]
             yield t
-        del self.held[:at]
-
-    def close(self) -> list[int]:
-        """The rest, at the word's end."""
-        if not self.held:
-            return []
-        symbols = [self.v.inner[b] for b in self.held[:-1]] + [self.v.final[self.held[-1]]]
-        self.held = bytearray()
-        return self.v.merged(symbols)
+        self.held[lane] = held[at:]
+
+    def close(self) -> list[bytes]:
+        """The rest of every lane, at its word's end, as bytes of ids."""
+        out = [b""] * len(self.held)
+        short = sorted((k for k, raw in enumerate(self.held) if 0 < len(raw) <= SHORT), key=lambda k: len(self.held[k]))
+        for at in range(0, len(short), LANES):
+            lanes = short[at : at + LANES]
+            for lane, ids in zip(lanes, self.v.merged_many([self.held[k] for k in lanes]), strict=True):
+                out[lane] = ids
+        for lane, raw in enumerate(self.held):
+            if len(raw) > SHORT:
+                symbols = [self.v.inner[b] for b in raw[:-1]] + [self.v.final[raw[-1]]]
+                out[lane] = np.array(self.v.merged(symbols), "<u4").tobytes()
+        self.held = [b""] * len(self.held)
+        return out
 
 
-def _simple_pieces() -> re.Pattern:
-    """The file's split pattern for texts of characters below 256 without white space."""
-    letters = "".join(
-        re.escape(c) for c in map(chr, range(256)) if unicodedata.category(c)[0] == "L"
-    )
-    numbers = "".join(c for c in map(chr, range(256)) if unicodedata.category(c)[0] == "N")
-    return re.compile(
-        rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+"
-    )
+def transduced(vocabulary: Vocabulary, words: list[bytes], portion: int = 1 << 16) -> list[bytes]:
+    """Ids of many words, all fed to one transducer portion by portion."""
+    machine = Transducer(vocabulary, len(words))
+    given: dict[int, list[int]] = {}
+    for at in range(0, max(map(len, words), default=0), portion):
+        for lane, ids in machine.feed([w[at : at + portion] for w in words]).items():
+            given.setdefault(lane, []).extend(ids)
+    out = machine.close()
+    for lane, ids in given.items():
+        out[lane] = np.array(ids, "<u4").tobytes() + out[lane]
+    return out
+
+
+_OTHER, _LETTER, _NUMBER, _BLANK = range(4)
+
+
+def _character_classes() -> np.ndarray:
+    """What the file's split pattern takes the characters below 256 for."""
+    kinds = np.full(256, _OTHER, np.uint8)
+    for c in map(chr, range(256)):
+        kind = unicodedata.category(c)[0]
+        kinds[ord(c)] = _BLANK if c.isspace() else {"L": _LETTER, "N": _NUMBER}.get(kind, _OTHER)
+    return kinds
+
+
+_CLASS = _character_classes()
+#: The endings that the split pattern takes together with the apostrophe before them.
+_ONE, _TWO = np.frombuffer(b"stmd", np.uint8), (b"re", b"ve", b"ll")
+_APOSTROPHE = ord("'")
+
+
+def piece_starts(data: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Where pieces begin in lower-case characters below 256: at each run of letters, each
+    number and each run of other characters; an apostrophe that is such a run by itself takes
+    the ending along that follows it. The last character must be a blank."""
+    begins = np.ones(len(data), bool)
+    begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _NUMBER)
+    begins &= kind != _BLANK
+    at = np.flatnonzero((data == _APOSTROPHE) & begins)
+    at = at[kind[at + 1] == _LETTER] + 1
+    two = np.zeros(len(at), bool)
+    for a, b in _TWO:
+        two |= (data[at] == a) & (data[at + 1] == b)
+    some = two | np.isin(data[at], _ONE)
+    at, length = at[some], np.where(two[some], 2, 1)
+    begins[at] = False
+    after = at + length
+    begins[after] |= kind[after] == _LETTER
+    return begins
 
 
 class Encoder:
-    """Texts to ids, as the library does for this file, as little-endian unsigned 32-bit
-    bytes. Words up to ``SHORT`` bytes fit the transducer's buffer and are merged many at
-    a time and remembered; longer ones are streamed."""
+    """Texts to ids, as the library does for this file, as little-endian unsigned 32-bit bytes.
+
+    The pieces of many texts are put into one dictionary; those that are not remembered
+    go through the transducer, and the texts' ids are gathered from the dictionary's.
+    """
 
     def __init__(self, path: str):
-        self.v = Vocabulary(path)
-        library = Tokenizer.from_file(path)
-        self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
-        self.pattern = _simple_pieces()
+        self.path, self.v = path, Vocabulary(path)
         self.specials = re.compile(
             "(" + "|".join(map(re.escape, self.v.special)) + ")" if self.v.special else "(?!)()"
         )
-        self.pieces: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _piece(self, raw: bytes) -> bytes:
-        word = WordTransducer(self.v)
-        return np.array([*word.feed(raw), *word.close()], "<u4").tobytes()
-
-    def _learn(self, pieces: set[bytes]) -> None:
-        """Encode the short pieces that are not remembered, all at once by their length."""
-        new = sorted(pieces - self.pieces.keys(), key=len)
-        if len(self.pieces) + len(new) > REMEMBERED:
-            self.pieces.clear()
-            new = sorted(pieces, key=len)
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            self.pieces.update(zip(some, self.v.merged_many(some)))
-
-    def _joined(self, pieces: list[bytes]) -> bytes:
-        known = self.pieces
-        return b"".join([known[p] if len(p) <= SHORT else self._piece(p) for p in pieces])
+        # pieces, how many ids each has, all ids in that order, and which pieces were met lately
+        self.known = pa.array([], pa.large_binary())
+        self.size, self.ids, self.met = np.zeros(0, np.int64), np.zeros(0, "<u4"), np.zeros(0, bool)
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        """For the normaliser and the split of texts that are not plain; loaded with the first one."""
+        return Tokenizer.from_file(self.path)
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where distinct pieces are in the memory; new ones go through the transducer first."""
+        at = pc.index_in(pieces, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        self.met[at[at >= 0]] = True
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            some = pieces.take(pa.array(new))
+            told = transduced(self.v, some.to_pylist())
+            at[new] = len(self.known) + np.arange(len(new))
+            self.known = pa.concat_arrays([self.known, some])
+            self.size = np.concatenate((self.size, np.fromiter(map(len, told), np.int64, len(told)) >> 2))
+            self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(told), "<u4")))
+            self.met = np.concatenate((self.met, np.zeros(len(new), bool)))
+        return at
+
+    def _forget(self) -> None:
+        many = len(self.known) > REMEMBERED
+        if not many and self.known.nbytes <= REMEMBERED_BYTES:
+            return
+        keep = self.met & (pc.binary_length(self.known).to_numpy() <= SHORT)
+        if keep.sum() > REMEMBERED // 2:
+            keep[:] = False
+        self.ids = self.ids[np.repeat(keep, self.size)]
+        self.known = self.known.filter(pa.array(keep))
+        self.size, self.met = self.size[keep], np.zeros(int(keep.sum()), bool)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; give some hundred thousand characters at a time or more."""
-        parts = [self._parts(t or "") for t in texts]
-        words = set()
-        for text in parts:
-            for kind, some in text:
-                if kind == "words":
-                    words.update(some)
-        if len(self.words) + len(words) > REMEMBERED:
-            self.words.clear()
-        split = {w: [p.encode() for p in self.pattern.findall(w)] for w in words - self.words.keys()}
-        pieces = {p for found in split.values() for p in found}
+        # the parts in order: plain texts (to be split together), pieces, ids of special tokens
+        plain: list[bytes] = []
+        parts: list[list[tuple[int, object]]] = []
+        for text in texts:
+            parts.append(list(self._parts(text or "", plain)))
+        pieces, bounds = _split(plain)
+        listed = [p for text in parts for kind, some in text if kind == _PIECES for p in some]
+        coded = pa.concat_arrays([pieces, pa.array(listed, pa.large_binary())]).dictionary_encode()
+        at = self._places(coded.dictionary)
+        begin = np.cumsum(self.size) - self.size
+        which = at[coded.indices.to_numpy()]
+        many = self.size[which]
+        end = np.concatenate((np.zeros(1, np.int64), np.cumsum(many)))
+        flat = self.ids[np.arange(end[-1]) + np.repeat(begin[which] - end[:-1], many)].tobytes()
+        self._forget()
+
+        out, at_listed = [], len(pieces)
         for text in parts:
+            given = []
             for kind, some in text:
-                if kind == "pieces":
-                    pieces.update(some)
-        self._learn({p for p in pieces if len(p) <= SHORT})
-        for w, found in split.items():
-            self.words[w] = self._joined(found)
-        return [b"".join(map(self._part_ids, text)) for text in parts]
-
-    def _part_ids(self, part) -> bytes:
-        kind, some = part
-        if kind == "words":
-            return b"".join(map(self.words.__getitem__, some))
-        return self._joined(some) if kind == "pieces" else some
-
-    def _parts(self, text: str) -> list:
-        """Runs of plain words, runs of pieces split by the library's rules, and ids."""
-        out = []
+                if kind == _IDS:
+                    given.append(some)
+                    continue
+                if kind == _PLAIN:
+                    lo, hi = bounds[some], bounds[some + 1]
+                else:
+                    lo, hi = at_listed, at_listed + len(some)
+                    at_listed = hi
+                given.append(flat[4 * end[lo] : 4 * end[hi]])
+            out.append(b"".join(given))
+        return out
+
+    def _parts(self, text: str, plain: list[bytes]) -> Iterator[tuple[int, object]]:
+        """The number of a plain text, the pieces of one split by the library's rules, or ids."""
         for part in self.specials.split(text):
             if part in self.v.special:
-                out.append(("ids", np.array([self.v.special[part]], "<u4").tobytes()))
+                yield _IDS, np.array([self.v.special[part]], "<u4").tobytes()
             elif part and self._simple(part):
-                out.append(("words", part.lower().split()))
+                plain.append(part.lower().encode("latin-1"))
+                yield _PLAIN, len(plain) - 1
             elif part:
-                normal = self.normalizer.normalize_str(part)
+                normal = self.library.normalizer.normalize_str(part)
                 code = self.v.byte_of
-                out.append(
-                    (
-                        "pieces",
-                        [
-                            bytes(map(code.__getitem__, p))
-                            for p, _ in self.splitter.pre_tokenize_str(normal)
-                        ],
-                    )
-                )
-        return out
+                split = self.library.pre_tokenizer.pre_tokenize_str(normal)
+                yield _PIECES, [bytes(map(code.__getitem__, p)) for p, _ in split]
 
     def _simple(self, text: str) -> bool:
         """Whether plain string methods give what the library's normaliser does."""
@@ -337,6 +418,32 @@ class Encoder:
         return not _RARE.search(text)
 
 
+_PLAIN, _PIECES, _IDS = range(3)
+
+
+def _split(plain: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """Pieces of texts of characters below 256, in UTF-8, and where each text's begin."""
+    data = np.frombuffer(b" ".join([*plain, b""]) if plain else b" ", np.uint8)
+    kind = _CLASS[data]
+    begins = piece_starts(data, kind)
+    text = np.cumsum([0, *(len(t) + 1 for t in plain)])
+    first = np.flatnonzero(begins)
+    bounds = np.searchsorted(first, text)
+    used = kind != _BLANK
+    # characters from 128 on take two bytes of UTF-8
+    width = used.astype(np.int64) + (used & (data >= 128))
+    place = np.cumsum(width) - width
+    size = int(width.sum())
+    raw = data[used]
+    if size > len(raw):
+        raw = np.frombuffer(raw.tobytes().decode("latin-1").encode(), np.uint8)
+    offsets = np.concatenate((place[first], [size])).astype(np.int64)
+    pieces = pa.Array.from_buffers(
+        pa.large_binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(raw))]
+    )
+    return pieces, bounds
+
+
 class TokenJoiner:
     """Ids to text as the library's decode does for a file without a decoder: the tokens
     themselves, joined by one blank. State: whether a token came before."""

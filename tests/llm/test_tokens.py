@@ -3,9 +3,11 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -45,16 +47,69 @@ def test_ids_are_those_of_the_library(library):
 def test_stream_equals_whole_words():
     v = tokens.encoder(PATH).v
     r = random.Random(5)
-    for _ in range(5):
-        raw = "".join(r.choice("theaning") for _ in range(20_000)).encode()
-        whole = v.merged([v.inner[b] for b in raw[:-1]] + [v.final[raw[-1]]])
-        word, out, at = tokens.WordTransducer(v), [], 0
-        while at < len(raw):
-            step = r.randint(1, 7000)
-            out += word.feed(raw[at : at + step])
-            at += step
-            assert len(word.held) <= word.limit
-        assert [*out, *word.close()] == whole
+    words = ["".join(r.choice("theaning") for _ in range(n)).encode() for n in (20_000, 1, 9, 64, 65, 7_000, 20_000)]
+    for _ in range(3):
+        machine = tokens.Transducer(v, len(words))
+        out, at = [[] for _ in words], [0] * len(words)
+        while any(a < len(w) for a, w in zip(at, words)):
+            steps = [r.randint(1, 7000) for _ in words]
+            for k, ids in machine.feed([w[a : a + n] for w, a, n in zip(words, at, steps)]).items():
+                out[k] += ids
+            at = [a + n for a, n in zip(at, steps)]
+            assert all(len(held) <= machine.limit for held in machine.held)
+        assert out[0] and out[5]
+        for raw, ids, rest in zip(words, out, machine.close()):
+            whole = v.merged([v.inner[b] for b in raw[:-1]] + [v.final[raw[-1]]])
+            assert [*ids, *np.frombuffer(rest, "<u4").tolist()] == whole
+
+
+def test_every_piece_goes_through_the_transducer(library, monkeypatch):
+    """Short ones too; what is remembered has gone through it before."""
+    folder = "/root/testdata/sf0.001/documents.parquet"
+    docs = pq.read_table(folder).column("text").to_pylist() + ["word " + "y" * 9000, "文 <|endoftext|> it's"]
+    passed, close = Counter(), tokens.Transducer.close
+    given = tokens.Transducer.feed
+
+    def feed(self, portions):
+        portions = list(portions)
+        for lane, raw in enumerate(portions):
+            passed[id(self), lane] += len(raw)
+        return given(self, portions)
+
+    closed = []
+    monkeypatch.setattr(tokens.Transducer, "feed", feed)
+    monkeypatch.setattr(tokens.Transducer, "close", lambda self: closed.append(len(self.held)) or close(self))
+    encoder = tokens.Encoder(PATH)
+    for at in range(0, len(docs), 7):
+        encoder.encode(docs[at : at + 7])
+    pieces, code = set(), encoder.v.byte_of
+    for t in docs:
+        for part in encoder.specials.split(t or ""):
+            if part not in encoder.v.special:
+                normal = library.normalizer.normalize_str(part)
+                pieces |= {bytes(map(code.__getitem__, p)) for p, _ in library.pre_tokenizer.pre_tokenize_str(normal)}
+    assert len(pieces) > 1000 and sum(closed) == len(pieces)
+    assert sum(passed.values()) == sum(map(len, pieces))
+
+
+def test_memory_of_pieces_is_bounded(library, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 50)
+    encoder = tokens.Encoder(PATH)
+    words = [f"word{k % 90}x y{k % 7}" for k in range(400)]
+    for at in range(0, 400, 20):
+        got = encoder.encode(words[at : at + 20])
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [
+            library.encode(w, add_special_tokens=False).ids for w in words[at : at + 20]
+        ]
+        assert len(encoder.known) == len(encoder.size) == len(encoder.met) <= 50
+        assert encoder.size.sum() == len(encoder.ids)
+
+
+def test_many_texts_at_once(library):
+    every = texts()
+    got = tokens.Encoder(PATH).encode(every)
+    for text, ids in zip(every, got, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
 def test_decoding(library):
