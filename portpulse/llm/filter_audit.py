@@ -57,13 +57,14 @@ def failing(docs: DataFrame, id_col: str, text_col: str, part_col: str) -> tuple
         )
     )
     tables = {name: settle(rows.where(name).select("row")) for name in "ABCD"}
-    first = (
+    # written, so that no aggregate shares the join's stage: adaptive execution can then split
+    # the side that has a hot text
+    first = settle(
         rows.groupBy("digest")
         .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
         .where("n > 1")
         .select(F.col("digest").alias("_digest"), "first")
     )
-    # a hot text's side of this join is split by adaptive execution: nothing is grouped above it
     copies = rows.join(first, (F.col("digest") == F.col("_digest")) & (F.col("id") > F.col("first")))
     tables["E"] = settle(copies.select("row"))
     return rows.select("row", "id", "part"), tables
