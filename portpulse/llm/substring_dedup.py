@@ -5,25 +5,32 @@ full-text index (``fmindex``); backward search over its wavelet levels finds the
 that occur twice or more.
 
 Which shard a window belongs to follows from its words alone, so equal windows always
-meet: the window's minimizer (the smallest hash of the ``gram``-word sequences inside it)
-is its key. Neighbouring windows of one key form a segment of at most
-``window + gram`` windows. A key that occurs once in the whole corpus cannot belong to a
-repeated window, so only segments of repeated keys go on. Equal segments are combined
-before they are indexed, and enter an index at most twice.
-
-A key that too many different segments share (a passage quoted everywhere, each time in
-other surroundings) would make a large shard. Its windows are dealt out singly instead,
-by a hash of the whole window, and equal ones are combined first. Every window takes one
-of the two ways, and in both the index decides.
-
-Hashes are of 64 bits for words and for (key, segment) 128 bits together.
+meet: the window's minimizer (the smallest hash of the ``gram``-word sequences inside it,
+the leftmost of equals) is its key. Neighbouring windows with one and the same minimizer
+form a segment: the minimizer, and up to ``window - gram`` words on either side. A key that
+occurs once in the whole corpus cannot belong to a repeated window, so only segments of
+repeated keys go on, and equal ones count once from there.
+
+A passage quoted everywhere gives one key as many different segments as it has
+surroundings. So segments are trimmed: what stands on one side of the minimizer is kept
+as far as some other segment of the key agrees with it. That is the longest common prefix
+with the neighbours in the sorted order of all sides; the order is by range partitions, so a
+key with any number of segments is spread. A repeated window agrees on both sides with
+another occurrence, so it is inside what is kept. Trimmed segments of a quoted
+passage are equal, and only different ones are indexed: twice where they stand for several
+occurrences, once otherwise. The width of the interval found by backward search decides.
+
+A shard holds whole keys; its volume is bounded but for one key with very many different
+surroundings that repeat. Hashes are of 64 bits for words and sides and, with the key, of 128
+bits for segments.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from portpulse.functions.scale import settle
@@ -38,14 +45,12 @@ from portpulse.llm.common import (
     utf8,
 )
 from portpulse.llm.fmindex import FMIndex, repeated_runs
-from portpulse.llm.wordhash import Words, sliding_min, slices, words_of
+from portpulse.llm.wordhash import Words, sliding_argmin, slices, words_of
 
 WINDOW = 35
 GRAM = 8
 #: Words in one index shard, about; an index of a million words takes some 100 MB to build.
 SHARD_WORDS = 600_000
-#: Different segments of one key beyond which its windows are dealt out singly.
-CROWD = 1_000
 
 _SEGMENT = pa.schema(
     [
@@ -54,7 +59,7 @@ _SEGMENT = pa.schema(
         ("key", pa.int64()),
         ("segment", pa.int64()),
         ("first", pa.int32()),
-        ("windows", pa.int32()),
+        ("left", pa.int32()),
         ("byte", pa.int64()),
         ("bytes", pa.int32()),
     ]
@@ -68,30 +73,15 @@ def _grams(words: Words, gram: int) -> np.ndarray:
 def _segments(
     words: Words, grams: np.ndarray, window: int, gram: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, number of windows and key of each segment."""
-    if len(words.hashes) < window:
-        empty = np.zeros(0, np.int64)
-        return empty, empty, np.zeros(0, np.uint64)
+    """First word, number of windows and minimizer's first word of each segment."""
     start = words.starts(window)
-    key = sliding_min(grams, window - gram + 1)[start]
-    text = words.text_of()[start]
+    if not len(start):
+        return (np.zeros(0, np.int64),) * 3
+    place = sliding_argmin(grams, window - gram + 1)[start]
     new = np.ones(len(start), bool)
-    new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
+    new[1:] = place[1:] != place[:-1]
     run = np.flatnonzero(new)
-    inside = np.arange(len(start)) - np.repeat(run, np.diff(np.append(run, len(start))))
-    new |= inside % (window + gram) == 0  # repetitive text keeps one key for very long
-    run = np.flatnonzero(new)
-    return start[run], np.diff(np.append(run, len(start))), key[run]
-
-
-def _stands_twice(
-    grams: np.ndarray, start: np.ndarray, count: np.ndarray, key: np.ndarray
-) -> np.ndarray:
-    seen = np.zeros(len(start), np.int64)
-    for step in range(int(count.max())):
-        inside = np.flatnonzero(count > step)
-        seen[inside] += grams[start[inside] + step] == key[inside]
-    return seen >= 2
+    return start[run], np.diff(np.append(run, len(start))), place[run]
 
 
 def _keys(window: int, gram: int):
@@ -102,12 +92,10 @@ def _keys(window: int, gram: int):
             for part in slices(texts):
                 words = words_of(texts[part])
                 grams = _grams(words, gram)
-                start, windows, key = _segments(words, grams, window, gram)
-                if len(key):
-                    # A window can repeat inside its segment, too: there its key stands twice.
-                    twice = _stands_twice(grams, start, windows + window - gram, key)
-                    found, at = np.unique(key, return_inverse=True)
-                    yield batch(out, [signed(found), np.bincount(at, 1 + twice).astype(np.int64)])
+                place = _segments(words, grams, window, gram)[2]
+                if len(place):
+                    found, n = np.unique(grams[place], return_counts=True)
+                    yield batch(out, [signed(found), n.astype(np.int64)])
 
     return run
 
@@ -118,7 +106,8 @@ def _occurrences(window: int, gram: int):
             ids, texts = b.column(0), b.column(1).to_pylist()
             for part in slices(texts):
                 words = words_of(texts[part])
-                start, windows, key = _segments(words, _grams(words, gram), window, gram)
+                grams = _grams(words, gram)
+                start, windows, place = _segments(words, grams, window, gram)
                 if not len(start):
                     continue
                 text = np.searchsorted(words.first, start, "right") - 1
@@ -130,10 +119,10 @@ def _occurrences(window: int, gram: int):
                     [
                         ids.take(pa.array(text + part.start)),
                         keys[text],
-                        signed(key),
+                        signed(grams[place]),
                         signed(words.spans(start, length)),
                         (start - words.first[text]).astype(np.int32),
-                        windows.astype(np.int32),
+                        (place - start).astype(np.int32),
                         begin - words.text_begin[text],
                         (end - begin).astype(np.int32),
                     ],
@@ -145,51 +134,182 @@ def _occurrences(window: int, gram: int):
 def _cut(batches: Batches) -> Batches:
     """The bytes of the chosen segments of each text."""
     out = pa.schema(
-        [("key", pa.int64()), ("segment", pa.int64()), ("twice", pa.bool_()), ("words", pa.binary())]
+        [("key", pa.int64()), ("segment", pa.int64()), ("twice", pa.bool_()), ("left", pa.int32()), ("words", pa.binary())]
     )
     for b in batches:
         rows = []
         for text, chosen in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             raw = utf8(text)
             for c in chosen:
-                rows.append(
-                    (c["key"], c["segment"], c["twice"], raw[c["byte"] : c["byte"] + c["bytes"]])
-                )
+                words = raw[c["byte"] : c["byte"] + c["bytes"]]
+                rows.append((c["key"], c["segment"], c["twice"], c["left"], words))
         for at in range(0, len(rows), 20_000):
             yield batch(out, zip(*rows[at : at + 20_000], strict=True))
 
 
-def _single_windows(window: int):
-    """Each window of a segment by itself, under a hash of its words."""
+def _decoded(raw: list[bytes]) -> list[str]:
+    return [r.decode("utf-8", "surrogatepass") for r in raw]
+
+
+def _column(b: pa.RecordBatch, name: str) -> pa.Array:
+    return b.column(b.schema.get_field_index(name))
+
+
+def _ragged(first: np.ndarray, size: np.ndarray, step: int) -> np.ndarray:
+    """The places first, first + step, ... of every row, one row after the other."""
+    at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    return np.repeat(first, size) + step * at
+
+
+def _sides(gram: int):
+    """Of each segment, what stands left of its minimizer (nearest first) and right of it: a
+    hash (``before``, ``after``), and 32 bits of each word, which is enough to compare by."""
+    out = pa.schema(
+        [("key", pa.int64()), ("segment", pa.int64()), ("twice", pa.bool_()), ("left", pa.int32()),
+         ("before", pa.int64()), ("after", pa.int64()), ("words_before", pa.binary()), ("words_after", pa.binary())]
+    )
 
     def run(batches: Batches) -> Batches:
-        out = pa.schema(
-            [
-                ("key", pa.int64()),
-                ("segment", pa.int64()),
-                ("twice", pa.bool_()),
-                ("offset", pa.int32()),
-                ("hash", pa.int64()),
-                ("words", pa.binary()),
-            ]
-        )
         for b in batches:
-            texts = [r.decode("utf-8", "surrogatepass") for r in b.column(3).to_pylist()]
-            for part in slices(texts, 1 << 17):
+            texts = _decoded(_column(b, "words").to_pylist())
+            for part in slices(texts):
                 words = words_of(texts[part])
-                start = words.starts(window)
-                text = np.searchsorted(words.first, start, "right") - 1
-                row = pa.array(text + part.start)
-                begin = words.begin[start] - words.text_begin[text]
-                end = words.end[start + window - 1] - words.text_begin[text]
-                raw = [r.encode("utf-8", "surrogatepass") for r in texts[part]]
+                n = len(words.first) - 1
+                left = _column(b, "left").to_numpy()[part].astype(np.int64)
+                right = np.diff(words.first) - left - gram
+                first, after = words.first[:-1], words.first[:-1] + left + gram
+                brief = (words.hashes >> np.uint64(32)).astype(">u4")
+                sides = []
+                for places, size in ((_ragged(first + left - 1, left, -1), left), (_ragged(after, right, 1), right)):
+                    ends = np.concatenate(([0], 4 * np.cumsum(size))).astype(np.int32)
+                    raw = pa.py_buffer(brief[places].tobytes())
+                    sides.append(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), raw]))
+                marks = [signed(words.spans(first, left)), signed(words.spans(after, right))]
+                given = (_column(b, c).slice(part.start, n) for c in ("key", "segment", "twice", "left"))
+                yield batch(out, [*given, *marks, *sides])
+
+    return run
+
+
+def _filled(sides: list[bytes | None]) -> np.ndarray:
+    """Rows of words, with as many columns as the longest has words."""
+    size = np.array([len(s or b"") for s in sides]) >> 2
+    grid = np.zeros((len(sides), int(size.max(initial=0))), np.uint32)
+    grid[np.arange(grid.shape[1]) < size[:, None]] = np.frombuffer(b"".join(s or b"" for s in sides), np.uint32)
+    return grid
+
+
+def _agreed(one: list[bytes], two: list[bytes | None]) -> np.ndarray:
+    """Number of first words in which two sides agree; none with a missing one."""
+    a, b = _filled(one), _filled(two)
+    width = min(a.shape[1], b.shape[1])
+    both = np.minimum([len(s) for s in one], [len(s or b"") for s in two]) >> 2
+    same = (a[:, :width] == b[:, :width]) & (np.arange(width) < both[:, None])
+    return np.logical_and.accumulate(same, axis=1).sum(1)
+
+
+_SIDE = "key long, side int, mark long, reach int, words binary, part int"
+
+
+def _reach(batches: Batches) -> Batches:
+    """How many words of each side another occurrence has, too, from the sorted rows of one
+    range. The first and the last row keep their words: their neighbours are in other ranges."""
+    out = pa.schema([("key", pa.int64()), ("side", pa.int32()), ("mark", pa.int64()), ("reach", pa.int32()),
+                     ("words", pa.binary()), ("part", pa.int32())])
+    task = TaskContext.get().partitionId()
+    held: list[tuple] = []  # the last row of the batch before, its reach so far, and whether it is the first of all
+
+    def given(rows: list[tuple], reach: np.ndarray, ends: list[bool]) -> pa.RecordBatch:
+        key, side, words, mark, _ = zip(*rows, strict=True)
+        kept = [w if end else None for w, end in zip(words, ends, strict=True)]
+        return batch(out, [key, side, mark, reach.astype(np.int32), kept, [task] * len(rows)])
+
+    reach, begun = np.zeros(0, np.int64), False
+    for b in batches:
+        rows = held + list(zip(*(_column(b, n).to_pylist() for n in ("key", "side", "words", "mark", "n")), strict=True))
+        if not b.num_rows:
+            continue
+        alike = np.array([x[:2] == y[:2] for x, y in zip(rows, rows[1:])], bool)
+        common = np.where(alike, _agreed([r[2] for r in rows[:-1]], [r[2] for r in rows[1:]]), 0) if len(rows) > 1 else np.zeros(0, np.int64)
+        now = np.zeros(len(rows), np.int64)
+        now[: len(reach)] = reach
+        now[1:] = np.maximum(now[1:], common)
+        now[:-1] = np.maximum(now[:-1], common)
+        whole = np.array([len(r[2]) for r in rows]) >> 2
+        now = np.where(np.array([r[4] for r in rows]) >= 2, whole, now)
+        if len(rows) > 1:
+            yield given(rows[:-1], now[:-1], [not begun and k == 0 for k in range(len(rows) - 1)])
+            begun = True
+        held, reach = rows[-1:], now[-1:]
+    if held:
+        yield given(held, reach, [True])
+
+
+def _reaches(sided: DataFrame) -> DataFrame:
+    """``reach`` of every different side (0: before, 1: after; ``mark``: its hash) of a key."""
+    order = ["key", "side", "words"]
+    both = F.array(
+        *(F.struct(F.lit(k).alias("side"), F.col(f"words_{c}").alias("words"), F.col(c).alias("mark")) for k, c in enumerate(("before", "after")))
+    )
+    times = F.when(F.col("twice"), 2).otherwise(1)
+    sides = (
+        sided.select("key", times.alias("n"), F.explode(both).alias("_s"))
+        .groupBy("key", "_s.side", "_s.words", "_s.mark")
+        .agg(F.sum("n").alias("n"))
+    )
+    reached = settle(
+        mapped(sides.repartitionByRange(*order).sortWithinPartitions(*order).select(*order, "mark", "n"), _reach, _SIDE)
+    )
+    # the two ends of each range meet their neighbours in the ranges beside it: two lines a range
+    ends = reached.where("words is not null")
+    along = Window.orderBy("part", "key", "side", "words")
+    before, after = (
+        F.struct(*(F.lag(c, n).over(along).alias(c) for c in ("key", "side", "words"))) for n in (1, -1)
+    )
+    met = ends.select("*", before.alias("_one"), after.alias("_two"))
+    corrected = mapped(met, _reach_across, "key long, side int, mark long, reach int")
+    slim = reached.select("key", "side", "mark", "reach")
+    return settle(slim.unionByName(corrected).groupBy("key", "side", "mark").agg(F.max("reach").alias("reach")))
+
+
+def _reach_across(batches: Batches) -> Batches:
+    out = pa.schema([("key", pa.int64()), ("side", pa.int32()), ("mark", pa.int64()), ("reach", pa.int32())])
+    for b in batches:
+        rows = []
+        for r in b.to_pylist():
+            for other in (r["_one"], r["_two"]):
+                if other["words"] is not None and (other["key"], other["side"]) == (r["key"], r["side"]):
+                    rows.append((r["key"], r["side"], r["mark"], int(_agreed([r["words"]], [other["words"]])[0])))
+        if rows:
+            yield batch(out, zip(*rows, strict=True))
+
+
+def _trim(gram: int):
+    """Segments cut to the words that both reaches allow."""
+    out = pa.schema(
+        [("key", pa.int64()), ("segment", pa.int64()), ("twice", pa.bool_()), ("shift", pa.int32()),
+         ("trimmed", pa.int64()), ("n_words", pa.int64()), ("words", pa.binary())]
+    )
+
+    def run(batches: Batches) -> Batches:
+        for b in batches:
+            texts = _decoded(_column(b, "words").to_pylist())
+            before, after, left = (_column(b, n).to_numpy().astype(np.int64) for n in ("reach_before", "reach_after", "left"))
+            for part in slices(texts):
+                words = words_of(texts[part])
+                length, shift = before[part] + gram + after[part], left[part] - before[part]
+                start = words.first[:-1] + shift
+                origin = words.text_begin
+                begin, end = words.begin[start] - origin, words.end[start + length - 1] - origin
+                raw = [t.encode("utf-8", "surrogatepass") for t in texts[part]]
                 yield batch(
                     out,
                     [
-                        *(b.column(i).take(row) for i in range(3)),
-                        (start - words.first[text]).astype(np.int32),
-                        signed(words.spans(start, window)),
-                        [raw[t][x:y] for t, x, y in zip(text, begin, end, strict=True)],
+                        *(_column(b, n).slice(part.start, len(raw)) for n in ("key", "segment", "twice")),
+                        shift.astype(np.int32),
+                        signed(words.spans(start, length)),
+                        length,
+                        [t[x:y] for t, x, y in zip(raw, begin, end, strict=True)],
                     ],
                 )
 
@@ -201,7 +321,7 @@ def _index_shard(window: int):
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
-        parts = [r.decode("utf-8", "surrogatepass") for r in rows.column("words").to_pylist()]
+        parts = _decoded(rows.column("words").to_pylist())
         texts, length = [], []
         for part in slices(parts):
             words = words_of(parts[part])
@@ -222,7 +342,7 @@ def _index_shard(window: int):
         return pa.table(
             {
                 "key": rows.column("key").take(row),
-                "segment": rows.column("segment").take(row),
+                "trimmed": rows.column("trimmed").take(row),
                 "from": pa.array(begin.astype(np.int32)),
                 "to": pa.array(end.astype(np.int32)),
             }
@@ -232,12 +352,12 @@ def _index_shard(window: int):
 
 
 def _indexed(rows: DataFrame, words: int, window: int) -> DataFrame:
-    """``rows``: key, segment, twice, words. Runs of repeated words within each."""
+    """``rows``: key, trimmed, twice, words. Runs of repeated words within each."""
     n = shards_for(words, SHARD_WORDS)
     return (
-        rows.select("key", "segment", "twice", "words")
+        rows.select("key", "trimmed", "twice", "words")
         .groupBy(F.pmod(F.xxhash64("key"), F.lit(n)).alias("shard"))
-        .applyInArrow(_index_shard(window), "key long, segment long, `from` int, `to` int")
+        .applyInArrow(_index_shard(window), "key long, trimmed long, `from` int, `to` int")
     )
 
 
@@ -327,7 +447,8 @@ def _judged(
 ) -> DataFrame:
     """id, row (an expression that is carried along), n_words, n_removed, kept_text."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    repeated = (
+    # written, so that no aggregate shares a stage with the join: a hot key can be split there
+    repeated = settle(
         mapped(rows.select("text"), _keys(window, gram), "key long, n long")
         .groupBy("key")
         .agg(F.sum("n").alias("n"))
@@ -338,17 +459,16 @@ def _judged(
         mapped(
             rows,
             _occurrences(window, gram),
-            "id long, text_key long, key long, segment long, first int, windows int, "
-            "byte long, bytes int",
+            "id long, text_key long, key long, segment long, first int, left int, byte long, bytes int",
         ).join(repeated, "key")
     )
     different = found.groupBy("key", "segment").agg(
         (F.count(F.lit(1)) >= 2).alias("twice"),
-        F.min(F.struct("id", "text_key", "byte", "bytes", "windows")).alias("at"),
+        F.min(F.struct("id", "text_key", "byte", "bytes", "left")).alias("at"),
     )
     chosen = different.select("key", "segment", "twice", "at.*")
     chosen = chosen.groupBy("id", "text_key").agg(
-        F.collect_list(F.struct("key", "segment", "twice", "byte", "bytes")).alias("chosen")
+        F.collect_list(F.struct("key", "segment", "twice", "left", "byte", "bytes")).alias("chosen")
     )
     keyed = mapped(
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")),
@@ -359,42 +479,53 @@ def _judged(
         mapped(
             _matched(keyed, chosen, "inner").select("text", "chosen"),
             _cut,
-            "key long, segment long, twice boolean, words binary",
-        ).dropDuplicates(["key", "segment"])  # of texts that repeat under one id
+            "key long, segment long, twice boolean, left int, words binary",
+        )
     )
-    crowds = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD)
-    volume = found.agg(F.coalesce(F.sum(F.col("windows") + F.lit(window - 1)), F.lit(0))).first()[0]
-    some = pieces.join(crowds.select("key"), "key", "left_anti")
-    runs = _indexed(some, volume, window)
-
-    single = settle(
+    if pieces.select("key", "segment").distinct().count() < pieces.count():
+        # of texts that repeat under one id
+        pieces = settle(pieces.dropDuplicates(["key", "segment"]))
+    sided = settle(
         mapped(
-            pieces.join(crowds.select("key"), "key", "left_semi").select(
-                "key", "segment", "twice", "words"
-            ),
-            _single_windows(window),
-            "key long, segment long, twice boolean, offset int, hash long, words binary",
+            pieces,
+            _sides(gram),
+            "key long, segment long, twice boolean, left int, before long, after long, "
+            "words_before binary, words_after binary",
         )
     )
-    combined = (
-        single.groupBy("hash")
-        .agg(
+    reaches = _reaches(sided)
+    reach = lambda side, name: reaches.where(F.col("side") == side).select(
+        "key", F.col("mark").alias(name), F.col("reach").alias(f"reach_{name}")
+    )
+    kept = (
+        sided.select("key", "segment", "before", "after")
+        .join(reach(0, "before"), ["key", "before"])
+        .join(reach(1, "after"), ["key", "after"])
+        .where(F.col("reach_before") + F.lit(gram) + F.col("reach_after") >= window)
+    )
+    trimmed = settle(
+        mapped(
+            pieces.join(kept.select("key", "segment", "reach_before", "reach_after"), ["key", "segment"]),
+            _trim(gram),
+            "key long, segment long, twice boolean, shift int, trimmed long, n_words long, words binary",
+        )
+    )
+    indexed = settle(
+        trimmed.groupBy("key", "trimmed").agg(
             ((F.count(F.lit(1)) >= 2) | F.max("twice")).alias("twice"),
             F.first("words").alias("words"),
+            F.first("n_words").alias("n_words"),
         )
-        .where("twice")
-        .select(F.col("hash").alias("key"), F.col("hash").alias("segment"), "twice", "words")
     )
-    confirmed = _indexed(combined, volume, window).select(F.col("key").alias("hash")).distinct()
-    more = single.join(confirmed, "hash").select(
-        "key",
-        "segment",
-        F.col("offset").alias("from"),
-        (F.col("offset") + F.lit(window)).cast("int").alias("to"),
+    volume = indexed.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    runs = (
+        trimmed.select("key", "segment", "trimmed", "shift")
+        .join(_indexed(indexed, volume, window), ["key", "trimmed"])
+        .select("key", "segment", (F.col("from") + F.col("shift")).alias("from"), (F.col("to") + F.col("shift")).alias("to"))
     )
     spans = (
         found.select("id", "text_key", "key", "segment", "first")
-        .join(runs.unionByName(more), ["key", "segment"])
+        .join(runs, ["key", "segment"])
         .groupBy("id", "text_key")
         .agg(
             F.collect_set(

@@ -20,7 +20,7 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _BYTE = np.array([xxhash.xxh64_intdigest(bytes([b]), 1) for b in range(256)], np.uint64)
 _ODD = pow(int(MULTIPLIER), -1, 1 << 64)
 #: Bytes hashed at once; the arrays take about 40 bytes for each.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -126,6 +126,20 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
+def sliding_argmin(x: np.ndarray, width: int) -> np.ndarray:
+    """Place of the smallest of each ``width`` neighbours, the leftmost one of equals."""
+    if len(x) < width:
+        return np.zeros(0, np.int64)
+    have, least, place = 1, x, np.arange(len(x))
+    while have < width:
+        step = min(have, width - have)
+        right = least[step:] < least[: len(least) - step]
+        place = np.where(right, place[step:], place[: len(place) - step])
+        least = x[place]
+        have += step
+    return place
+
+
 def slices(texts: list, limit: int = CHUNK) -> Iterator[slice]:
     """Neighbouring texts of about ``limit`` characters together; a longer text is alone."""
     at, size = 0, 0

@@ -54,15 +54,66 @@ def made_rows(seed):
     return rows
 
 
-@pytest.mark.parametrize("crowd", [1_000, 1])
-def test_equals_counting_every_window(spark, monkeypatch, crowd):
-    monkeypatch.setattr(sd, "CROWD", crowd)
-    rows = made_rows(crowd)
+@pytest.mark.parametrize("shard", [600_000, 50])
+def test_equals_counting_every_window(spark, monkeypatch, shard):
+    monkeypatch.setattr(sd, "SHARD_WORDS", shard)
+    rows = made_rows(shard)
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, key string")
     got = sd.remove_repeats(docs.repartition(5), window=10, gram=4).collect()
     assert sorted(map(tuple, got), key=str) == brute(rows, 10)
 
 
+def quoted_rows(n):
+    """A passage in n texts, each time in other surroundings, some of which repeat."""
+    r = random.Random(n)
+    passage = " ".join(f"p{k}" for k in range(15))
+    ends = [" ".join(f"e{r.randrange(9)}" for _ in range(12)) for _ in range(5)]
+    rows = []
+    for k in range(n):
+        other = lambda: " ".join(f"u{r.randrange(10**9)}" for _ in range(r.randrange(14)))  # noqa: E731, B023
+        rows.append((k, f"{other()} {passage} {r.choice([*ends, other(), other()])}"))
+    return rows
+
+
+def test_a_passage_in_many_surroundings(spark, monkeypatch):
+    """All of its windows go and no other; what is indexed does not grow with the texts."""
+    indexed = []
+    inner = sd._indexed
+    monkeypatch.setattr(sd, "_indexed", lambda rows, *a: indexed.append(rows.count()) or inner(rows, *a))
+    for n in (100, 400):
+        rows = quoted_rows(n)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        got = sd.remove_repeats(docs, window=10, gram=4).collect()
+        assert sorted(map(tuple, got), key=str) == brute(rows, 10)
+    assert indexed[1] < 2 * indexed[0] < 200
+
+
+def test_sides_in_several_ranges(spark):
+    """Neighbours of the sorted order in different ranges count as well."""
+    rows = quoted_rows(150)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set(coalesce, "false")
+    try:
+        got = sd.remove_repeats(docs, window=10, gram=4).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset(coalesce)
+    assert sorted(map(tuple, got), key=str) == brute(rows, 10)
+
+
+def test_a_very_long_text(spark):
+    r = random.Random(1)
+    long = " ".join(f"w{r.randrange(10**6)}" for _ in range(300_000))
+    part = " ".join(long.split()[1000:1100])
+    rows = [(1, long), (2, part), (3, "short"), (4, "x" * 3_000_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in sd.remove_repeats(docs).collect()}
+    assert got == {1: (300_000, 100), 2: (100, 100), 3: (1, 0), 4: (1, 0)}
+
+
 def test_production_window_on_the_sample(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
