@@ -20,14 +20,16 @@ def split_by_day(spark: SparkSession, sf_dir: str, path: str) -> None:
     days.hint("rebalance", "day").write.partitionBy("day").parquet(path)
 
 
-def stream_log(
-    spark: SparkSession, sf_dir: str, path: str, files_per_batch: int = 16
-) -> DataFrame:
-    """Streaming status log over event files under ``path``."""
-    events = (
+def stream_events(spark: SparkSession, path: str, files_per_batch: int = 16) -> DataFrame:
+    """Streaming event files under ``path``."""
+    return (
         spark.readStream.schema(EVENT_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", True)
         .parquet(path)
     )
-    return sample.status_log(spark, sf_dir, events)
+
+
+def stream_log(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Streaming status log over event files under ``path``."""
+    return sample.status_log(spark, sf_dir, stream_events(spark, path))
