@@ -135,9 +135,11 @@ def month_starts(df: DataFrame, column: str) -> DataFrame:
     return months.select(midnight(F.col("month_start")).alias("month_start"))
 
 
-def evse_level(fact: DataFrame, statuses: Sequence[str] = STATUSES) -> DataFrame:
+def evse_level(
+    fact: DataFrame, statuses: Sequence[str] = STATUSES, more_keys: Sequence[str] = ()
+) -> DataFrame:
     """Port rows -> charger rows: summed seconds and the number of distinct ports."""
-    keys = [*EVSE_KEYS, "interval"]
+    keys = [*EVSE_KEYS, *more_keys, "interval"]
     return _with_port_count(fact, keys, "evse_id", ["evse_port_id"], PORT_COUNT, statuses)
 
 

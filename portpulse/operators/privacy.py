@@ -26,11 +26,15 @@ def shared_areas(fact: DataFrame) -> DataFrame:
 
 def hide_single_operator_areas(fact: DataFrame) -> DataFrame:
     """Keep the rows of shared areas, and funded rows anywhere."""
-    shared = settle(shared_areas(fact)).withColumn("_shared", F.lit(True))
+    return in_shared_areas(fact, settle(shared_areas(fact)))
+
+
+def in_shared_areas(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """The rows of some areas, and funded rows anywhere."""
     return (
-        fact.join(shared, "lga_name", "left")
+        rows.join(shared.withColumn("_shared", F.lit(True)), "lga_name", "left")
         .where(F.col("_shared").isNotNull() | (F.col("government_funded") != NOT_FUNDED))
-        .select(*fact.columns)
+        .select(*rows.columns)
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from portpulse.functions.clock import midnight
+from portpulse.functions.clock import midnight, ntz
 from portpulse.functions.rates import metric_seconds, rate
 from portpulse.functions.scale import settle, shared_folder
 from portpulse.functions.text import safe_name
@@ -30,9 +30,11 @@ from portpulse.operators import (
     stats,
 )
 from portpulse.plans import dashboard, monthly
+from portpulse.plans.level_store import LevelStore
 from portpulse.schema import (
     AREA_LOOKUP,
     METRICS,
+    MISSING,
     PORT_KEYS,
     STATUSES,
     TOTAL,
@@ -40,6 +42,7 @@ from portpulse.schema import (
     conform,
 )
 from portpulse.sources import readers, sample, writers
+from portpulse.sources.log_store import LogStore
 from portpulse.streaming import incremental, live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +74,10 @@ _WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
 _FOLDERS: dict[tuple[str, str, str], str] = {}
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _version(spark: SparkSession, sf_dir: str) -> str:
     """The folder and what its files are now: a changed input is another table."""
     path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
@@ -145,8 +152,18 @@ def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.load(_fact(spark, sf_dir), LOAD_FROM, LOAD_TO)
 
 
+def _level(spark: SparkSession, sf_dir: str) -> LevelStore:
+    """The stored charger level, of which the dashboard's roll-ups are made."""
+    key = (spark.sparkContext.applicationId, _version(spark, sf_dir), "level")
+    if key not in _FOLDERS:
+        path = _scratch(spark, "level")
+        LevelStore(spark, path).replace(_fact(spark, sf_dir), PERIOD)
+        _FOLDERS[key] = path
+    return LevelStore(spark, _FOLDERS[key])
+
+
 def _evse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.evse_level(_loaded(spark, sf_dir))
+    return _level(spark, sf_dir).load(LOAD_FROM, LOAD_TO)
 
 
 def _report_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,6 +211,38 @@ def status_history_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.history_window(log, lo, hi)
 
 
+def _moved_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events 15 days later, so that they lie across a month's end."""
+    events = sample.table(spark, sf_dir, "events")
+    return events.withColumn("ts", F.col("ts") + F.expr("INTERVAL '15' DAY"))
+
+
+def _log_store(spark: SparkSession, sf_dir: str, events: DataFrame) -> LogStore:
+    """The log in two loads, the second one with late rows, and a snapshot for each of two periods."""
+    store = LogStore(spark, _scratch(spark, "log"))
+    log = settle(sample.status_log(spark, sf_dir, events))
+    late = F.crc32("evse_port_id") % 5 == 0
+    middle = monthly.Period(*TWO_PERIODS[1]).bounds[0]
+    first = (F.col("update_time") < ntz(middle)) & ~late
+    store.add(log.where(first), 0)
+    for period in TWO_PERIODS:
+        store.snapshot(monthly.Period(*period).bounds[0])
+    store.add(log.where(~first), 1)
+    return store
+
+
+@query
+def status_history_two_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``status_history_window`` of two periods, each from a snapshot and its own days."""
+    store = _log_store(spark, sf_dir, _moved_events(spark, sf_dir))
+    parts = []
+    for start, end in TWO_PERIODS:
+        lo, hi = monthly.Period(start, end).bounds
+        rows = history.history_window(store.between(lo, hi), lo, hi)
+        parts.append(rows.withColumn("period", F.lit(start)))
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def offline_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo, hi = PERIOD.bounds
@@ -754,17 +803,13 @@ def session_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- sources and sinks -----------------------------------------------------
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 @query
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact table in long form, written per state and month and read back for one state."""
+    """The fact table, written per state and month and read back for one state, in long form."""
     path = _scratch(spark, "fact")
-    writers.write_fact(durations.long_durations(_new_fact(spark, sf_dir)), path, PERIOD.start)
+    writers.write_fact(_new_fact(spark, sf_dir), path, PERIOD.start)
     return (
-        readers.read_fact(spark, path, "VIC", "2024-01-01", "2024-01-31")
+        durations.long_durations(readers.read_fact(spark, path, "VIC", "2024-01-01", "2024-01-31"))
         .groupBy("state", "year", "month", "status")
         .agg(F.count("*").alias("n"), F.sum("status_duration").alias("seconds"))
     )
@@ -774,15 +819,15 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_two_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two periods written one after the other, the first once more, both read back.
 
-    The log is moved by 15 days, so that it lies across a month's end.
+    Each is derived from the last rows before it and its own days of the log.
     """
     path = _scratch(spark, "fact")
-    events = sample.table(spark, sf_dir, "events")
-    events = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL '15' DAY"))
-    log = settle(sample.status_log(spark, sf_dir, events))
+    events = _moved_events(spark, sf_dir)
+    store = _log_store(spark, sf_dir, events)
     windows = settle(sample.outages(spark, sf_dir, events))
     for start, end in [*TWO_PERIODS, TWO_PERIODS[0]]:
         period = monthly.Period(start, end)
+        log = store.between(*period.bounds)
         fact = monthly.fact_table(log, _location(spark, sf_dir), windows, period)
         writers.write_fact(fact, path, period.start)
     both = readers.read_fact(spark, path, None, TWO_PERIODS[0][0], TWO_PERIODS[1][1])
@@ -791,6 +836,41 @@ def fact_two_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def rollup_after_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two periods' charger level, the second stored again from a log without some ports."""
+    events = _moved_events(spark, sf_dir)
+    store = _log_store(spark, sf_dir, events)
+    windows = settle(sample.outages(spark, sf_dir, events))
+    levels = LevelStore(spark, _scratch(spark, "level"))
+    for (start, end), all_ports in zip([*TWO_PERIODS, TWO_PERIODS[1]], [True, True, False], strict=True):
+        period = monthly.Period(start, end)
+        log = store.between(*period.bounds)
+        if not all_ports:
+            log = log.where(F.substring("evse_port_id", 2, 20).cast("int") % 3 != 0)
+        levels.replace(monthly.fact_table(log, _location(spark, sf_dir), windows, period), period)
+    return rounded(metrics.rollup(levels.load(TWO_PERIODS[0][0], TWO_PERIODS[1][1]), ["cpo_name"], "10080min"))
+
+
+@query
+def fact_of_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch over a feed with a status of its own, from the feed's tables of types and history."""
+
+    def told(event_type: Column, value: Column) -> Column:
+        servicing = (event_type == "error") & (value >= 200)
+        return F.when(servicing, "Servicing").otherwise(sample.status_name(event_type, value))
+
+    tables = sample.normalized(spark, sf_dir, told)
+    fact, statuses = monthly.fact_of_feed(tables, _location(spark, sf_dir), PERIOD)
+    summed = fact.groupBy("state", "cpo_name").agg(
+        F.count("*").alias("n"), *[F.sum(s).alias(s) for s in [*statuses, TOTAL]]
+    )
+    metric = summed.withColumns(metric_seconds(statuses))
+    return rounded(
+        metric.select(*summed.columns, *[rate(m, statuses).alias(f"{m}_share") for m in METRICS])
+    )
+
+
 @query
 def dashboard_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored fact table, pruned to one state, through the dashboard's load."""
@@ -848,13 +928,22 @@ def boundary_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -------------------------------------------------------------
 @query
 def live_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return live.latest_status_of_folder(spark, sf_dir, _scratch(spark, "live"))
+    return live.live_of_folder(spark, sf_dir, _scratch(spark, "live"), outages=False).status()
 
 
 @query
 def live_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = live.latest_status_of_folder(spark, sf_dir, _scratch(spark, "live"))
-    return live.availability(latest, _location(spark, sf_dir))
+    view = live.live_of_folder(spark, sf_dir, _scratch(spark, "live"), outages=False)
+    return live.availability(view.status(), _location(spark, sf_dir))
+
+
+@query
+def live_availability_outages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ports, available ones and those that are out, with the feed's outages taken in."""
+    view = live.live_of_folder(spark, sf_dir, _scratch(spark, "live"), outages=True)
+    status = settle(view.status())
+    out = status.groupBy("cpo_name").agg(F.count(F.when(F.col("status") == MISSING, 1)).alias("missing_ports"))
+    return live.availability(status, _location(spark, sf_dir)).join(out, "cpo_name", "left")
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -86,3 +86,18 @@ def fact_table(
     rows = settle(port_timeline(log, location, windows, period, statuses))
     dense = durations.dense_durations(rows, period.bounds[0], statuses, residual)
     return places.apply_cpo_cleaning(metrics.with_location(dense, location))
+
+
+def fact_of_feed(
+    tables: Mapping[str, DataFrame], location: DataFrame, period: Period, residual: str = "reference"
+) -> tuple[DataFrame, list[str]]:
+    """:func:`fact_table` from a feed's operational tables, and its statuses.
+
+    The list of statuses is that of the feed's own types: one that is not among the known
+    ones has a column of its own, and counts in the totals of the rates.
+    """
+    lo, hi = period.bounds
+    statuses = statuses_of(tables["port_status_types"])
+    windows = history.offline_scan(tables, lo, hi)
+    log = history.history_scan(tables, until=hi)
+    return fact_table(log, location, windows, period, statuses, residual), statuses

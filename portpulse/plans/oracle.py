@@ -183,14 +183,18 @@ def _sums(value: str, variable: str, names: list[str], absent: str = "NULL") ->
 
 
 WIDE = [*STATUSES, "Total"]
-FACT = f"""
+def fact_of(wide: list[str]) -> str:
+    return f"""
 fact AS (
   SELECT {PORT}, update_time AS interval, cpo_name, address, suburb, postcode, lga_name, state,
          latitude, longitude, power, government_funded, w.* EXCLUDE ({PORT}, update_time)
-  FROM (SELECT {PORT}, update_time, {_sums('status_duration', 'status', WIDE, absent='0')}
+  FROM (SELECT {PORT}, update_time, {_sums('status_duration', 'status', wide, absent='0')}
         FROM dense GROUP BY ALL) w
   JOIN loc USING ({PORT}))"""
 
+
+FACT = fact_of(WIDE)
+
 LOADED = f"""
 local_fact AS (
   SELECT * REPLACE (
@@ -966,6 +970,60 @@ def _two_periods() -> str:
 
 
 ORACLE["fact_two_periods"] = _two_periods()
+MORE = [*STATUSES, "Servicing"]
+_more_sums = ", ".join(f'CAST(sum("{n}") AS BIGINT) AS "{n}"' for n in [*MORE, "Total"])
+_observable = 'nullif("Total" - "Missing" - "Unknown", 0)'
+ORACLE["fact_of_feed"] = text(
+    [
+        *[
+            part.replace("CASE WHEN event_type", "CASE WHEN event_type = 'error' AND value >= 200 THEN 'Servicing' WHEN event_type")
+            for part in [*TO_DENSE, FUNDED]
+        ],
+        fact_of([*MORE, "Total"]),
+        f"""
+summed AS (SELECT state, cpo_name, count(*) AS n, {_more_sums} FROM fact GROUP BY state, cpo_name)""",
+    ],
+    "SELECT *, "
+    + ", ".join(f'round(({sql})::DOUBLE / {_observable}, 6) AS "{m}_share"' for m, sql in METRIC_SQL.items())
+    + " FROM summed",
+)
+ORACLE["status_history_two_months"] = text(
+    [
+        TABLES,
+        f"""
+moved AS (SELECT * REPLACE (update_time + INTERVAL 15 DAY AS update_time) FROM log),
+periods AS (
+  SELECT * FROM (VALUES ('2024-01-17', TIMESTAMP '2024-01-16 13:00:00', TIMESTAMP '2024-01-31 13:00:00'),
+                        ('2024-02-01', TIMESTAMP '2024-01-31 13:00:00', TIMESTAMP '2024-02-12 13:00:00')) p(period, lo, hi)),
+before AS (
+  SELECT *, lag(update_time) OVER (PARTITION BY {PORT} ORDER BY update_time) AS prev FROM moved),
+since AS (
+  SELECT period, {PORT}, hi, min(prev) AS since
+  FROM before JOIN periods ON update_time > lo AND update_time < hi GROUP BY ALL)""",
+    ],
+    f"""SELECT {PORT}, cpo_name, status, update_time, period FROM moved JOIN since USING ({PORT})
+    WHERE update_time BETWEEN since AND hi""",
+)
+
+
+def _after_rerun() -> str:
+    """The facts of two periods, the second without some ports, then the usual steps."""
+    moved = "FROM (SELECT * REPLACE (ts + INTERVAL 15 DAY AS ts) FROM events)"
+    parts = []
+    fewer = "FROM (SELECT * FROM log WHERE CAST(substr(evse_port_id, 2) AS INTEGER) % 3 <> 0) AS log SEMI JOIN"
+    for lo, hi, log in (
+        ("2024-01-16 13:00:00", "2024-01-31 13:00:00", "FROM log SEMI JOIN"),
+        ("2024-01-31 13:00:00", "2024-02-12 13:00:00", fewer),
+    ):
+        sql = text(TO_FACT, "SELECT * FROM fact").replace("FROM log SEMI JOIN", log)
+        sql = sql.replace("FROM events", moved)
+        parts.append(sql.replace(LO, f"TIMESTAMP '{lo}'").replace(HI, f"TIMESTAMP '{hi}'"))
+    whole = "\nUNION ALL\n".join(f"SELECT * FROM ({p})" for p in parts)
+    loaded = LOADED.replace(FROM, "TIMESTAMP '2024-01-17'").replace(TO, "TIMESTAMP '2024-02-12'")
+    return text([f"fact AS ({whole})", loaded, EVSE, _rolled(["cpo_name"], "10080min")], "SELECT * FROM rolled")
+
+
+ORACLE["rollup_after_rerun"] = _after_rerun()
 ORACLE["dashboard_state"] = text(
     [
         *TO_FACT,
@@ -987,17 +1045,73 @@ ORACLE["live_availability"] = text(
     count(*) FILTER (status = 'Available') AS available_ports
     FROM latest JOIN loc1 USING ({PORT}) GROUP BY ALL""",
 )
+ORACLE["live_availability_outages"] = text(
+    [
+        TABLES,
+        f"""
+allwin AS (
+  SELECT cpo_name, ts AS offline_timestamp,
+         ts + to_minutes(CAST(60 + event_id % 400 AS INTEGER)) AS online_timestamp
+  FROM events JOIN site ON site = user_id // 6 WHERE event_type = 'error' AND value >= 300),
+held AS (
+  SELECT * FROM log l WHERE NOT EXISTS (
+    SELECT 1 FROM allwin w WHERE w.cpo_name = l.cpo_name
+      AND l.update_time > w.offline_timestamp AND l.update_time < w.online_timestamp)),
+heard AS (
+  SELECT * FROM held QUALIFY row_number() OVER (PARTITION BY {PORT} ORDER BY update_time DESC) = 1),
+edges AS (
+  SELECT cpo_name, offline_timestamp AS since, 2 AS kind FROM allwin
+  UNION ALL SELECT cpo_name, online_timestamp, 1 FROM allwin),
+moment AS (
+  SELECT {PORT}, cpo_name, status, update_time AS since, 0 AS kind FROM heard
+  UNION ALL
+  SELECT {PORT}, cpo_name, CASE WHEN kind = 2 THEN 'Missing' ELSE status END, e.since, kind
+  FROM heard JOIN edges e USING (cpo_name)
+  WHERE e.since >= update_time AND e.since <= (SELECT max(update_time) FROM log)),
+latest AS (
+  SELECT * FROM moment QUALIFY row_number() OVER (PARTITION BY {PORT} ORDER BY since DESC, kind DESC) = 1),
+gone AS (
+  SELECT cpo_name, count(*) FILTER (status = 'Missing') AS missing_ports FROM latest GROUP BY cpo_name)""",
+    ],
+    f"""SELECT loc1.cpo_name, loc1.lga_name, count(*) AS ports,
+    count(*) FILTER (status = 'Available') AS available_ports, any_value(missing_ports) AS missing_ports
+    FROM latest JOIN loc1 USING ({PORT}) JOIN gone ON gone.cpo_name = loc1.cpo_name GROUP BY ALL""",
+)
 ORACLE["incremental_durations"] = text(
     [
         TABLES,
         f"""
-horizon AS (SELECT date_trunc('day', max(update_time)) + INTERVAL 1 DAY AS h FROM log),
+span AS (
+  SELECT date_trunc('day', min(update_time))::TIMESTAMP AS lo,
+         date_trunc('day', max(update_time))::TIMESTAMP + INTERVAL 1 DAY AS hi FROM log),
+allwin AS (
+  SELECT cpo_name, ts AS offline_timestamp,
+         ts + to_minutes(CAST(60 + event_id % 400 AS INTEGER)) AS online_timestamp
+  FROM events JOIN site ON site = user_id // 6
+  WHERE event_type = 'error' AND value >= 300
+    AND ts > (SELECT lo FROM span) AND ts < (SELECT hi FROM span)),
+held AS (
+  SELECT * FROM log l WHERE NOT EXISTS (
+    SELECT 1 FROM allwin w WHERE w.cpo_name = l.cpo_name
+      AND l.update_time > w.offline_timestamp AND l.update_time < w.online_timestamp)),
+edges AS (
+  SELECT DISTINCT {PORT}, cpo_name, offline_timestamp, online_timestamp
+  FROM held JOIN allwin USING (cpo_name)),
+moment AS (
+  SELECT {PORT}, status, update_time, 0 AS kind FROM held
+  UNION ALL
+  SELECT e.evse_id, e.evse_port_id, k.status, e.online_timestamp, 1
+  FROM edges e ASOF LEFT JOIN held k ON e.evse_id = k.evse_id AND e.evse_port_id = k.evse_port_id
+       AND e.online_timestamp >= k.update_time
+  UNION ALL
+  SELECT {PORT}, 'Missing', offline_timestamp, 2 FROM edges),
 minutes AS (
-  SELECT {PORT}, status, date_trunc('minute', update_time) AS t0 FROM log
+  SELECT {PORT}, status, date_trunc('minute', update_time) AS t0 FROM moment
+  WHERE status IS NOT NULL AND update_time < (SELECT hi FROM span)
   QUALIFY row_number() OVER (PARTITION BY {PORT}, date_trunc('minute', update_time)
-                             ORDER BY update_time DESC) = 1),
+                             ORDER BY update_time DESC, kind DESC) = 1),
 stretch AS (
-  SELECT *, coalesce(lead(t0) OVER (PARTITION BY {PORT} ORDER BY t0), (SELECT h FROM horizon)) AS t1
+  SELECT *, coalesce(lead(t0) OVER (PARTITION BY {PORT} ORDER BY t0), (SELECT hi FROM span)) AS t1
   FROM minutes),
 by_day AS (
   SELECT *, unnest(generate_series(date_trunc('day', t0)::TIMESTAMP, t1 - INTERVAL 1 SECOND, INTERVAL 1 DAY)) AS day

@@ -105,12 +105,22 @@ def read_fact(
     The filters are on partition columns, so other states and months are not listed
     into the scan.
     """
+    return of_range(spark.read.parquet(path), state, start, end, shift_hours)
+
+
+def of_range(
+    table: DataFrame,
+    state: str | None,
+    start: datetime | str,
+    end: datetime | str,
+    shift_hours: int = PERIOD_SHIFT_HOURS,
+) -> DataFrame:
+    """Rows of a table stored by state and period that may lie in a range of local time."""
     lo, hi = to_datetime(start), to_datetime(end) + timedelta(hours=shift_hours)
     month = F.col("year") * 12 + F.col("month")
-    fact = spark.read.parquet(path)
     if state is not None:
-        fact = fact.where(F.col("state") == state)
-    return fact.where(
+        table = table.where(F.col("state") == state)
+    return table.where(
         F.col("year").between(lo.year, hi.year)
         & month.between(lo.year * 12 + lo.month, hi.year * 12 + hi.month)
     )

@@ -7,6 +7,8 @@ grows with the sample it is read from.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,13 +186,15 @@ def funded_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def normalized(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The same data as the seven operational tables."""
+def normalized(
+    spark: SparkSession, sf_dir: str, status: Callable[[Column, Column], Column] = status_name
+) -> dict[str, DataFrame]:
+    """The same data as the seven operational tables; ``status`` names an event's status."""
     site = sites(spark, sf_dir)
     user = F.col("user_id")
     port = ports(spark, sf_dir)
     events = table(spark, sf_dir, "events").withColumn(
-        "status", status_name(F.col("event_type"), F.col("value"))
+        "status", status(F.col("event_type"), F.col("value"))
     )
 
     def operator_id(name: Column) -> Column:

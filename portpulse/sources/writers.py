@@ -2,34 +2,64 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from portpulse.functions.clock import to_datetime
 
 #: Rows of one file at most; a partition's number of files follows its volume.
 FILE_ROWS = 5_000_000
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def write_fact(fact: DataFrame, path: str, period_start: datetime | str) -> None:
-    """The rows of one period: one partition per state, under the period's label.
+def replace_label(df: DataFrame, path: str, label: Mapping[str, int], layout: Sequence[str], spread: str) -> None:
+    """Make ``df`` the whole content of one label of a table partitioned by ``layout``.
 
-    The label is year and month of the period's local start. The rows' own times cannot
-    tell it: a period begins some hours before its month does in UTC. Only partitions of
-    this label are replaced, so a month can be run again and others stay.
+    ``label`` gives some of the layout's columns one value for all rows. The rows'
+    partitions are replaced; what the label held in others is deleted once they are
+    written. Partitions of other labels stay. ``spread`` is the column by which tasks
+    of equal volume are made.
     """
-    start = to_datetime(period_start)
-    labelled = fact.withColumns({"year": F.lit(start.year), "month": F.lit(start.month)})
+    free = [c for c in layout if c not in label]
+    labelled = df.withColumns({c: F.lit(v) for c, v in label.items()})
+    # as many values as the label has partitions
+    seen = Observation()
+    values = F.collect_set(F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit(_NULL_PARTITION)) for c in free)))
     (
-        labelled.hint("rebalance", "state")
+        labelled.hint("rebalance", spread)
+        .observe(seen, values.alias("written"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", FILE_ROWS)
-        .partitionBy("state", "year", "month")
+        .partitionBy(*layout)
         .parquet(path)
     )
+    written = set(seen.get["written"])
+    fs = df.sparkSession._jvm.org.apache.hadoop.fs
+    pattern = fs.Path("/".join([path.rstrip("/"), *(f"{c}={label.get(c, '*')}" for c in layout)]))
+    store = pattern.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    for found in store.globStatus(pattern) or []:
+        folder = found.getPath()
+        parts = dict(p.split("=", 1) for p in folder.toString().split("/")[-len(layout) :])
+        if "\x1f".join(unquote(parts[c]) for c in free) not in written:
+            store.delete(folder, True)
+
+
+def write_fact(fact: DataFrame, path: str, period_start: datetime | str) -> None:
+    """The rows of one period: one partition per state, under the period's label.
+
+    The label is year and month of the period's local start. The rows' own times cannot
+    tell it: a period begins some hours before its month does in UTC. The label is
+    replaced as a whole, so a month can be run again (a state that has no rows any
+    more leaves nothing) and others stay.
+    """
+    start = to_datetime(period_start)
+    label = {"year": start.year, "month": start.month}
+    replace_label(fact, path, label, ("state", "year", "month"), "state")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

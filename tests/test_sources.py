@@ -3,12 +3,15 @@ from datetime import datetime
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portpulse import schema
 from portpulse.functions import scale
 from portpulse.functions.scale import own_folder, release, settle, shared_folder
+from portpulse.operators import history
 from portpulse.sources import readers, writers
+from portpulse.sources.log_store import LogStore
 
 
 def test_csv_with_declared_schema(spark, tmp_path):
@@ -80,6 +83,61 @@ def test_a_period_replaces_itself_only_and_reads_are_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(state" in plan
 
 
+def test_a_state_that_is_gone_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "fact")
+
+    def write(states, start):
+        rows = [(s, i) for i, s in enumerate(states)]
+        writers.write_fact(spark.createDataFrame(rows, "state string, v int"), path, start)
+        return {(r.state, r.year, r.month) for r in spark.read.parquet(path).collect()}
+
+    write(["NSW", "VIC", None, "A/B=C d"], "2024-05-01")
+    both = write(["VIC"], "2024-06-01")
+    assert both == {(s, 2024, 5) for s in ("NSW", "VIC", None, "A/B=C d")} | {("VIC", 2024, 6)}
+    assert write(["NSW", "A/B=C d"], "2024-05-01") == {("NSW", 2024, 5), ("A/B=C d", 2024, 5), ("VIC", 2024, 6)}
+    assert write([], "2024-05-01") == {("VIC", 2024, 6)}
+
+
+def test_log_store_reads_one_snapshot_and_its_own_days(spark, make_log, tmp_path):
+    store = LogStore(spark, str(tmp_path))
+    lo, hi = datetime(2024, 3, 1, 13), datetime(2024, 3, 31, 13)
+    rows = [
+        ("E1", "P1", "A", "Available", "2024-01-05 10:00:00"),  # long before
+        ("E1", "P1", "A", "Charging", "2024-03-04 10:00:00"),
+        ("E1", "P2", "A", "Charging", "2024-02-20 10:00:00"),
+        ("E1", "P2", "A", None, "2024-03-01 12:59:59.5"),  # the last row, and one before it with a status
+        ("E1", "P2", "A", "Reserved", "2024-03-01 13:00:00"),
+        ("E1", "P2", "A", "Finishing", "2024-03-01 13:00:00"),  # two rows at one moment
+        ("E1", "P2", "A", "Available", "2024-03-05 00:00:00"),
+        ("E2", "P3", "B", "Available", "2024-03-09 00:00:00"),  # first seen inside
+        ("E2", "P3", "B", "Charging", "2024-03-10 00:00:00"),
+        ("E2", "P4", "B", "Charging", "2024-04-10 00:00:00"),
+    ]
+    store.add(make_log(rows), 0)
+    assert store.between(lo, hi).count() == 9  # no snapshot yet
+    for at in ("2024-02-01 13:00:00", lo):
+        store.snapshot(at)
+    late = [("E1", "P1", "A", "Blocked", "2024-02-10 10:00:00"), ("E2", "P4", "B", "Unknown", "2024-01-20 00:00:00")]
+
+    def agree(log, at=lo):
+        got = sorted(map(tuple, history.history_window(store.between(at, hi), at, hi).collect()), key=str)
+        assert got == sorted(map(tuple, history.history_window(make_log(log), at, hi).collect()), key=str)
+        return got
+
+    assert len(agree(rows)) == 7
+    store.add(make_log(late), 1)  # before both snapshots
+    assert ("E1", "P1", "A", "Blocked", datetime(2024, 2, 10, 10)) in agree(rows + late)
+    store.add(make_log(late), 1)
+    agree(rows + late)
+    agree(rows + late, datetime(2024, 3, 3))  # from a snapshot before it and some days
+    store.add(make_log(late[1:]), 1)  # the load again, without a row that is in snapshots
+    assert ("E1", "P1", "A", "Available", datetime(2024, 1, 5, 10)) in agree(rows + late[1:])
+    plan = store.between(lo, hi)._jdf.queryExecution().executedPlan().toString()
+    assert "(day" in plan and ">= 2024-03-01)" in plan and "<= 2024-03-31)" in plan
+    read = store.between(lo, hi).select(F.input_file_name().alias("f")).distinct().collect()
+    assert not any("day=2024-01" in r.f or "day=2024-02" in r.f or "day=2024-04" in r.f for r in read)
+
+
 def test_settled_tables_live_in_the_shared_folder(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1), None)], "t timestamp_ntz, s string")
     again = settle(df)
