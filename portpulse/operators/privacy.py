@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portpulse.functions.scale import numbered_within, settle
+from portpulse.functions.scale import numbered_within, path_exists, settle
 from portpulse.schema import NOT_FUNDED
+from portpulse.sources.writers import replace_label
+
+#: Rows, group columns, key column and a name -> the number of each key in its group.
+Numbers = Callable[[DataFrame, Sequence[str], str, str], DataFrame]
 
 
 def shared_areas(fact: DataFrame) -> DataFrame:
@@ -80,11 +85,42 @@ CPO_PRIVACY: Mapping[str, bool] = {
 }
 
 
-def relabel(sessions: DataFrame, privacy: Mapping[str, bool] = CPO_PRIVACY) -> DataFrame:
+@dataclass(frozen=True)
+class LabelStore:
+    """Numbers of identifiers that stay when others come: a dictionary that only grows.
+
+    What a load brings for the first time is numbered, in key order, after what its group has
+    already. A load that is run again numbers its own keys again.
+    """
+
+    spark: SparkSession
+    path: str
+    load: int
+
+    def numbers(self, rows: DataFrame, group: Sequence[str], key: str, name: str) -> DataFrame:
+        """As :func:`numbered_within`, with the numbers of earlier loads kept."""
+        folder, columns = f"{self.path}/{name.strip('_')}", [*group, key]
+        schema = ", ".join([*(f"{c} string" for c in columns), f"{name} bigint, load bigint"])
+        told = path_exists(self.spark, folder)
+        stored = self.spark.read.schema(schema).parquet(folder) if told else self.spark.createDataFrame([], schema)
+        earlier = stored.where(F.col("load") < self.load).drop("load")
+        fresh = rows.select(*columns).distinct().join(earlier, columns, "left_anti")
+        last = earlier.groupBy(*group).agg(F.max(name).alias("_last"))
+        new = numbered_within(fresh, group, key, "_nth").join(last, list(group), "left")
+        number = F.col("_nth") + F.coalesce("_last", F.lit(0))
+        given = settle(new.select(*columns, number.cast("bigint").alias(name)))
+        replace_label(given, folder, {"load": self.load}, ("load",), key)
+        return earlier.unionByName(given)
+
+
+def relabel(
+    sessions: DataFrame, privacy: Mapping[str, bool] = CPO_PRIVACY, numbers: Numbers = numbered_within
+) -> DataFrame:
     """Replace identifiers by positions: Location i, station j, Port k, CPO n.
 
     Positions follow the sorted identifiers, so the same data always gets the same
-    labels. Operators missing from ``privacy`` get no station and port labels.
+    labels; with ``numbers`` of a :class:`LabelStore` they also stay when identifiers are
+    added. Operators missing from ``privacy`` get no station and port labels.
     """
     known = sessions.where(F.col("cpo_name").isin(list(privacy)))
     places = known.select("cpo_name", "location", "evse_id", "evse_port_id").distinct()
@@ -95,8 +131,7 @@ def relabel(sessions: DataFrame, privacy: Mapping[str, bool] = CPO_PRIVACY) -> D
         (["cpo_name", "location"], "evse_id", "_station_no", places),
         (["cpo_name", "location", "evse_id"], "evse_port_id", "_port_no", places),
     ):
-        numbers = numbered_within(rows, group, key, name)
-        result = result.join(numbers, [*group, key], "left")
+        result = result.join(numbers(rows, group, key, name), [*group, key], "left")
     label = F.lit(None).cast("string")
     for n, cpo in enumerate(hidden, start=1):
         label = F.when(F.col("cpo_name") == cpo, F.lit(f"CPO {n}")).otherwise(label)

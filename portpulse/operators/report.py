@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from portpulse.functions.rates import metric_seconds, percent, rate
 from portpulse.functions.scale import all_not_null
 from portpulse.operators.metrics import SITE_PORT_COUNT
+from portpulse.functions.scale import settle
 from portpulse.schema import (
     METRICS,
     OVERALL,
@@ -158,12 +159,19 @@ def numbered(
 ) -> DataFrame:
     """The rows of :func:`ranked` with their place, for tables whose order matters.
 
-    One ordered window: a report's table has a row per area and operator.
+    Places are counted inside ranges of the order and shifted by the rows of the ranges before.
     """
     keys = [c for c in ("lga_name", "cpo_name", "government_funded") if c in rows.columns]
     order = [F.col(b).desc_nulls_last() for b in by] + [F.col(k).asc() for k in keys]
-    place = F.row_number().over(Window.orderBy(*order))
-    return without_overall(rows).select(place.alias(name), *keep)
+    ranges = settle(
+        without_overall(rows).repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    )
+    # a line for each range
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = offsets.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) + F.col("_before")
+    return ranges.join(offsets, "_range").select(place.cast("int").alias(name), *keep)
 
 
 def area_extremes(areas: DataFrame, shares: Sequence[str]) -> DataFrame:

@@ -30,6 +30,7 @@ from portpulse.operators import (
     stats,
 )
 from portpulse.plans import dashboard, monthly
+from portpulse.plans.count_store import CountStore
 from portpulse.plans.level_store import LevelStore
 from portpulse.schema import (
     AREA_LOOKUP,
@@ -50,6 +51,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 PERIOD = monthly.Period(sample.PERIOD_START, sample.PERIOD_END)
 LOAD_FROM, LOAD_TO = "2024-01-03 00:00:00", "2024-01-27 00:00:00"
 TWO_PERIODS = [("2024-01-17", "2024-01-31"), ("2024-02-01", "2024-02-12")]
+HALF = "2024-01-12 09:30:00"
 PRIVACY = {"BUILDING": True, "MACHINERY": False, "AUTOMOBILE": True, "HOUSEHOLD": False}
 AREAS = ["LGA 0", "LGA 1", "LGA 2", "LGA 3", "LGA 4"]
 CPOS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"]
@@ -508,6 +510,24 @@ def coverage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct ports and operators of some unions of areas and days, from stored bitmaps."""
+    store = CountStore(spark, _scratch(spark, "counts"))
+    for _ in range(2):  # a period that is stored again changes nothing
+        store.replace(_fact(spark, sf_dir), PERIOD)
+    some = F.col("lga_name").isin(AREAS)
+    choices = {
+        "all": store.counts("2024-01-03", "2024-01-27"),
+        "areas": store.counts("2024-01-05", "2024-01-06", where=some & metrics.funding_filter("not_funded")),
+        "state": store.counts("2024-01-10", "2024-01-10", state="VIC"),
+    }
+    parts = [df.select(F.lit(name).alias("choice"), F.lit(None).cast("string").alias("lga_name"), "ports", "operators") for name, df in choices.items()]
+    by_area = store.counts("2024-01-20", "2024-01-27", by=["lga_name"])
+    parts.append(by_area.select(F.lit("by area").alias("choice"), "lga_name", "ports", "operators"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @query
 def hidden_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = metrics.dashboard_names(_fact(spark, sf_dir))
@@ -648,6 +668,30 @@ def session_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(sessions.session_table(found, PRIVACY))
 
 
+@query
+def session_labels_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of all sessions, after a load that knew those of the first half only."""
+    path = _scratch(spark, "labels")
+    first = _loaded(spark, sf_dir).where(F.col("interval") < ntz(HALF))
+    found = [settle(sessions.charging_sessions(rows)) for rows in (first, _loaded(spark, sf_dir))]
+    for load in (0, 0, 1):
+        store = privacy.LabelStore(spark, path, load)
+        table = sessions.session_table(found[load], PRIVACY, store.numbers)
+    return rounded(table)
+
+
+@query
+def sessions_two_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of two periods that were stored one by one, whole across their border."""
+    path = _scratch(spark, "sessions")
+    fact = _loaded(spark, sf_dir)
+    border = F.col("interval") < ntz("2024-01-16")
+    # two labels of one table
+    for start, rows in (("2024-01-01", border), ("2024-02-01", ~border), ("2024-01-01", border)):
+        sessions.store_period(fact.where(rows), path, start)
+    return rounded(sessions.stored_sessions(spark, path, "2024-01-01", "2024-02-28"))
+
+
 # --- report ----------------------------------------------------------------
 @query
 def report_cpo_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:

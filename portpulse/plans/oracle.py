@@ -728,6 +728,31 @@ lab AS (
     FROM lab""",
 )
 
+ORACLE["sessions_two_periods"] = ORACLE["charging_sessions"]
+_BEFORE = "interval < TIMESTAMP '2024-01-12 09:30:00' AND power IS NOT NULL"
+ORACLE["session_labels_two_loads"] = ORACLE["session_labels"].replace(
+    """
+lab AS (
+  SELECT *,
+    dense_rank() OVER (PARTITION BY cpo_name ORDER BY location) AS ln,
+    dense_rank() OVER (PARTITION BY cpo_name, location ORDER BY evse_id) AS sn,
+    dense_rank() OVER (PARTITION BY cpo_name, location, evse_id ORDER BY evse_port_id) AS pn
+  FROM sess)""",
+    f"""
+early AS (SELECT DISTINCT {SESSION_KEYS} FROM charging WHERE {_BEFORE}),
+marked AS (
+  SELECT sess.*,
+    (cpo_name, location) NOT IN (SELECT (cpo_name, location) FROM early) AS new_l,
+    (cpo_name, location, evse_id) NOT IN (SELECT (cpo_name, location, evse_id) FROM early) AS new_s,
+    ({SESSION_KEYS}) NOT IN (SELECT ({SESSION_KEYS}) FROM early) AS new_p
+  FROM sess),
+lab AS (
+  SELECT * EXCLUDE (new_l, new_s, new_p),
+    dense_rank() OVER (PARTITION BY cpo_name ORDER BY new_l, location) AS ln,
+    dense_rank() OVER (PARTITION BY cpo_name, location ORDER BY new_s, evse_id) AS sn,
+    dense_rank() OVER (PARTITION BY cpo_name, location, evse_id ORDER BY new_p, evse_port_id) AS pn
+  FROM marked)""",
+)
 ORACLE["report_cpo_snapshot"] = text(
     CPO_SNAP, f"SELECT cpo_name, evse_port_site_count, {ROUNDED_PROPS}, value FROM snap"
 )
@@ -1024,6 +1049,23 @@ def _after_rerun() -> str:
 
 
 ORACLE["rollup_after_rerun"] = _after_rerun()
+_COUNTED = 'count(DISTINCT (evse_id, evse_port_id)) AS ports, count(DISTINCT cpo_name) AS operators'
+ORACLE["distinct_counts"] = text(
+    [*TO_FACT, LOADED.split("ranged AS")[0].rstrip().rstrip(",")],
+    "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS choice, {area} AS lga_name, {_COUNTED} FROM local_fact "
+        f"WHERE interval >= DATE '{first}' AND interval < DATE '{last}' + INTERVAL 1 DAY AND {where} {group}"
+        for name, area, first, last, where, group in (
+            ("all", "NULL", "2024-01-03", "2024-01-27", "true", ""),
+            (
+                "areas", "NULL", "2024-01-05", "2024-01-06",
+                "government_funded = 'not_funded' AND lga_name IN ('LGA 0', 'LGA 1', 'LGA 2', 'LGA 3', 'LGA 4')", "",
+            ),
+            ("state", "NULL", "2024-01-10", "2024-01-10", "state = 'VIC'", ""),
+            ("by area", "lga_name", "2024-01-20", "2024-01-27", "true", "GROUP BY lga_name"),
+        )
+    ),
+)
 ORACLE["dashboard_state"] = text(
     [
         *TO_FACT,

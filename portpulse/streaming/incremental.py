@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from portpulse.functions.clock import epoch_micro, epoch_second, from_epoch_second, ntz, seconds_of
-from portpulse.functions.scale import settle
+from portpulse.functions.scale import path_exists, settle
 from portpulse.operators import durations
 from portpulse.operators.durations import CPO_PORT, code_bits, status_code, whole_minutes
 from portpulse.operators.outages import outside_outages
@@ -64,8 +64,7 @@ class Store:
     # -- files -----------------------------------------------------------------------
 
     def _has(self, name: str) -> bool:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+        return path_exists(self.spark, f"{self.path}/{name}")
 
     def _read(self, name: str, schema: str) -> DataFrame:
         """A stored table, empty before its first write. Any other trouble is an error."""
