@@ -50,7 +50,7 @@ def _suffix_order(text: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
         ahead = np.zeros(n, np.int64)
         ahead[: n - step] = rank[step:] + 1
         key = rank * (n + len(ends) + 2) + ahead if step > 1 else rank * (int(rank.max()) + 2) + ahead
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
         new = np.concatenate(([0], np.cumsum(ranked[1:] != ranked[:-1])))
         rank = np.empty(n, np.int64)
@@ -63,8 +63,10 @@ def _suffix_order(text: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
 class FMIndex:
     """Sequences of symbols 1..n; symbol 0 occurs nowhere and matches nothing."""
 
-    def __init__(self, sequences: np.ndarray, lengths: np.ndarray):
-        """``sequences`` holds the symbols of all sequences one after the other."""
+    def __init__(self, sequences: np.ndarray, lengths: np.ndarray, copies: np.ndarray | None = None):
+        """``sequences`` holds the symbols of all sequences one after the other; ``copies``
+        says how often each is there. The suffixes of a copy stand beside those of the
+        sequence itself and have the same symbols before them, so they are not sorted."""
         ends = np.cumsum(lengths + 1) - 1
         text = np.zeros(int(ends[-1]) + 1, np.int64)
         inside = np.ones(len(text), bool)
@@ -72,12 +74,14 @@ class FMIndex:
         text[inside] = sequences
         order = _suffix_order(text, ends, int(lengths.max()) + 1)
         last = text[order - 1]  # the text ends with a marker, so it may wrap around
+        if copies is not None:
+            last = np.repeat(last, np.repeat(copies, lengths + 1)[order])
         top = int(text.max()) + 1
         self.wavelet = WaveletMatrix(last, max(1, int(top).bit_length()))
         below = np.concatenate(([0], np.cumsum(np.bincount(last, minlength=top))))[:-1]
         symbols = np.arange(top)
         self.shift = below - self.wavelet.walk(symbols, np.zeros(top, np.int64))
-        self.size = len(text)
+        self.size = len(last)
 
     def extend(
         self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray

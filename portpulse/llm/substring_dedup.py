@@ -335,8 +335,7 @@ def _index_shard(window: int):
         np.add.at(again, symbol[np.repeat(twice, length)], 1)
         kept = seen + again >= 2
         symbol = np.where(kept, np.cumsum(kept), 0)[symbol]
-        pieces = np.concatenate((symbol, symbol[np.repeat(twice, length)]))
-        index = FMIndex(pieces, np.concatenate((length, length[twice])))
+        index = FMIndex(symbol, length, 1 + twice)
         which, begin, end = repeated_runs(index, symbol, length, window)
         row = pa.array(which)
         return pa.table(

@@ -147,3 +147,25 @@ def test_index_against_counting():
         }
         runs = repeated_runs(FMIndex(symbols, lengths), symbols, lengths, least)
         assert {(k, j) for k, b, e in zip(*runs) for j in range(b, e)} == want
+
+
+def test_copies_in_the_index():
+    import numpy as np
+
+    for seed in range(40):
+        r = random.Random(seed)
+        texts = [[r.randint(1, 4) for _ in range(r.randint(1, 9))] for _ in range(r.randint(1, 8))]
+        copies = np.array([r.randint(1, 3) for _ in texts])
+        lengths, symbols = np.array([len(t) for t in texts]), np.array(sum(texts, []))
+        index = FMIndex(symbols, lengths, copies)
+        assert index.size == int((copies * (lengths + 1)).sum())
+        for _ in range(30):
+            pattern = [r.choice(symbols.tolist()) for _ in range(r.randint(1, 4))]
+            low, high = np.array([0]), np.array([index.size])
+            for s in reversed(pattern):
+                low, high = index.extend(np.array([s]), low, high)
+            want = sum(
+                int(c) * sum(t[i : i + len(pattern)] == pattern for i in range(len(t)))
+                for t, c in zip(texts, copies)
+            )
+            assert max(0, int(high[0] - low[0])) == want
