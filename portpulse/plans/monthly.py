@@ -11,7 +11,14 @@ from pyspark.sql import DataFrame
 from portpulse.functions.clock import period_bounds
 from portpulse.functions.scale import settle
 from portpulse.operators import durations, history, location as places, metrics
-from portpulse.schema import PERIOD_SHIFT_HOURS, STATUSES
+from portpulse.schema import (
+    LOCATION,
+    OFFLINE,
+    PERIOD_SHIFT_HOURS,
+    STATUS_LOG,
+    STATUSES,
+    conform,
+)
 
 
 @dataclass(frozen=True)
@@ -80,8 +87,14 @@ def fact_table(
     """One row per port and half hour: location columns and seconds per status.
 
     ``location`` is a prepared one. Its columns are joined last, after the log has
-    been reduced, and the join keeps the partitioning by port.
+    been reduced, and the join keeps the partitioning by port. An input that lacks a column
+    is an error here. A status outside the list counts as ``Unknown``; :func:`fact_of_feed` takes
+    the list from the feed.
     """
+    log = conform(log, STATUS_LOG, "status log")
+    conform(location, LOCATION, "location")
+    if windows is not None:
+        windows = conform(windows, OFFLINE, "outage windows")
     # Written once: two facts about the whole timeline and its pieces are read from it.
     rows = settle(port_timeline(log, location, windows, period, statuses))
     dense = durations.dense_durations(rows, period.bounds[0], statuses, residual)

@@ -41,7 +41,6 @@ STATUSES = REPORTED_STATUSES + RARE_STATUSES + [MISSING]
 
 METRICS = ["Utilisation", "Uptime", "Unavailability"]
 UTILISATION_PARTS = ["Charging", "Finishing", "Reserved"]
-UPTIME_PARTS = ["Available"] + UTILISATION_PARTS
 UNAVAILABILITY_PARTS_REPORT = ["Unavailable", "Out of order"]
 UNAVAILABILITY_PARTS_DASHBOARD = UNAVAILABILITY_PARTS_REPORT + RARE_STATUSES
 
@@ -107,29 +106,8 @@ ACT_LOCALITIES = [
 ]
 UNINCORPORATED_ACT = "Unincorporated ACT"
 
-# Roll-up interval code -> what one bin is called in a sentence.
-INTERVAL_NAMES = {
-    "30min": "half-hour",
-    "60min": "hour",
-    "1440min": "day",
-    "10080min": "week",
-    "ME": "month",
-    "Q": "quarter",
-    "Y": "annum",
-}
 # ---------------------------------------------------------------------------
 
-LOCATION_COLUMNS = [
-    "cpo_name",
-    "address",
-    "suburb",
-    "postcode",
-    "lga_name",
-    "state",
-    "latitude",
-    "longitude",
-    "power",
-]
 # One charger as the dashboard groups it (plus evse_id and the interval).
 EVSE_KEYS = [
     "cpo_name",
@@ -190,25 +168,9 @@ LOCATION = _struct(
 OFFLINE = _struct(
     ("cpo_name", _S), ("offline_timestamp", _TS), ("online_timestamp", _TS)
 )
-FUNDED_SITES = _struct(
-    ("evse_id", _S),
-    ("evse_port_id", _S),
-    ("cpo_name", _S),
-    ("address", _S),
-    ("suburb", _S),
-    ("postcode", _S),
-    ("lga_code", _S),
-    ("lga_name", _S),
-    ("state", _S),
-    ("latitude", _D),
-    ("longitude", _D),
-    ("program", _S),
-    ("round", _I),
-)
 AREA_CENTROIDS = _struct(("lga_code", _I), ("lat", _D), ("lon", _D), ("lga_name", _S))
 AREA_LOOKUP = _struct(("google_lga_name", _S), ("lga_name", _S))
 REQUIRED_STATES = _struct(("state", _S))
-GEOCODE_RESPONSES = _struct(("latitude", _D), ("longitude", _D), ("response", _S))
 STATUS_DURATIONS = _struct(
     ("evse_id", _S),
     ("evse_port_id", _S),
