@@ -1,16 +1,17 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Four transducers are composed into one machine:
-
-* lexicon: words to classes (insult or threat with a weight, target, negation, report).
-  Insults and threats are whole words or word beginnings (languages inflect), learned
-  with their weights from labelled rows; which of them are threats, and the words of
-  the other classes, are short lists of the grammar.
-* scope: a negation or report opens a scope that holds to the end of its clause.
-* pattern: an insult or threat is a match; in the same clause as a target it weighs
-  more, in the scope of a negation or report it weighs less.
-* clause: the weight of a clause is the sum over its matches; the text's evidence comes from
-  its heaviest clause and its sum over clauses, through a logistic curve.
+Words become classes by a lexicon: insults are whole words or word beginnings (languages
+inflect), learned with their weights from labelled rows; threats, targets, negations and
+reports are short lists of the grammar. Five transducers read the classes of a clause, each
+a table of its own, and run as one machine, their product over the states that can be reached:
+
+* insult: an insult is a match with the lexicon's weight;
+* threat: a threatening word and a target, in either order, are a threat when the clause ends;
+* target: a clause with a target is aimed when it ends, and weighs more;
+* negation, report: from the word on to the end of the clause, matches weigh less.
+
+The text's evidence is the weight of its heaviest clause, the sum over its clauses, and its
+strongest threat; a logistic curve with a learned weight for each makes the score.
 
 A clause without an insult or threat has no match and no weight, so only clauses that an
 automaton over the lexicon finds are run through the machine; this leaves nothing out.
@@ -54,7 +55,7 @@ THREATS = "kill hurt destroy beat shoot stab burn attack töten umbringen tuer f
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE_END = re.compile(r"[.!?;:,|()\"\n\r]|\s[-–—]\s")
 
-PLAIN, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+PLAIN, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
 #: Weight of a match in the scope of a negation, of a report, and beside a target.
 NEGATED, REPORTED, AIMED = 0.5, 0.6, 1.25
 
@@ -85,49 +86,68 @@ class Lexicon:
         return machine
 
 
-def compose() -> dict[tuple[int, int], tuple[int, float]]:
-    """The scope and pattern transducers as one table: (state, class) to (state, factor).
-
-    A state says which scopes are open and whether a target has been seen (three bits). The
-    factor multiplies the lexicon's weight; a target after the match still counts,
-    as the run adds what it is worth when the clause ends.
-    """
-    step = {}
-    for state in range(8):
-        negated, reported, aimed = state & 1, state & 2, state & 4
-        factor = (NEGATED if negated else 1) * (REPORTED if reported else 1) * (AIMED if aimed else 1)
-        for kind in range(6):
-            opened = {NEGATION: 1, REPORT: 2, TARGET: 4}.get(kind, 0)
-            step[state, kind] = (state | opened, factor if kind in (INSULT, THREAT) else 0.0)
+#: A transducer: (state, class) to (state, output). What is not listed changes nothing and says
+#: nothing; each ends a clause in state 0.
+Table = dict[tuple[int, int], tuple[int, str]]
+INSULTS: Table = {(0, INSULT): (0, "insult"), (0, THREAT): (0, "insult")}
+#: 0: neither, 1: a threatening word, 2: a target, 3: both
+THREATENED: Table = {
+    (0, THREAT): (1, ""), (0, TARGET): (2, ""), (1, TARGET): (3, ""), (2, THREAT): (3, ""),
+    (1, END): (0, ""), (2, END): (0, ""), (3, END): (0, "threat"),
+}
+AIMED_AT: Table = {(0, TARGET): (1, ""), (1, END): (0, "aimed")}
+NEGATES: Table = {(0, NEGATION): (1, ""), (1, INSULT): (1, "negated"), (1, THREAT): (1, "negated"), (1, END): (0, "")}
+TELLS: Table = {(0, REPORT): (1, ""), (1, INSULT): (1, "reported"), (1, THREAT): (1, "reported"), (1, END): (0, "")}
+
+
+def compose(*tables: Table) -> dict[tuple[int, int], tuple[int, frozenset[str]]]:
+    """The product of transducers that read the same classes: from every state that can be
+    reached, a class leads to a state (numbered as they are found) and says what each of them says."""
+    start = (0,) * len(tables)
+    number, todo, step = {start: 0}, [start], {}
+    while todo:
+        states = todo.pop()
+        for kind in range(END + 1):
+            moves = [t.get((s, kind), (s, "")) for t, s in zip(tables, states, strict=True)]
+            after = tuple(s for s, _ in moves)
+            if after not in number:
+                number[after] = len(number)
+                todo.append(after)
+            step[number[states], kind] = (number[after], frozenset(said for _, said in moves if said))
     return step
 
 
 class Grammar:
     """The composed machine over one lexicon."""
 
-    def __init__(self, lexicon: Lexicon, bias: float = 0.0, slopes: tuple[float, float] = (1.0, 0.0)):
+    def __init__(self, lexicon: Lexicon, bias: float = 0.0, slopes: tuple[float, ...] = (1.0, 0.0, 0.0)):
         self.lexicon, self.bias, self.slopes = lexicon, bias, slopes
-        self.step = compose()
+        self.step = compose(INSULTS, THREATENED, AIMED_AT, NEGATES, TELLS)
         self.trigger = lexicon.triggers()
 
-    def clause(self, text: str) -> float:
-        state, total, unaimed = 0, 0.0, 0.0
-        for word in WORD.findall(text):
+    def run(self, clause: str) -> tuple[float, float]:
+        """Weight of a clause's matches, and how strong its threat is (0 without one)."""
+        state, total, threat = 0, 0.0, 0.0
+        for word in WORD.findall(clause):
             kind, weight = self.lexicon.of(word)
-            state, factor = self.step[state, kind]
-            total += factor * weight
-            if factor and not state & 4:
-                unaimed += factor * weight
-            if kind == TARGET and unaimed:
-                total, unaimed = total + (AIMED - 1) * unaimed, 0.0
-        return total
-
-    def evidence(self, text: str | None) -> tuple[float, float]:
-        """Weight of the heaviest clause, and of all clauses together."""
+            state, said = self.step[state, kind]
+            factor = (NEGATED if "negated" in said else 1.0) * (REPORTED if "reported" in said else 1.0)
+            if "insult" in said:
+                total += factor * weight
+            if kind == THREAT:
+                threat = max(threat, factor)
+        _, said = self.step[state, END]
+        return total * (AIMED if "aimed" in said else 1.0), threat if "threat" in said else 0.0
+
+    def clause(self, text: str) -> float:
+        return self.run(text)[0]
+
+    def evidence(self, text: str | None) -> tuple[float, float, float]:
+        """Weight of the heaviest clause, of all clauses together, and the strongest threat."""
         low = (text or "").lower()
-        heaviest = together = 0.0
+        heaviest = together = strongest = 0.0
         if not len(self.trigger):
-            return 0.0, 0.0
+            return 0.0, 0.0, 0.0
         done = 0
         for last, size in self.trigger.iter(low):
             at = last - size + 1
@@ -141,13 +161,15 @@ class Grammar:
                     begin = m.end()
             end = CLAUSE_END.search(low, last)
             done = end.end() if end else len(low)
-            weight = self.clause(low[begin:done])
+            weight, threat = self.run(low[begin:done])
             heaviest, together = max(heaviest, weight), together + weight
-        return heaviest, together
+            strongest = max(strongest, threat)
+        return heaviest, together, strongest
 
     def score(self, text: str | None) -> float:
-        heaviest, together = self.evidence(text)
-        z = self.bias + self.slopes[0] * heaviest + self.slopes[1] * math.log1p(together)
+        heaviest, together, threat = self.evidence(text)
+        features = (heaviest, math.log1p(together), threat)
+        z = self.bias + sum(slope * x for slope, x in zip(self.slopes, features))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
@@ -258,11 +280,13 @@ def _needed(entries: dict[str, float], toxic: DataFrame) -> dict[str, float]:
 
 def _lexicon(entries: dict[str, float]) -> Lexicon:
     lexicon = Lexicon()
-    for kind, words in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)):
+    lists = ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS))
+    for kind, words in lists:
         lexicon.words.update({w: (kind, 0.0) for w in words.split()})
     for f, weight in entries.items():
+        # a threatening word can be an insult, too: then it has a weight as well
         threat = f.rstrip(" ") in THREATS.split()
-        into = lexicon.words if f.endswith(" ") else lexicon.beginnings
+        into = lexicon.words if f.endswith(" ") or threat else lexicon.beginnings
         into[f.rstrip(" ")] = (THREAT if threat else INSULT, weight)
     return lexicon
 
@@ -271,34 +295,34 @@ def _calibrated(grammar: Grammar, rows: DataFrame, n_toxic: int, n_other: int) -
     """Fit the logistic curve on a histogram of the evidence, of bounded size."""
 
     def run(batches: Batches) -> Batches:
-        out = pa.schema([("a", pa.float64()), ("b", pa.float64()), ("y", pa.int32()), ("n", pa.int64())])
+        out = pa.schema([("a", pa.float64()), ("b", pa.float64()), ("c", pa.float64()), ("y", pa.int32()), ("n", pa.int64())])
         found = Counter()
         for b in batches:
             for text, y in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                heaviest, together = grammar.evidence(text)
-                found[min(round(heaviest, 1), 100.0), round(min(math.log1p(together), 20), 1), y] += 1
+                heaviest, together, threat = grammar.evidence(text)
+                found[min(round(heaviest, 1), 100.0), round(min(math.log1p(together), 20), 1), threat, y] += 1
         if found:
             yield batch(out, zip(*((*k, n) for k, n in found.items()), strict=True))
 
     cells = (
-        mapped(rows.where("y in (0, 1)"), run, "a double, b double, y int, n long")
-        .groupBy("a", "b", "y")
+        mapped(rows.where("y in (0, 1)"), run, "a double, b double, c double, y int, n long")
+        .groupBy("a", "b", "c", "y")
         .agg(F.sum("n").alias("n"))
         .collect()
     )
     base = math.log((n_toxic + 0.5) / (n_other + 0.5))
     if not cells or not n_toxic or not n_other:
-        return Grammar(grammar.lexicon, base, (0.0, 0.0))
-    data = np.array([(1.0, r.a, r.b, r.y, r.n) for r in cells])
-    x, y, n = data[:, :3], data[:, 3], data[:, 4]
-    w = np.array([base, 0.0, 0.0])
-    ridge = np.diag([1e-6, 0.05, 0.05])
+        return Grammar(grammar.lexicon, base, (0.0, 0.0, 0.0))
+    data = np.array([(1.0, r.a, r.b, r.c, r.y, r.n) for r in cells])
+    x, y, n = data[:, :4], data[:, 4], data[:, 5]
+    w = np.array([base, 0.0, 0.0, 0.0])
+    ridge = np.diag([1e-6, 0.05, 0.05, 0.05])
     for _ in range(30):  # Newton steps
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (n * (y - p)) - ridge @ w
         curve = (x * (n * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + ridge
         w = w + np.clip(np.linalg.solve(curve, slope), -2, 2)
-    return Grammar(grammar.lexicon, float(w[0]), (float(w[1]), float(w[2])))
+    return Grammar(grammar.lexicon, float(w[0]), (float(w[1]), float(w[2]), float(w[3])))
 
 
 def held_out(id_col: str) -> F.Column:
@@ -310,19 +334,23 @@ def labelled_sample(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "toxic", sample: int = SAMPLE,
 ) -> DataFrame:
-    """Labelled rows outside the held-out part, about ``sample`` of them at most.
+    """One text and label for each labelled id outside the held-out part, ``sample`` at most or so.
 
-    The chosen labels are bounded by ``sample``, so they are sent to the texts.
+    An id with several labels has the largest of them, and of several texts the one with the
+    smallest hash; so the chosen labels and the texts that meet them are bounded, and the
+    labels are sent to the texts.
     """
     mine = labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"))
-    mine = mine.where(F.col("_label").isin(0, 1) & ~held_out("_id"))
+    mine = mine.where(F.col("_label").isin(0, 1) & F.col("_id").isNotNull() & ~held_out("_id"))
+    mine = mine.groupBy("_id").agg(F.max("_label").alias("_label"))
     n = mine.count()
     if n > sample:
         share = int(sample / n * (1 << 30))
         mine = mine.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < share)
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-    chosen = texts.join(F.broadcast(mine), F.col("_doc") == F.col("_id"))
-    return settle(chosen.select("_text", "_label"))
+    met = texts.join(F.broadcast(mine), F.col("_doc") == F.col("_id"))
+    one = met.groupBy("_id").agg(F.min_by(F.struct("_text", "_label"), F.xxhash64("_text")).alias("_one"))
+    return settle(one.select("_one._text", "_one._label"))
 
 
 def scored(

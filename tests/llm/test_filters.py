@@ -2,6 +2,8 @@
 
 import hashlib
 import io
+import itertools
+import math
 import random
 import zlib
 
@@ -96,8 +98,90 @@ def test_grammar_weighs_clauses():
     assert w("fizzle you") == w("you fizzle") and w("fizzled") == 0
     text = "not here. a fizzle, said nobody; you fizzle fizzle"
     clauses = [w(c) for c in ("not here", " a fizzle", " said nobody", " you fizzle fizzle")]
-    assert g.evidence(text) == (max(clauses), sum(clauses))
-    assert g.evidence("x " * 5000 + "a fizzle") == (4.0, 4.0) and g.evidence(None) == (0.0, 0.0)
+    assert g.evidence(text) == (max(clauses), sum(clauses), 0.0)
+    assert g.evidence("x " * 5000 + "a fizzle") == (4.0, 4.0, 0.0) and g.evidence(None) == (0.0, 0.0, 0.0)
+
+
+def threatening():
+    words = {"fizzle": (toxicity.INSULT, 4.0), "kill": (toxicity.THREAT, 0.0), "you": (toxicity.TARGET, 0.0)}
+    return words | {"not": (toxicity.NEGATION, 0.0), "said": (toxicity.REPORT, 0.0)}
+
+
+def test_a_threat_is_a_pattern_of_its_own():
+    g = toxicity.Grammar(toxicity.Lexicon(threatening()), -3.0, (1.0, 0.0, 5.0))
+    assert g.evidence("i kill you") == (0.0, 0.0, 1.0) == g.evidence("you i kill")
+    assert g.evidence("kill the lights") == g.evidence("you, kill") == (0.0, 0.0, 0.0)
+    assert g.evidence("not kill you")[2] == toxicity.NEGATED
+    assert g.evidence("he said not kill you. i kill you")[2] == 1.0
+    assert g.evidence("a fizzle")[2] == 0.0 and g.evidence("fizzle you") == (5.0, 5.0, 0.0)
+    assert g.score("i kill you") > 0.5 > g.score("kill the lights")
+
+
+def test_the_product_runs_all_transducers():
+    """Against the five tables run side by side, over every short string of classes."""
+    tables = (toxicity.INSULTS, toxicity.THREATENED, toxicity.AIMED_AT, toxicity.NEGATES, toxicity.TELLS)
+    step = toxicity.compose(*tables)
+    assert {s for s, _ in step} == {s for s, _ in step.values()} and len({s for s, _ in step}) > 8
+    for classes in itertools.product(range(toxicity.END + 1), repeat=5):
+        one, each = 0, [0] * len(tables)
+        for kind in classes:
+            one, said = step[one, kind]
+            moves = [t.get((s, kind), (s, "")) for t, s in zip(tables, each, strict=True)]
+            each = [s for s, _ in moves]
+            assert said == {x for _, x in moves if x}
+        assert step[one, toxicity.END][0] == 0  # a clause leaves nothing open
+
+
+def test_threats_are_learned_apart_from_insults(spark):
+    r = random.Random(6)
+    plain = ["tree", "house", "river", "green", "walks", "light"]
+    rows = []
+    for i in range(800):
+        words = [r.choice(plain) for _ in range(12)]
+        toxic = i % 2
+        words[4:4] = ["kill", "you"] if toxic else ["kill", r.choice(plain)] if i % 4 else ["you", "and"]
+        rows.append((i, " ".join(words), toxic))
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    g = toxicity.learned(spark, docs, labels)
+    assert g.slopes[2] > 3 and all(kind != toxicity.INSULT for kind, _ in g.lexicon.words.values())
+    assert all((g.score(t) >= 0.5) == bool(y) for _, t, y in rows)
+
+
+def test_scores_recomputed_plainly(spark):
+    """The whole score of every row from the learned parts, without the trigger search."""
+    rows = toxic_rows()
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    g = toxicity.learned(spark, docs, labels)
+    got = {r.doc_id: r.score for r in toxicity.scored(docs, g, "text", "doc_id").collect()}
+    for i, text, _ in rows:
+        weights, threats = [0.0], [0.0]
+        for clause in toxicity.CLAUSE_END.split(text.lower()):
+            kinds = [(w, *g.lexicon.of(w)) for w in toxicity.WORD.findall(clause)]
+            total = strongest = 0.0
+            for k, (_, kind, weight) in enumerate(kinds):
+                if kind in (toxicity.INSULT, toxicity.THREAT):
+                    before = {x for _, x, _ in kinds[:k]}
+                    factor = (toxicity.NEGATED if toxicity.NEGATION in before else 1) * (
+                        toxicity.REPORTED if toxicity.REPORT in before else 1
+                    )
+                    total += factor * weight
+                    strongest = max(strongest, factor if kind == toxicity.THREAT else 0)
+            aimed = any(kind == toxicity.TARGET for _, kind, _ in kinds)
+            weights.append(total * (toxicity.AIMED if aimed else 1))
+            threats.append(strongest if aimed else 0)
+        z = g.bias + g.slopes[0] * max(weights) + g.slopes[1] * math.log1p(sum(weights)) + g.slopes[2] * max(threats)
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))), abs=1e-9)
+
+
+def test_the_sample_is_bounded_by_ids(spark):
+    """One text for each id, however often ids are repeated in texts or labels."""
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(2, "b"), (None, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0)] * 50 + [(None, 1)], "doc_id long, toxic int")
+    got = toxicity.labelled_sample(docs, labels).collect()
+    kept = {i for i in (1, 2) if zlib.crc32(str(i).encode()) % 5}
+    assert len(got) == len(kept) and sorted(r._label for r in got) == sorted({1: 1, 2: 0}[i] for i in kept)
 
 
 def test_without_labels(spark):
