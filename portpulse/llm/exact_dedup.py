@@ -16,7 +16,7 @@ import hashlib
 from array import array
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from portpulse.functions.scale import settle
@@ -187,28 +187,85 @@ def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def without(rows: DataFrame, removed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` less the ``removed`` ones (both of ``digest_rows``), and those taken away.
+
+    A removed row takes away one row with its id and digest, if there is one; null is an
+    id like any other. Only rows that agree with a removed one are numbered, by their row
+    numbers cut into ranges, so an id with very many rows is spread.
+    """
+    key = ["digest", "id"]
+    asked = settle(removed.groupBy(*key).agg(F.count(F.lit(1)).alias("_asked")))
+    told = asked.withColumnsRenamed({c: f"_{c}" for c in key})
+    met = (F.col("digest") == F.col("_digest")) & F.col("id").eqNullSafe(F.col("_id"))
+    order = ["digest", "id", "row"]
+    cut = settle(
+        rows.join(told, met).select(*order, "_asked").repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    )
+    before = Window.partitionBy(*key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cut.groupBy(*key, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select(
+        F.col("digest").alias("_digest"), F.col("id").alias("_id"), F.col("_range").alias("_of"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+    )
+    nth = F.row_number().over(Window.partitionBy(*key, "_range").orderBy("row")) + F.col("_before")
+    taken = settle(
+        cut.join(counts, met & (F.col("_range") == F.col("_of")))
+        .withColumn("_nth", nth)
+        .where("_nth <= _asked")
+        .select("id", "digest", "row")
+    )
+    return rows.join(taken.select("row"), "row", "left_anti").select("id", "digest", "row"), taken
+
+
 def live_index(
-    added: DataFrame, removed: DataFrame | None = None, index: DataFrame | None = None
+    added: DataFrame,
+    removed: DataFrame | None = None,
+    index: DataFrame | None = None,
+    live: DataFrame | None = None,
 ) -> DataFrame:
     """The digests that are live after adding and removing rows of ``digest_rows``.
 
-    One row per digest: the smallest id among the rows added, that row, and how many
-    rows are live. Each removed row takes one away; a digest without live rows is
-    deleted; removing what is not there has no effect. The smallest id is not taken back
-    when its row is removed while others live on.
+    One row per digest: the smallest id among its live rows, that row, and how many are
+    live. ``index`` is the one before, and ``live`` the rows behind it, which removals need: each
+    takes exactly one live row with its id and digest away, and one that is not there has no effect. A
+    digest without live rows is deleted from the filter; one that has lost rows and lives on
+    takes its smallest id from the rows that are left.
     """
     changes = mapped(added, _combined, _INDEX)
     if index is not None:
         changes = changes.unionByName(index)
+    left = None
     if removed is not None:
-        taken = mapped(removed, _combined, _INDEX)
-        changes = changes.unionByName(taken.withColumn("live", -F.col("live")))
+        if index is not None and live is None:
+            raise ValueError("removals need the live rows behind the index")
+        rows = added.select("id", "digest", "row")
+        if live is not None:
+            # row numbers of different tables may agree: these come after the others
+            top = live.agg(F.coalesce(F.max("row"), F.lit(-1)) + 1).first()[0]
+            rows = live.select("id", "digest", "row").unionByName(rows.withColumn("row", F.col("row") + top))
+        left, taken = without(settle(rows), removed)
+        gone = mapped(taken, _combined, _INDEX)
+        changes = changes.unionByName(gone.withColumn("live", -F.col("live")))
     shards = shards_for(added.count() + (index.count() if index is not None else 0), SHARD_DIGESTS)
     least = int(added.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = changes.repartition(max(shards, least), "digest")
-    if removed is not None:
-        dealt = dealt.sortWithinPartitions(F.col("live").desc())
-    return mapped(dealt, _fold, _INDEX)
+    if left is None:
+        return mapped(dealt, _fold, _INDEX)
+    folded = mapped(dealt.sortWithinPartitions(F.col("live").desc()), _fold, _INDEX)
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    least_of = (
+        left.join(taken.select("digest").distinct(), "digest", "left_semi")
+        .groupBy("digest")
+        .agg(F.min(first).alias("_first"))
+    )
+    lost = F.col("_first").isNotNull()
+    return folded.join(least_of, "digest", "left").select(
+        "digest",
+        F.when(lost, F.col("_first.id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.when(lost, F.col("_first.row")).otherwise(F.col("keep_row")).alias("keep_row"),
+        "live",
+    )
 
 
 def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

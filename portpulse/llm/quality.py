@@ -122,7 +122,8 @@ def _logit(p: Column) -> Column:
 
 
 def site_rates(docs: DataFrame, levels: Sequence[Sequence[str]], value: str) -> list[DataFrame]:
-    """Posterior rate of every site of every level: the level's columns and ``_rate``.
+    """Posterior rate of every site of every level: the level's columns and ``_rate``, and what
+    it is made of: ``_n`` documents with the sum ``_s``, and ``_k`` documents' worth of the level above.
 
     ``value`` is each document's own probability. Levels go from coarse to fine, each
     with the columns of the one before; null is a site like any other.
@@ -133,7 +134,7 @@ def site_rates(docs: DataFrame, levels: Sequence[Sequence[str]], value: str) ->
     for columns in levels:
         sites = docs.groupBy(*columns).agg(F.count(value).alias("_n"), F.sum(value).alias("_s"))
         if parents:
-            above = rates[-1].withColumnRenamed("_rate", "_parent")
+            above = rates[-1].select(*parents, F.col("_rate").alias("_parent"))
             sites = _matched(sites, above, parents)
         else:
             sites = sites.withColumn("_parent", F.lit((whole.s + 1) / (whole.n + 2)))
@@ -152,13 +153,35 @@ def site_rates(docs: DataFrame, levels: Sequence[Sequence[str]], value: str) ->
             k = min(MOST_K, max(LEAST_K, 1 / min(max(within, 1e-6), 0.9) - 1))
         rates.append(
             joined.select(
-                *columns, ((F.col("_s") + k * F.col("_parent")) / (F.col("_n") + k)).alias("_rate")
+                *columns,
+                ((F.col("_s") + k * F.col("_parent")) / (F.col("_n") + k)).alias("_rate"),
+                "_n",
+                "_s",
+                F.lit(float(k)).alias("_k"),
             )
         )
         parents = columns
     return rates
 
 
+def rates_without_own(
+    docs: DataFrame, rates: Sequence[DataFrame], levels: Sequence[Sequence[str]], value: str
+) -> DataFrame:
+    """Adds ``_rate``: the posterior of each document's finest site, of all its documents but this one.
+
+    The document is taken out of every level on the way down, so that its own evidence
+    does not come back to it as its site's rate.
+    """
+    whole = docs.agg(F.count(value).alias("n"), F.coalesce(F.sum(value), F.lit(0.0)).alias("s")).first()
+    own = F.col(value)
+    docs = docs.withColumn("_rate", (F.lit(whole.s) - own + 1) / F.lit(whole.n + 1))
+    for site, columns in zip(rates, levels, strict=True):
+        docs = _matched(docs, site.drop("_rate"), columns)
+        rate = (F.col("_s") - own + F.col("_k") * F.col("_rate")) / (F.col("_n") - 1 + F.col("_k"))
+        docs = docs.withColumn("_rate", rate).drop("_n", "_s", "_k")
+    return docs
+
+
 def score_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -170,7 +193,7 @@ def score_quality(
     """One row per row of ``docs``: id, held_out, site_rate, score, predicted.
 
     ``score`` (0 to 1) is the posterior that the document is good; ``predicted`` is 1 from
-    0.5 up. ``levels`` names site columns, coarse to fine. Rows whose crc32 of the id, as
+    0.5 up. ``site_rate`` is the rate of the document's site without the document itself. ``levels`` names site columns, coarse to fine. Rows whose crc32 of the id, as
     text, is divisible by 5 are held out: their labels are not used. Null and empty
     texts, null sites and null or repeated ids are allowed. Without labels, or with one
     class only, every text is no evidence.
@@ -195,11 +218,10 @@ def score_quality(
     read = settle(rows.mapInArrow(run, schema))
     own = read.withColumn("_p", 1 / (1 + F.exp(-F.col("_e") - F.lit(model.base))))
     deep = [[names[c] for c in level] for level in levels]
-    rates = site_rates(own, deep, "_p")[-1]
+    rated = rates_without_own(own, site_rates(own, deep, "_p"), deep, "_p")
     posterior = _logit(F.greatest(F.lit(1e-4), F.least(F.lit(1 - 1e-4), F.col("_rate"))))
     return (
-        _matched(own, rates, deep[-1])
-        .withColumn("_score", 1 / (1 + F.exp(-F.col("_e") - posterior)))
+        rated.withColumn("_score", 1 / (1 + F.exp(-F.col("_e") - posterior)))
         .select(
             F.col("_id").alias(id_col),
             held_out("_id").alias("held_out"),

@@ -44,11 +44,41 @@ def test_additions_and_removals(spark):
     index = live_index(make(docs), make(gone))
     live = {r.digest.hex(): r.live for r in index.collect()}
     assert live == {sha(f"text {k}"): 3 if k < 20 else 2 for k in range(10, 40)}
+    kept = {r.digest.hex(): r.keep_id for r in index.collect()}
+    assert kept == {sha(f"text {k}"): k for k in range(10, 40)}
     index = live_index(make([(200, "text 3"), (201, "text 11")]), None, index)
     live = {r.digest.hex(): r.live for r in index.collect()}
     assert live[sha("text 3")] == 1 and live[sha("text 11")] == 4 and len(live) == 31
 
 
+def test_the_smallest_live_row_stays(spark):
+    """After every round of additions and removals, against a list of live rows."""
+    make = lambda rows: digest_rows(spark.createDataFrame(rows, "doc_id long, text string"))
+    r = random.Random(8)
+    rows, index, live = [], None, None
+    rounds = [([(1, "x"), (2, "x"), (3, "y")], [(1, "x")])]
+    rounds += [
+        ([(r.choice([None, *range(6)]), f"t{r.randrange(4)}") for _ in range(25)], None) for _ in range(3)
+    ]
+    for added, removed in rounds:
+        rows += added
+        if removed is None:
+            removed = [r.choice(rows) for _ in range(12)] + [(99, "t0"), (1, "nowhere")]
+        before = live_index(make(added), make(removed), index, live)
+        for row in removed:
+            if row in rows:
+                rows.remove(row)
+        got = {e.digest.hex(): (e.keep_id, e.live) for e in before.collect()}
+        want = {}
+        for i, t in rows:
+            want.setdefault(sha(t), []).append(i)
+        assert got == {
+            d: (min((i for i in ids if i is not None), default=None), len(ids)) for d, ids in want.items()
+        }
+        live = make(rows)
+        index = live_index(live)
+
+
 def test_filter_is_exact_while_it_grows_and_shrinks():
     r, index, known = random.Random(4), CuckooFilter(buckets=2), {}
     keys = [hashlib.sha256(str(i).encode()).digest() for i in range(3000)]

@@ -7,6 +7,7 @@ import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,6 +233,45 @@ def test_quality_site_rates_by_hand(spark):
     assert 0.1 < path["a", "y"] < host["a"] < path["a", "x"] < 0.9
 
 
+def test_a_document_is_no_part_of_its_own_prior(spark):
+    """Against rates summed up anew for every document without it."""
+    r = random.Random(9)
+    rows = [(i, f"h{i % 3}" if i % 7 else None, f"p{i % 5}", r.random()) for i in range(60)] + [(60, "alone", "q", 0.9)]
+    docs = spark.createDataFrame(rows, "id long, host string, path string, p double")
+    levels = [["host"], ["host", "path"]]
+    sites = quality.site_rates(docs, levels, "p")
+    k = [s.first()._k for s in sites]
+    got = {x.id: x._rate for x in quality.rates_without_own(docs, sites, levels, "p").collect()}
+    assert len(got) == len(rows)
+    for i, host, path, _ in rows:
+        rest = [x for x in rows if x[0] != i]
+        rate = (sum(x[3] for x in rest) + 1) / (len(rest) + 2)
+        for n, same in enumerate(([x for x in rest if x[1] == host], [x for x in rest if x[1:3] == (host, path)])):
+            rate = (sum(x[3] for x in same) + k[n] * rate) / (len(same) + k[n])
+        assert got[i] == pytest.approx(rate)
+
+
+def test_quality_scores_recomputed_plainly(spark):
+    rows = [(i, "good text here. " * (1 + i % 4) if i % 2 else "### x ### " * (1 + i % 3), f"s{i % 4}") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, site string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _, _ in rows], "doc_id long, quality int")
+    got = {x.doc_id: x for x in quality.score_quality(docs, labels, [["site"]]).collect()}
+    model = quality.fit(toxicity.labelled_sample(docs, labels, "doc_id", "text", "quality"))
+    evidence = model.evidence(np.array([quality.statistics(t) for _, t, _ in rows]))
+    own = 1 / (1 + np.exp(-evidence - model.base))
+    k = quality.site_rates(spark.createDataFrame([(s, float(p)) for (_, _, s), p in zip(rows, own)], "site string, p double"), [["site"]], "p")[0].first()._k
+    for at, (i, _, site) in enumerate(rows):
+        same = [j for j, x in enumerate(rows) if x[2] == site and j != at]
+        root = (own.sum() - own[at] + 1) / (len(rows) + 1)
+        rate = (own[same].sum() + k * root) / (len(same) + k)
+        assert got[i].site_rate == pytest.approx(rate)
+        clipped = min(max(rate, 1e-4), 1 - 1e-4)
+        z = evidence[at] + math.log(clipped / (1 - clipped))
+        assert got[i].score == pytest.approx(1 / (1 + math.exp(-z)))
+    empty = quality.score_quality(docs.limit(0), labels, [["site"]])
+    assert empty.collect() == []
+
+
 # --- WARC --------------------------------------------------------------------
 
 
