@@ -70,8 +70,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     ``edges`` holds pairs of one orderable type. Alternates large-star and small-star
     steps (Kiveris et al., 2014), each a minimum per node and a join, until the edges no
     longer change. Edges are never more than at the start, and no task gathers a
-    node's neighbours: minima combine before the shuffle and a popular node's
-    side of a join can be split. Each round is written to the shared folder.
+    node's neighbours: minima combine before the shuffle, and they are written before they are joined,
+    so that adaptive execution can split a popular node's side of the join. Each round is written to the shared folder.
     """
     links = settle(
         edges.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("u"))
@@ -82,14 +82,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = None
     while True:
         both = links.select("v", "u").union(links.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        least = both.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("m"))
+        least = settle(both.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("m")))
         large = (
             both.where("u > v")
             .join(least, "v")
             .select(F.col("u").alias("v"), F.col("m").alias("u"))
         )
         large = settle(large.distinct())
-        low = large.groupBy("v").agg(F.min("u").alias("m"))
+        low = settle(large.groupBy("v").agg(F.min("u").alias("m")))
         small = large.join(low, "v")
         links = settle(
             small.select("v", F.col("m").alias("u"))

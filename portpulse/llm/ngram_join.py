@@ -3,14 +3,15 @@
 A text's set holds its ``n``-word sequences (words are runs outside
 ``[\\x20\\x09-\\x0D]``; a text of fewer words has one, all its words). Texts with the
 same set count once from here on. Band and row counts follow from the wanted recall at
-the threshold. Texts that share a band hash are candidates; a band links every text to
-its bucket's smallest, which says which texts have to be compared, without listing
-pairs. The sets of each candidate component are then brought together, large
-components in blocks of bounded size, and a pair that shares a band is verified on its
-full sets, all pairs of a block at once by matrix products over shared n-grams.
-
-Exact comparison of a component needs all its pairs of blocks: each text goes to as
-many tasks as there are blocks, and no task holds more than two blocks.
+the threshold. Texts that share a band hash are candidates, and a pair is verified on its full
+sets in one place only: the bucket of the smallest band hash that the two share.
+
+Buckets go through two passes. The first sees band hashes alone and finds which texts
+have a pair to verify there; in a bucket of near copies that is usually one of their
+many common buckets. The second brings the sets of those texts together, and verifies all
+pairs of a block at once by matrix products over shared n-grams. A crowded bucket is dealt out
+in pairs of blocks, so no task holds more than two. Only verified links are
+connected: texts that merely meet make no larger problem of each other.
 """
 
 from __future__ import annotations
@@ -31,10 +32,9 @@ N = 5
 THRESHOLD = 0.8
 RECALL = 0.9995
 #: Values of one signature at most.
-SIGNATURE = 128
-#: Texts and n-grams of one block at most (a single longer text is a block of its own).
+SIGNATURE = 160
+#: Texts of one block, about.
 BLOCK_TEXTS = 400
-BLOCK_GRAMS = 400_000
 
 
 def bands_and_rows(threshold: float, recall: float, signature: int) -> tuple[int, int]:
@@ -141,26 +141,50 @@ def _bands(n: int, bands: int, rows: int):
     return run
 
 
-def _sets(n: int, bands: int, rows: int):
-    """Set and band hashes of texts, as bytes."""
+def _sets(n: int):
+    """Sets of texts, as bytes."""
 
     def run(batches: Batches) -> Batches:
+        out = pa.schema([("key", pa.binary()), ("set", pa.binary())])
         for b in batches:
-            texts = b.column(b.schema.get_field_index("text")).to_pylist()
-            sets, signs = [], []
+            texts = b.column(1).to_pylist()
             for part in slices(texts):
-                found = _gram_sets(texts[part], n)
-                sets += [g.tobytes() for g in found]
-                signs += [s.tobytes() for s in _signatures(found, bands, rows)]
-            keep = [i for i, name in enumerate(b.schema.names) if name != "text"]
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in keep), pa.array(sets, pa.binary()), pa.array(signs, pa.binary())],
-                names=[*(b.schema.names[i] for i in keep), "set", "sign"],
-            )
+                found = [g.tobytes() for g in _gram_sets(texts[part], n)]
+                yield batch(out, [b.column(0).slice(part.start, len(found)), found])
 
     return run
 
 
+def _met(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the rows of the two blocks of a bucket, and which of their pairs have no
+    smaller band in common."""
+    here, block = rows.column("band")[0].as_py(), rows.column("block").to_numpy()
+    one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()
+    left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+    fresh = np.ones((len(left), len(right)), bool)
+    if one == two:
+        np.fill_diagonal(fresh, False)
+    held = rows.column("bands").to_pylist()
+    sharing: dict[int, tuple[list[int], list[int]]] = {}
+    for k, places in enumerate((left, right)):
+        for at, row in enumerate(places):
+            for band in held[row]:
+                if band < here:
+                    sharing.setdefault(band, ([], []))[k].append(at)
+    for a, b in sharing.values():
+        if a and b:
+            fresh[np.ix_(a, b)] = False
+    return left, right, fresh
+
+
+def _to_verify(rows: pa.Table) -> pa.Table:
+    """The rows of a bucket's pair of blocks that have a pair to verify here."""
+    rows = rows.combine_chunks()
+    left, right, fresh = _met(rows)
+    some = np.union1d(left[fresh.any(1)], right[fresh.any(0)])
+    return rows.take(pa.array(some, pa.int64())).select(["band", "one", "two", "block", "key", "bands"])
+
+
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Shared n-grams of every pair, by products of 0/1 matrices over shared n-grams."""
     a, b = np.concatenate(left), np.concatenate(right)
@@ -208,27 +232,19 @@ def _verify(threshold: float):
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
+        left, right, near = _met(rows)
+        if not near.any():
+            return pa.table([[], [], []], schema=_LINKS)
         keys = rows.column("key").to_pylist()
         copies = rows.column("copies").to_numpy()
-        block = rows.column("block").to_numpy()
         sets = [np.frombuffer(s, np.uint64) for s in rows.column("set").to_pylist()]
-        signs = np.stack([np.frombuffer(s, np.uint64) for s in rows.column("sign").to_pylist()])
-        one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()
-        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
-        if not len(left) or not len(right):
-            return pa.table([[], [], []], schema=_LINKS)
         size = np.array([len(s) for s in sets])
         both = _overlaps([sets[i] for i in left], [sets[i] for i in right])
         either = size[left][:, None] + size[right][None, :] - both
-        near = both >= threshold * either - 1e-6
-        met = np.zeros(near.shape, bool)  # only what banding has found
-        for band in range(signs.shape[1]):
-            met |= signs[left, band][:, None] == signs[right, band][None, :]
-        near &= met
+        near &= both >= threshold * either - 1e-6
         linked = np.zeros((len(keys), len(keys)), bool)
         linked[np.ix_(left, right)] = near
         linked |= linked.T
-        np.fill_diagonal(linked, False)
         links = linked.astype(np.int64) @ copies
         some = np.flatnonzero(links)
         if not len(some):
@@ -322,49 +338,43 @@ def _linked(
     band_rows = settle(
         mapped(source.select("text"), _bands(n, bands, rows), "key binary, band long")
     )
-    buckets = (
+    # written, so that no aggregate shares a stage with a join: a crowded bucket can be split there
+    shared = settle(
         band_rows.groupBy("band")
         .agg(F.min("key").alias("a"), F.max("key").alias("z"))
         .where("a <> z")
-        .select("band", "a")
-    )
-    stars = settle(
-        band_rows.join(buckets, "band").where("key <> a").select("key", "a").distinct()
+        .select("band")
     )
-    found = components(stars, "key", "a")
-    sized = settle(found.withColumnRenamed("node", "key").join(counts, "key"))
-    blocks = sized.groupBy("root").agg(
-        F.greatest(
-            F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_TEXTS)),
-            F.ceil(F.sum("grams") / F.lit(BLOCK_GRAMS)),
-        ).alias("blocks")
+    # a set that several tasks have met counts once; it has as many bands as there are, at most
+    listed = settle(band_rows.join(shared, "band").groupBy("key").agg(F.collect_set("band").alias("bands")))
+    entries = listed.select("key", "bands", F.explode("bands").alias("band"))
+    blocks = F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_TEXTS)).cast("int").alias("blocks")
+    entries = entries.join(settle(entries.groupBy("band").agg(blocks)), "band")
+    paired = (
+        entries.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("one", F.least("block", "with"))
+        .withColumn("two", F.greatest("block", "with"))
+        .drop("with", "blocks")
     )
-    dealt = sized.join(blocks, "root").withColumn(
-        "block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    place = ["band", "one", "two"]
+    needed = settle(
+        paired.groupBy(*place).applyInArrow(
+            _to_verify, "band long, one int, two int, block int, key binary, bands array<long>"
+        )
     )
+    # A shuffled join whatever the size: the candidates grow with the texts.
+    wanted = needed.select("key").distinct().join(counts.select("key", "copies"), "key")
     one_text = (
         mapped(source.select("text"), _first_texts(n), "key binary, text string")
-        # A shuffled join whatever the size: the candidates grow with the texts.
-        .join(
-            dealt.select("key", "root", "copies", "blocks", "block").hint("merge"), "key"
-        )
+        .join(wanted.select("key").hint("merge"), "key")
         .dropDuplicates(["key"])
     )
-    with_sets = mapped(
-        one_text.select("root", "key", "copies", "blocks", "block", "text"),
-        _sets(n, bands, rows),
-        "root binary, key binary, copies long, blocks long, block int, `set` binary, sign binary",
-    )
-    paired = (
-        with_sets.withColumn("with", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
-        .withColumn("one", F.least("block", "with"))
-        .withColumn("two", F.greatest("block", "with"))
-        .drop("with", "blocks")
-    )
+    sets = mapped(one_text.select("key", "text"), _sets(n), "key binary, `set` binary").join(wanted, "key")
     verified = settle(
-        paired.groupBy("root", "one", "two").applyInArrow(
-            _verify(threshold), "key binary, other binary, links long"
-        )
+        needed.join(sets, "key")
+        .groupBy(*place)
+        .applyInArrow(_verify(threshold), "key binary, other binary, links long")
     )
     classes = components(verified, "key", "other")
     named = (
@@ -390,7 +400,8 @@ def _linked(
         .join(per_set, "key")
         .select("id", "row", "key", "class_key", "class_id", "n_links")
     )
-    keeper = out.groupBy("class_key").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first"))
+    first = F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first")
+    keeper = settle(out.groupBy("class_key").agg(first))
     texts = out.join(
         keeper.select("class_key", F.col("first.row").alias("first")), "class_key"
     ).select("id", "key", "class_id", "n_links", (F.col("row") == F.col("first")).alias("kept"))

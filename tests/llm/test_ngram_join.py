@@ -86,3 +86,68 @@ def test_bands_reach_the_recall():
     for threshold in (0.5, 0.8, 0.95):
         bands, rows = nj.bands_and_rows(threshold, 0.999, 200)
         assert bands * rows <= 200 and 1 - (1 - threshold**rows) ** bands >= 0.999
+
+
+def test_texts_of_one_template_are_not_compared_all_with_all(spark, monkeypatch):
+    """Many texts with a common half and no links: what is verified grows with their number, not its square."""
+    seen = []
+    settled = nj.settle
+
+    def watching(df):
+        out = settled(df)
+        if out.columns == ["band", "one", "two", "block", "key", "bands"]:
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(nj, "settle", watching)
+    r = random.Random(2)
+    template = [f"t{k}" for k in range(40)]
+    for n in (150, 600):
+        rows = [(k, " ".join([*template, *(f"u{r.randrange(10**6)}" for _ in range(80))])) for k in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = nj.similar_texts(docs).collect()
+        assert all(x.n_links == 0 and x.class_id == x.doc_id and x.kept for x in got)
+    assert seen[1] < 12 * max(seen[0], 20) and seen[1] < 600 * 3
+
+
+def test_a_pair_is_verified_in_one_bucket(spark, monkeypatch):
+    """Copies that share many bands need their sets in few places."""
+    seen = []
+    settled = nj.settle
+
+    def watching(df):
+        out = settled(df)
+        if out.columns == ["band", "one", "two", "block", "key", "bands"]:
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(nj, "settle", watching)
+    base = [f"w{k}" for k in range(400)]
+    rows = [(k, " ".join([*base[:k], "other", *base[k + 1 :]])) for k in range(0, 400, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = nj.similar_texts(docs).collect()
+    assert {x.n_links for x in got} == {49} and {x.class_id for x in got} == {0}
+    assert seen[0] <= 50 * 6
+
+
+def test_recall_on_pairs_at_the_threshold():
+    """Sets that share four fifths of their members meet in some band."""
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    bands, rows = nj.bands_and_rows(nj.THRESHOLD, nj.RECALL, nj.SIGNATURE)
+    met = 0
+    for _ in range(400):
+        members = r.integers(0, 2**63, 440).astype(np.uint64)
+        a, b = np.unique(members[:400]), np.unique(members[44:444])
+        one, two = nj._signatures([a, b], bands, rows)
+        met += bool((one == two).any())
+    assert met >= 398
+
+
+def test_one_very_long_text(spark):
+    long = " ".join(f"w{k % 70_000}" for k in range(150_000))
+    rows = [(1, long), (2, long + " end"), (3, "short text of a few words"), (4, "x" * 2_000_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: (x.class_id, x.n_links) for x in nj.similar_texts(docs).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (3, 0), 4: (4, 0)}
