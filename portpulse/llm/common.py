@@ -103,3 +103,81 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return links.select(F.col("v").alias("node"), F.col("u").alias("root")).union(
         links.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct()
     )
+
+
+def met_first(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the rows of the two blocks of a bucket, and which of their pairs have no
+    smaller bucket in common."""
+    here, block = rows.column("bucket")[0].as_py(), rows.column("block").to_numpy()
+    one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()
+    left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+    fresh = np.ones((len(left), len(right)), bool)
+    if one == two:
+        np.fill_diagonal(fresh, False)
+    held = rows.column("buckets").to_pylist()
+    sharing: dict[int, tuple[list[int], list[int]]] = {}
+    for k, places in enumerate((left, right)):
+        for at, row in enumerate(places):
+            for bucket in held[row]:
+                if bucket < here:
+                    sharing.setdefault(bucket, ([], []))[k].append(at)
+    for a, b in sharing.values():
+        if a and b:
+            fresh[np.ix_(a, b)] = False
+    return left, right, fresh
+
+
+def _to_verify(rows: pa.Table) -> pa.Table:
+    """The rows of a bucket's pair of blocks that have a pair to verify here."""
+    rows = rows.combine_chunks()
+    left, right, fresh = met_first(rows)
+    some = np.union1d(left[fresh.any(1)], right[fresh.any(0)])
+    return rows.take(pa.array(some, pa.int64())).select(["bucket", "one", "two", "block", "key", "buckets"])
+
+
+def pairs_to_verify(places: DataFrame, bucket: str, block: int) -> DataFrame:
+    """Where which rows have to be compared, of rows dealt to buckets by several hashes.
+
+    ``places`` says which ``key`` (binary) is in which bucket (a long); it may say so more
+    than once. Every pair of keys with a bucket in common is due in the smallest one they share.
+    Returns, written to the shared folder, ``bucket``, ``one``, ``two`` (crowded buckets
+    are dealt out in pairs of blocks of about ``block`` keys), ``block``, ``key`` and its
+    ``buckets``, for the keys that have a pair due there: near copies share many buckets and
+    need to be brought together in few of them. A key has as many buckets as there are hashes, at most.
+    """
+    places = places.select("key", F.col(bucket).alias("bucket"))
+    # written, so that no aggregate shares a stage with a join: a crowded bucket can be split there
+    shared = settle(
+        places.groupBy("bucket")
+        .agg(F.min("key").alias("a"), F.max("key").alias("z"))
+        .where("a <> z")
+        .select("bucket")
+    )
+    listed = settle(places.join(shared, "bucket").groupBy("key").agg(F.collect_set("bucket").alias("buckets")))
+    entries = listed.select("key", "buckets", F.explode("buckets").alias("bucket"))
+    blocks = F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks")
+    entries = entries.join(settle(entries.groupBy("bucket").agg(blocks)), "bucket")
+    paired = (
+        entries.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("one", F.least("block", "with"))
+        .withColumn("two", F.greatest("block", "with"))
+        .drop("with", "blocks")
+    )
+    return settle(
+        paired.groupBy("bucket", "one", "two").applyInArrow(
+            _to_verify, "bucket long, one int, two int, block int, key binary, buckets array<long>"
+        )
+    )
+
+
+def local_roots(linked: np.ndarray) -> np.ndarray:
+    """Smallest index reachable from each row of a symmetric matrix of links."""
+    root = np.arange(len(linked))
+    while True:
+        low = np.where(linked, root[None, :], len(linked)).min(1)
+        new = np.minimum(root, low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new

@@ -4,8 +4,10 @@ A unit vector's hash in one table is ``k`` numbers floor((a . v + b) / width) wi
 Gaussian ``a``; vectors at a small distance often share all of them. The number of
 projections follows from the number of vectors (so that a table brings together hardly
 any two unrelated ones), the number of tables from the wanted recall at the threshold.
-Vectors that share a bucket are compared exactly, in double precision. A pair counts in the
-first table that it shares. Crowded buckets are dealt out in pairs of blocks.
+Vectors that share a bucket are compared exactly, in double precision. A pair is compared and
+counts in the smallest bucket that it shares: which vectors have a pair due in which bucket
+is found from the bucket numbers alone, and only those vectors are sent there. Crowded buckets are
+dealt out in pairs of blocks.
 
 Equal vectors count once up to here; their number goes into the links.
 """
@@ -13,7 +15,6 @@ Equal vectors count once up to here; their number goes into the links.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portpulse.functions.scale import settle
-from portpulse.llm.common import Batches, batch, components, mapped, table
+from portpulse.llm.common import (
+    Batches,
+    batch,
+    components,
+    local_roots,
+    mapped,
+    met_first,
+    pairs_to_verify,
+    table,
+)
 
 THRESHOLD = 0.95
 RECALL = 0.995
@@ -89,8 +99,9 @@ def _hashes(tables: int, k: int, width: float):
                 a, shift = drawn[len(v)]
                 cells = np.floor((a @ v + shift) / width).astype(np.int64).reshape(tables, k)
                 signs.append(
+                    # the bucket's number tells the table and the length as well
                     b"".join(
-                        xxhash.xxh3_64_digest(c.tobytes(), len(v)) for c in cells
+                        xxhash.xxh3_64_digest(c.tobytes(), t << 32 | len(v)) for t, c in enumerate(cells)
                     )
                 )
             yield pa.RecordBatch.from_arrays(
@@ -101,85 +112,36 @@ def _hashes(tables: int, k: int, width: float):
 
 
 def _buckets(batches: Batches) -> Batches:
-    out = pa.schema([("table", pa.int32()), ("bucket", pa.int64()), ("key", pa.binary())])
+    out = pa.schema([("key", pa.binary()), ("bucket", pa.int64())])
     for b in batches:
         keys, signs = b.column(0).to_pylist(), b.column(1).to_pylist()
         if not keys:
             continue
         grid = np.frombuffer(b"".join(signs), np.int64).reshape(len(keys), -1)
-        n = grid.shape[1]
-        yield batch(
-            out,
-            [
-                np.tile(np.arange(n, dtype=np.int32), len(keys)),
-                grid.ravel(),
-                [k for k in keys for _ in range(n)],
-            ],
-        )
-
-
-def _groups(batches: Batches, names: list[str]) -> Iterator[pa.Table]:
-    """Runs of rows that agree in ``names``, of sorted batches."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        keys = list(zip(*(b.column(b.schema.get_field_index(n)).to_pylist() for n in names), strict=True))
-        edges = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
-        for lo, hi in zip(edges, edges[1:]):
-            if held and keys[lo] != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(b.slice(lo, hi - lo))
-            last = keys[lo]
-    if held:
-        yield pa.Table.from_batches(held)
+        yield batch(out, [[k for k in keys for _ in range(grid.shape[1])], grid.ravel()])
 
 
 _LINKS = pa.schema([("key", pa.binary()), ("other", pa.binary()), ("links", pa.int64())])
 
 
-def local_roots(linked: np.ndarray) -> np.ndarray:
-    """Smallest index reachable from each row of a symmetric matrix of links."""
-    root = np.arange(len(linked))
-    while True:
-        low = np.where(linked, root[None, :], len(linked)).min(1)
-        new = np.minimum(root, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _verify(threshold: float):
-    def run(batches: Batches) -> Batches:
-        for rows in _groups(batches, ["table", "bucket", "one", "two"]):
-            at, one, two = (rows.column(n)[0].as_py() for n in ("table", "one", "two"))
-            block = rows.column("block").to_numpy()
-            raw = rows.column("vector").to_pylist()
-            if len(raw) < 2 or len(set(map(len, raw))) > 1:
-                continue
-            vectors = np.stack([np.frombuffer(v, np.float64) for v in raw])
-            signs = np.stack([np.frombuffer(s, np.int64) for s in rows.column("sign").to_pylist()])
-            left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
-            near = vectors[left] @ vectors[right].T >= threshold
-            if one == two:
-                np.fill_diagonal(near, False)
-            if not near.any():
-                continue
-            for earlier in range(at):
-                near &= signs[left, earlier][:, None] != signs[right, earlier][None, :]
-            linked = np.zeros((len(raw), len(raw)), bool)
-            linked[np.ix_(left, right)] = near
-            linked |= linked.T
-            links = linked.astype(np.int64) @ rows.column("copies").to_numpy()
-            some = np.flatnonzero(links)
-            if len(some):
-                keys, root = rows.column("key").to_pylist(), local_roots(linked)
-                yield batch(
-                    _LINKS, [[keys[i] for i in some], [keys[root[i]] for i in some], links[some]]
-                )
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        left, right, near = met_first(rows)
+        raw = rows.column("vector").to_pylist()
+        if not near.any() or len(set(map(len, raw))) > 1:
+            return pa.table([[], [], []], schema=_LINKS)
+        vectors = np.stack([np.frombuffer(v, np.float64) for v in raw])
+        near &= vectors[left] @ vectors[right].T >= threshold
+        linked = np.zeros((len(raw), len(raw)), bool)
+        linked[np.ix_(left, right)] = near
+        linked |= linked.T
+        links = linked.astype(np.int64) @ rows.column("copies").to_numpy()
+        some = np.flatnonzero(links)
+        if not len(some):
+            return pa.table([[], [], []], schema=_LINKS)
+        keys, root = rows.column("key").to_pylist(), local_roots(linked)
+        return pa.table([[keys[i] for i in some], [keys[root[i]] for i in some], links[some]], schema=_LINKS)
 
     return run
 
@@ -219,32 +181,13 @@ def near_vectors(
             "key binary, copies long, least long, vector binary, sign binary",
         )
     )
-    places = settle(
-        mapped(hashed.select("key", "sign"), _buckets, "table int, bucket long, key binary")
-    )
-    crowds = (
-        places.groupBy("table", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
-        .drop("n")
-    )
-    paired = (
-        places.join(crowds, ["table", "bucket"])
-        .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("one", F.least("block", "with"))
-        .withColumn("two", F.greatest("block", "with"))
-        .drop("with", "blocks")
-        .join(hashed.drop("least"), "key")
-    )
-    group = ["table", "bucket", "one", "two"]
+    places = settle(mapped(hashed.select("key", "sign"), _buckets, "key binary, bucket long"))
+    hashed = hashed.drop("sign")
+    needed = pairs_to_verify(places, "bucket", BLOCK)
     verified = settle(
-        mapped(
-            paired.repartition(*group).sortWithinPartitions(*group),
-            _verify(threshold),
-            "key binary, other binary, links long",
-        )
+        needed.join(hashed.drop("least"), "key")
+        .groupBy("bucket", "one", "two")
+        .applyInArrow(_verify(threshold), "key binary, other binary, links long")
     )
     found = components(verified, "key", "other")
     named = (

@@ -25,7 +25,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portpulse.functions.scale import settle
-from portpulse.llm.common import Batches, batch, components, mapped, table
+from portpulse.llm.common import (
+    Batches,
+    batch,
+    components,
+    local_roots,
+    mapped,
+    met_first,
+    pairs_to_verify,
+    table,
+)
 from portpulse.llm.wordhash import mix, slices, words_of
 
 N = 5
@@ -155,36 +164,6 @@ def _sets(n: int):
     return run
 
 
-def _met(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the rows of the two blocks of a bucket, and which of their pairs have no
-    smaller band in common."""
-    here, block = rows.column("band")[0].as_py(), rows.column("block").to_numpy()
-    one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()
-    left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
-    fresh = np.ones((len(left), len(right)), bool)
-    if one == two:
-        np.fill_diagonal(fresh, False)
-    held = rows.column("bands").to_pylist()
-    sharing: dict[int, tuple[list[int], list[int]]] = {}
-    for k, places in enumerate((left, right)):
-        for at, row in enumerate(places):
-            for band in held[row]:
-                if band < here:
-                    sharing.setdefault(band, ([], []))[k].append(at)
-    for a, b in sharing.values():
-        if a and b:
-            fresh[np.ix_(a, b)] = False
-    return left, right, fresh
-
-
-def _to_verify(rows: pa.Table) -> pa.Table:
-    """The rows of a bucket's pair of blocks that have a pair to verify here."""
-    rows = rows.combine_chunks()
-    left, right, fresh = _met(rows)
-    some = np.union1d(left[fresh.any(1)], right[fresh.any(0)])
-    return rows.take(pa.array(some, pa.int64())).select(["band", "one", "two", "block", "key", "bands"])
-
-
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Shared n-grams of every pair, by products of 0/1 matrices over shared n-grams."""
     a, b = np.concatenate(left), np.concatenate(right)
@@ -209,18 +188,6 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _local_roots(linked: np.ndarray) -> np.ndarray:
-    """Smallest index reachable from each row of a symmetric matrix of links."""
-    root = np.arange(len(linked))
-    while True:
-        low = np.where(linked, root[None, :], len(linked)).min(1)
-        new = np.minimum(root, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 _LINKS = pa.schema(
     [("key", pa.binary()), ("other", pa.binary()), ("links", pa.int64())]
 )
@@ -232,7 +199,7 @@ def _verify(threshold: float):
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
-        left, right, near = _met(rows)
+        left, right, near = met_first(rows)
         if not near.any():
             return pa.table([[], [], []], schema=_LINKS)
         keys = rows.column("key").to_pylist()
@@ -249,7 +216,7 @@ def _verify(threshold: float):
         some = np.flatnonzero(links)
         if not len(some):
             return pa.table([[], [], []], schema=_LINKS)
-        root = _local_roots(linked)
+        root = local_roots(linked)
         return pa.table(
             [[keys[i] for i in some], [keys[root[i]] for i in some], links[some]], schema=_LINKS
         )
@@ -338,31 +305,8 @@ def _linked(
     band_rows = settle(
         mapped(source.select("text"), _bands(n, bands, rows), "key binary, band long")
     )
-    # written, so that no aggregate shares a stage with a join: a crowded bucket can be split there
-    shared = settle(
-        band_rows.groupBy("band")
-        .agg(F.min("key").alias("a"), F.max("key").alias("z"))
-        .where("a <> z")
-        .select("band")
-    )
-    # a set that several tasks have met counts once; it has as many bands as there are, at most
-    listed = settle(band_rows.join(shared, "band").groupBy("key").agg(F.collect_set("band").alias("bands")))
-    entries = listed.select("key", "bands", F.explode("bands").alias("band"))
-    blocks = F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_TEXTS)).cast("int").alias("blocks")
-    entries = entries.join(settle(entries.groupBy("band").agg(blocks)), "band")
-    paired = (
-        entries.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("one", F.least("block", "with"))
-        .withColumn("two", F.greatest("block", "with"))
-        .drop("with", "blocks")
-    )
-    place = ["band", "one", "two"]
-    needed = settle(
-        paired.groupBy(*place).applyInArrow(
-            _to_verify, "band long, one int, two int, block int, key binary, bands array<long>"
-        )
-    )
+    needed = pairs_to_verify(band_rows, "band", BLOCK_TEXTS)
+    place = ["bucket", "one", "two"]
     # A shuffled join whatever the size: the candidates grow with the texts.
     wanted = needed.select("key").distinct().join(counts.select("key", "copies"), "key")
     one_text = (

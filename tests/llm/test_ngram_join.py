@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from portpulse.llm import common
 from portpulse.llm import ngram_join as nj
 
 
@@ -91,15 +92,15 @@ def test_bands_reach_the_recall():
 def test_texts_of_one_template_are_not_compared_all_with_all(spark, monkeypatch):
     """Many texts with a common half and no links: what is verified grows with their number, not its square."""
     seen = []
-    settled = nj.settle
+    settled = common.settle
 
     def watching(df):
         out = settled(df)
-        if out.columns == ["band", "one", "two", "block", "key", "bands"]:
+        if out.columns == ["bucket", "one", "two", "block", "key", "buckets"]:
             seen.append(out.count())
         return out
 
-    monkeypatch.setattr(nj, "settle", watching)
+    monkeypatch.setattr(common, "settle", watching)
     r = random.Random(2)
     template = [f"t{k}" for k in range(40)]
     for n in (150, 600):
@@ -113,15 +114,15 @@ def test_texts_of_one_template_are_not_compared_all_with_all(spark, monkeypatch)
 def test_a_pair_is_verified_in_one_bucket(spark, monkeypatch):
     """Copies that share many bands need their sets in few places."""
     seen = []
-    settled = nj.settle
+    settled = common.settle
 
     def watching(df):
         out = settled(df)
-        if out.columns == ["band", "one", "two", "block", "key", "bands"]:
+        if out.columns == ["bucket", "one", "two", "block", "key", "buckets"]:
             seen.append(out.count())
         return out
 
-    monkeypatch.setattr(nj, "settle", watching)
+    monkeypatch.setattr(common, "settle", watching)
     base = [f"w{k}" for k in range(400)]
     rows = [(k, " ".join([*base[:k], "other", *base[k + 1 :]])) for k in range(0, 400, 8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
