@@ -19,6 +19,7 @@ from portpulse.functions.rates import metric_seconds, rate
 from portpulse.functions.scale import settle, shared_folder
 from portpulse.functions.text import safe_name
 from portpulse.operators import (
+    areas,
     durations,
     history,
     location as places,
@@ -969,6 +970,32 @@ def boundary_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("area_name", "postcode", F.col("geometry").isNotNull().alias("drawn"))
 
 
+def _area_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drawn boundary for every area, made of its sites: their extent with a hole in its
+    middle, and a second part to the east of it."""
+    extent = sample.sites(spark, sf_dir).groupBy(F.col("lga_name").alias("area")).agg(
+        F.min("longitude").alias("w"), F.max("longitude").alias("e"), F.min("latitude").alias("s"), F.max("latitude").alias("n")
+    )
+    w, e, s, n = (F.col(c) for c in "wesn")
+
+    def box(west: Column, east: Column, south: Column, north: Column) -> Column:
+        corners = [(west, south), (east, south), (east, north), (west, north), (west, south)]
+        return F.array(*(F.array(a, b) for a, b in corners))
+
+    third = lambda low, high, k: low + (high - low) * F.lit(k) / F.lit(3.0)
+    hole = box(third(w, e, 1.0), third(w, e, 2.0), third(s, n, 1.0), third(s, n, 2.0))
+    parts = F.array(F.array(box(w, e, s, n), hole), F.array(box(e + F.lit(0.01), e + F.lit(0.25), s, n)))
+    shape = F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), parts.alias("coordinates")))
+    return extent.select("area", shape.alias("geometry"))
+
+
+@query
+def ports_in_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ports by drawn area and operator, wherever their own area's name says they are."""
+    found = areas.points_in_areas(_location(spark, sf_dir), _area_boundaries(spark, sf_dir), "area")
+    return found.groupBy("area", "cpo_name").agg(F.count("*").alias("ports"))
+
+
 # --- streaming -------------------------------------------------------------
 @query
 def live_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:

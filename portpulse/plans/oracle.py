@@ -1077,6 +1077,24 @@ ORACLE["dashboard_state"] = text(
 ORACLE["boundary_read"] = text(
     [TABLES], "SELECT address AS area_name, postcode, true AS drawn FROM site"
 )
+ORACLE["ports_in_boundary"] = text(
+    [
+        TABLES,
+        """
+extent AS (
+  SELECT lga_name AS area, min(longitude) AS w, max(longitude) AS e, min(latitude) AS s, max(latitude) AS n
+  FROM site GROUP BY lga_name),
+cut AS (
+  SELECT *, w + (e - w) * 1.0::DOUBLE / 3.0::DOUBLE AS hw, w + (e - w) * 2.0::DOUBLE / 3.0::DOUBLE AS he,
+         s + (n - s) * 1.0::DOUBLE / 3.0::DOUBLE AS hs, s + (n - s) * 2.0::DOUBLE / 3.0::DOUBLE AS hn
+  FROM extent)""",
+    ],
+    """SELECT area, cpo_name, count(*) AS ports FROM loc1 JOIN cut
+    ON latitude BETWEEN s AND n AND (
+      longitude BETWEEN w AND e AND NOT (longitude > hw AND longitude < he AND latitude > hs AND latitude < hn)
+      OR longitude BETWEEN e + 0.01::DOUBLE AND e + 0.25::DOUBLE)
+    GROUP BY ALL""",
+)
 LATEST = f"""
 latest AS (SELECT * FROM log
   QUALIFY row_number() OVER (PARTITION BY {PORT} ORDER BY update_time DESC) = 1)"""
