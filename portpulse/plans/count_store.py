@@ -69,16 +69,12 @@ class CountStore:
         stored = stored.where(day.between(F.lit(to_datetime(start).date()), F.lit(to_datetime(end).date())))
         if where is not None:
             stored = stored.where(where)
-        # bitmaps of a bucket combine map-side; operators are counted on a line per group and operator
-        ports = (
-            stored.groupBy(*by, "bucket")
-            .agg(F.bitmap_count(F.bitmap_or_agg("ports")).alias("_n"))
-            .groupBy(*by)
-            .agg(F.sum("_n").alias("ports"))
-        )
+        # bitmaps of a bucket combine map-side; operators are a line per group and operator
+        zero = F.lit(0).cast("long")
+        ports = stored.groupBy(*by, "bucket").agg(F.bitmap_count(F.bitmap_or_agg("ports")).alias("ports"))
         named = stored.select(*by, F.col("cpo_name").alias("_cpo")).distinct()
-        operators = named.groupBy(*by).agg(F.count("_cpo").alias("operators"))
-        if not by:
-            return ports.withColumn("_k", F.lit(1)).join(operators.withColumn("_k", F.lit(1)), "_k").drop("_k")
-        same = [ports[c].eqNullSafe(operators[c]) for c in by]
-        return ports.join(operators, same).select(*(ports[c] for c in by), "ports", "operators")
+        one = F.when(F.col("_cpo").isNotNull(), 1).otherwise(0).cast("long")
+        lines = ports.select(*by, "ports", zero.alias("operators")).unionByName(
+            named.select(*by, zero.alias("ports"), one.alias("operators"))
+        )
+        return lines.groupBy(*by).agg(*(F.coalesce(F.sum(c), zero).alias(c) for c in ("ports", "operators")))
