@@ -155,8 +155,12 @@ def pairs_to_verify(places: DataFrame, bucket: str, block: int) -> DataFrame:
     )
     listed = settle(places.join(shared, "bucket").groupBy("key").agg(F.collect_set("bucket").alias("buckets")))
     entries = listed.select("key", "buckets", F.explode("buckets").alias("bucket"))
+    # where all keys of a bucket agree in their smallest one, and that is another, no pair is due
     blocks = F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks")
-    entries = entries.join(settle(entries.groupBy("bucket").agg(blocks)), "bucket")
+    first = F.array_min("buckets")
+    sizes = entries.groupBy("bucket").agg(blocks, F.min(first).alias("low"), F.max(first).alias("high"))
+    due = settle(sizes.where("low <> high or low = bucket").select("bucket", "blocks"))
+    entries = entries.join(due, "bucket")
     paired = (
         entries.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

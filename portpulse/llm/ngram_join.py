@@ -79,15 +79,16 @@ def _set_key(grams: np.ndarray) -> bytes:
 
 def _signatures(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
     """Band hashes, one row per set; every set has a member."""
-    flat = np.concatenate(sets)
+    # 32 bits of a member: a chance agreement makes a candidate more, and half the width halves the work
+    flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     at = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
     out = np.zeros((len(sets), bands), np.uint64)
     seeds = mix(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     for band in range(bands):
         hash_ = np.full(len(sets), band, np.uint64)
         for row in range(rows):
-            seed = seeds[band * rows + row]
-            low = np.minimum.reduceat((flat ^ seed) * (seed | np.uint64(1)), at)
+            seed = seeds[band * rows + row].astype(np.uint32)
+            low = np.minimum.reduceat((flat ^ seed) * (seed | np.uint32(1)), at)
             hash_ = mix(hash_ ^ low) + np.uint64(1)
         out[:, band] = hash_
     return out
