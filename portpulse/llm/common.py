@@ -105,20 +105,46 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
 
 
-def met_first(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs_of(batches: Batches, keys: list[str], names: list[str]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Of rows sorted by ``keys``: each run of equal keys, with its rows' ``names``.
+
+    Rows of many small runs come as they are in a batch; a group for each of them would cost more
+    than what is done with it.
+    """
+    held: list[tuple] = []
+    last = None
+    for b in batches:
+        columns = {n: b.column(b.schema.get_field_index(n)).to_pylist() for n in dict.fromkeys((*keys, *names))}
+        marks = list(zip(*(columns[k] for k in keys), strict=True))
+        rows = list(zip(*(columns[n] for n in names), strict=True))
+        at = 0
+        while at < len(marks):
+            to = at + 1
+            while to < len(marks) and marks[to] == marks[at]:
+                to += 1
+            if held and marks[at] != last:
+                yield last, held
+                held = []
+            held = held + rows[at:to] if held else rows[at:to]
+            last, at = marks[at], to
+    if held:
+        yield last, held
+
+
+def due_here(
+    here: int, one: int, two: int, block: list[int], buckets: list[list[int]]
+) -> tuple[list[int], list[int], np.ndarray]:
     """Places of the rows of the two blocks of a bucket, and which of their pairs have no
     smaller bucket in common."""
-    here, block = rows.column("bucket")[0].as_py(), rows.column("block").to_numpy()
-    one, two = rows.column("one")[0].as_py(), rows.column("two")[0].as_py()
-    left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+    left = [k for k, b in enumerate(block) if b == one]
+    right = [k for k, b in enumerate(block) if b == two] if one != two else left
     fresh = np.ones((len(left), len(right)), bool)
     if one == two:
         np.fill_diagonal(fresh, False)
-    held = rows.column("buckets").to_pylist()
     sharing: dict[int, tuple[list[int], list[int]]] = {}
     for k, places in enumerate((left, right)):
         for at, row in enumerate(places):
-            for bucket in held[row]:
+            for bucket in buckets[row]:
                 if bucket < here:
                     sharing.setdefault(bucket, ([], []))[k].append(at)
     for a, b in sharing.values():
@@ -127,12 +153,34 @@ def met_first(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return left, right, fresh
 
 
-def _to_verify(rows: pa.Table) -> pa.Table:
-    """The rows of a bucket's pair of blocks that have a pair to verify here."""
-    rows = rows.combine_chunks()
-    left, right, fresh = met_first(rows)
-    some = np.union1d(left[fresh.any(1)], right[fresh.any(0)])
-    return rows.take(pa.array(some, pa.int64())).select(["bucket", "one", "two", "block", "key", "buckets"])
+_DUE = pa.schema(
+    [("bucket", pa.int64()), ("one", pa.int32()), ("two", pa.int32()), ("block", pa.int32()),
+     ("key", pa.binary()), ("buckets", pa.list_(pa.int64()))]
+)
+#: What the rows of a pair of blocks are told apart and sorted by.
+PLACE = ["bucket", "one", "two"]
+
+
+def _to_verify(batches: Batches) -> Batches:
+    """The rows of each bucket's pair of blocks that have a pair to verify there."""
+    out: list[tuple] = []
+    for (here, one, two), rows in runs_of(batches, PLACE, ["block", "key", "buckets"]):
+        if len(rows) == 2 and one == two:
+            (_, _, a), (_, _, b) = rows
+            some = [0, 1] if min(set(a).intersection(b)) == here else []
+        else:
+            left, right, fresh = due_here(here, one, two, [r[0] for r in rows], [r[2] for r in rows])
+            some = sorted({left[k] for k in np.flatnonzero(fresh.any(1))} | {right[k] for k in np.flatnonzero(fresh.any(0))})
+        out += [(here, one, two, *rows[k]) for k in some]
+        if len(out) >= 5_000:
+            yield batch(_DUE, zip(*out, strict=True))
+            out = []
+    if out:
+        yield batch(_DUE, zip(*out, strict=True))
+
+
+def by_place(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*PLACE).sortWithinPartitions(*PLACE)
 
 
 def pairs_to_verify(places: DataFrame, bucket: str, block: int) -> DataFrame:
@@ -169,9 +217,7 @@ def pairs_to_verify(places: DataFrame, bucket: str, block: int) -> DataFrame:
         .drop("with", "blocks")
     )
     return settle(
-        paired.groupBy("bucket", "one", "two").applyInArrow(
-            _to_verify, "bucket long, one int, two int, block int, key binary, buckets array<long>"
-        )
+        mapped(by_place(paired), _to_verify, "bucket long, one int, two int, block int, key binary, buckets array<long>")
     )
 
 

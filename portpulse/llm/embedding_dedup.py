@@ -24,13 +24,16 @@ from pyspark.sql import functions as F
 
 from portpulse.functions.scale import settle
 from portpulse.llm.common import (
+    PLACE,
     Batches,
     batch,
+    by_place,
     components,
+    due_here,
     local_roots,
     mapped,
-    met_first,
     pairs_to_verify,
+    runs_of,
     table,
 )
 
@@ -125,23 +128,23 @@ _LINKS = pa.schema([("key", pa.binary()), ("other", pa.binary()), ("links", pa.i
 
 
 def _verify(threshold: float):
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        left, right, near = met_first(rows)
-        raw = rows.column("vector").to_pylist()
-        if not near.any() or len(set(map(len, raw))) > 1:
-            return pa.table([[], [], []], schema=_LINKS)
-        vectors = np.stack([np.frombuffer(v, np.float64) for v in raw])
-        near &= vectors[left] @ vectors[right].T >= threshold
-        linked = np.zeros((len(raw), len(raw)), bool)
-        linked[np.ix_(left, right)] = near
-        linked |= linked.T
-        links = linked.astype(np.int64) @ rows.column("copies").to_numpy()
-        some = np.flatnonzero(links)
-        if not len(some):
-            return pa.table([[], [], []], schema=_LINKS)
-        keys, root = rows.column("key").to_pylist(), local_roots(linked)
-        return pa.table([[keys[i] for i in some], [keys[root[i]] for i in some], links[some]], schema=_LINKS)
+    def run(batches: Batches) -> Batches:
+        names = ["block", "buckets", "key", "copies", "vector"]
+        for (here, one, two), rows in runs_of(batches, PLACE, names):
+            block, buckets, keys, copies, raw = zip(*rows, strict=True)
+            left, right, near = due_here(here, one, two, block, buckets)
+            if len(set(map(len, raw))) > 1:
+                continue
+            vectors = np.stack([np.frombuffer(v, np.float64) for v in raw])
+            near &= vectors[left] @ vectors[right].T >= threshold
+            if not near.any():
+                continue
+            linked = np.zeros((len(keys), len(keys)), bool)
+            linked[np.ix_(left, right)] = near
+            linked |= linked.T
+            links = linked.astype(np.int64) @ np.array(copies)
+            some, root = np.flatnonzero(links), local_roots(linked)
+            yield batch(_LINKS, [[keys[i] for i in some], [keys[root[i]] for i in some], links[some]])
 
     return run
 
@@ -185,9 +188,11 @@ def near_vectors(
     hashed = hashed.drop("sign")
     needed = pairs_to_verify(places, "bucket", BLOCK)
     verified = settle(
-        needed.join(hashed.drop("least"), "key")
-        .groupBy("bucket", "one", "two")
-        .applyInArrow(_verify(threshold), "key binary, other binary, links long")
+        mapped(
+            by_place(needed.join(hashed.drop("least"), "key")),
+            _verify(threshold),
+            "key binary, other binary, links long",
+        )
     )
     found = components(verified, "key", "other")
     named = (

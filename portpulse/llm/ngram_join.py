@@ -26,13 +26,16 @@ from pyspark.sql import functions as F
 
 from portpulse.functions.scale import settle
 from portpulse.llm.common import (
+    PLACE,
     Batches,
     batch,
+    by_place,
     components,
+    due_here,
     local_roots,
     mapped,
-    met_first,
     pairs_to_verify,
+    runs_of,
     table,
 )
 from portpulse.llm.wordhash import mix, slices, words_of
@@ -198,29 +201,24 @@ def _verify(threshold: float):
     """Links of one pair of blocks: per text the number of linked rows, and an edge to
     the smallest text that it reaches inside this pair of blocks."""
 
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        left, right, near = met_first(rows)
-        if not near.any():
-            return pa.table([[], [], []], schema=_LINKS)
-        keys = rows.column("key").to_pylist()
-        copies = rows.column("copies").to_numpy()
-        sets = [np.frombuffer(s, np.uint64) for s in rows.column("set").to_pylist()]
-        size = np.array([len(s) for s in sets])
-        both = _overlaps([sets[i] for i in left], [sets[i] for i in right])
-        either = size[left][:, None] + size[right][None, :] - both
-        near &= both >= threshold * either - 1e-6
-        linked = np.zeros((len(keys), len(keys)), bool)
-        linked[np.ix_(left, right)] = near
-        linked |= linked.T
-        links = linked.astype(np.int64) @ copies
-        some = np.flatnonzero(links)
-        if not len(some):
-            return pa.table([[], [], []], schema=_LINKS)
-        root = local_roots(linked)
-        return pa.table(
-            [[keys[i] for i in some], [keys[root[i]] for i in some], links[some]], schema=_LINKS
-        )
+    def run(batches: Batches) -> Batches:
+        names = ["block", "buckets", "key", "copies", "set"]
+        for (here, one, two), rows in runs_of(batches, PLACE, names):
+            block, buckets, keys, copies, raw = zip(*rows, strict=True)
+            left, right, near = due_here(here, one, two, block, buckets)
+            sets = [np.frombuffer(s, np.uint64) for s in raw]
+            size = np.array([len(s) for s in sets])
+            both = _overlaps([sets[i] for i in left], [sets[i] for i in right])
+            either = size[left][:, None] + size[right][None, :] - both
+            near &= both >= threshold * either - 1e-6
+            if not near.any():
+                continue
+            linked = np.zeros((len(keys), len(keys)), bool)
+            linked[np.ix_(left, right)] = near
+            linked |= linked.T
+            links = linked.astype(np.int64) @ np.array(copies)
+            some, root = np.flatnonzero(links), local_roots(linked)
+            yield batch(_LINKS, [[keys[i] for i in some], [keys[root[i]] for i in some], links[some]])
 
     return run
 
@@ -307,7 +305,6 @@ def _linked(
         mapped(source.select("text"), _bands(n, bands, rows), "key binary, band long")
     )
     needed = pairs_to_verify(band_rows, "band", BLOCK_TEXTS)
-    place = ["bucket", "one", "two"]
     # A shuffled join whatever the size: the candidates grow with the texts.
     wanted = needed.select("key").distinct().join(counts.select("key", "copies"), "key")
     one_text = (
@@ -317,9 +314,7 @@ def _linked(
     )
     sets = mapped(one_text.select("key", "text"), _sets(n), "key binary, `set` binary").join(wanted, "key")
     verified = settle(
-        needed.join(sets, "key")
-        .groupBy(*place)
-        .applyInArrow(_verify(threshold), "key binary, other binary, links long")
+        mapped(by_place(needed.join(sets, "key")), _verify(threshold), "key binary, other binary, links long")
     )
     classes = components(verified, "key", "other")
     named = (
