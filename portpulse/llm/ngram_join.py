@@ -29,13 +29,11 @@ from portpulse.llm.common import (
     PLACE,
     Batches,
     batch,
-    by_place,
     components,
     due_here,
     local_roots,
     mapped,
     pairs_to_verify,
-    runs_of,
     table,
 )
 from portpulse.llm.wordhash import mix, slices, words_of
@@ -201,24 +199,28 @@ def _verify(threshold: float):
     """Links of one pair of blocks: per text the number of linked rows, and an edge to
     the smallest text that it reaches inside this pair of blocks."""
 
-    def run(batches: Batches) -> Batches:
-        names = ["block", "buckets", "key", "copies", "set"]
-        for (here, one, two), rows in runs_of(batches, PLACE, names):
-            block, buckets, keys, copies, raw = zip(*rows, strict=True)
-            left, right, near = due_here(here, one, two, block, buckets)
-            sets = [np.frombuffer(s, np.uint64) for s in raw]
-            size = np.array([len(s) for s in sets])
-            both = _overlaps([sets[i] for i in left], [sets[i] for i in right])
-            either = size[left][:, None] + size[right][None, :] - both
-            near &= both >= threshold * either - 1e-6
-            if not near.any():
-                continue
-            linked = np.zeros((len(keys), len(keys)), bool)
-            linked[np.ix_(left, right)] = near
-            linked |= linked.T
-            links = linked.astype(np.int64) @ np.array(copies)
-            some, root = np.flatnonzero(links), local_roots(linked)
-            yield batch(_LINKS, [[keys[i] for i in some], [keys[root[i]] for i in some], links[some]])
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        here, one, two = (rows.column(n)[0].as_py() for n in PLACE)
+        block, buckets, keys = (rows.column(n).to_pylist() for n in ("block", "buckets", "key"))
+        left, right, near = due_here(here, one, two, block, buckets)
+        none = pa.table([[], [], []], schema=_LINKS)
+        if not near.any():
+            return none
+        sets = [np.frombuffer(s, np.uint64) for s in rows.column("set").to_pylist()]
+        size = np.array([len(s) for s in sets])
+        both = _overlaps([sets[i] for i in left], [sets[i] for i in right])
+        either = size[left][:, None] + size[right][None, :] - both
+        near &= both >= threshold * either - 1e-6
+        linked = np.zeros((len(keys), len(keys)), bool)
+        linked[np.ix_(left, right)] = near
+        linked |= linked.T
+        links = linked.astype(np.int64) @ rows.column("copies").to_numpy()
+        some = np.flatnonzero(links)
+        if not len(some):
+            return none
+        root = local_roots(linked)
+        return pa.table([[keys[i] for i in some], [keys[root[i]] for i in some], links[some]], schema=_LINKS)
 
     return run
 
@@ -313,8 +315,11 @@ def _linked(
         .dropDuplicates(["key"])
     )
     sets = mapped(one_text.select("key", "text"), _sets(n), "key binary, `set` binary").join(wanted, "key")
+    # in groups: sets are long, and a batch of many buckets could hold too many of them
     verified = settle(
-        mapped(by_place(needed.join(sets, "key")), _verify(threshold), "key binary, other binary, links long")
+        needed.join(sets, "key")
+        .groupBy(*PLACE)
+        .applyInArrow(_verify(threshold), "key binary, other binary, links long")
     )
     classes = components(verified, "key", "other")
     named = (

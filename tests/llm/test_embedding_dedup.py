@@ -75,3 +75,23 @@ def test_sample_and_empty(spark):
     rows = [(r.vec_id, r.embedding) for r in frame.collect()]
     assert sorted((tuple(r) for r in ed.near_vectors(frame).collect()), key=str) == brute(rows)
     assert ed.near_vectors(spark.createDataFrame([], frame.schema)).count() == 0
+
+
+def test_one_very_large_bucket(spark, monkeypatch):
+    """Hundreds of different vectors that all link, compared in many pairs of blocks."""
+    monkeypatch.setattr(ed, "BLOCK", 40)
+    r = np.random.default_rng(3)
+    base = r.standard_normal(16)
+    rows = [(i, (base + 0.001 * r.standard_normal(16)).tolist()) for i in range(300)] + [(900, (-base).tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ed.near_vectors(frame.repartition(4)).collect()
+    assert {(x.n_links, x.component_id) for x in got if x.vec_id < 900} == {(299, 0)}
+    assert [(x.n_links, x.component_id) for x in got if x.vec_id == 900] == [(0, 900)]
+
+
+def test_no_schema_pitfalls(spark):
+    """An empty table, and columns that share names with the working tables."""
+    schema = "vec_id long, embedding array<double>, key int, bucket string, id int"
+    assert ed.near_vectors(spark.createDataFrame([], schema)).count() == 0
+    got = ed.near_vectors(spark.createDataFrame([(1, [1.0], 2, "b", 3), (2, [2.0], 2, "b", 3)], schema)).collect()
+    assert {(x.vec_id, x.n_links, x.component_id) for x in got} == {(1, 1, 1), (2, 1, 1)}
