@@ -261,3 +261,21 @@ def test_chatty_port_is_compacted_before_it_is_ordered(spark, make_log):
     result = observed(log)
     assert total(result, "Reserved") == 6 * 3600
     assert total(result, "Charging") + total(result, "Available") == 6 * 3600
+
+
+def test_what_is_summed_follows_the_stretches(make_log):
+    """A long stretch is one row until the half hours are made, and these are as before."""
+    log = make_log(
+        [
+            (*PORT, "Available", "2023-12-31 23:00:00"),
+            (*PORT, "Charging", day("00:40:00")),
+            (*PORT, "Available", day("05:10:00")),
+        ]
+    )
+    rows = timeline(log)
+    runs = durations.dense_runs(rows, LO).collect()
+    shown = sorted((r["_from"] % 86400 // 60, r["_to"] % 86400 // 60, r.Available, r.Charging) for r in runs)
+    assert shown == [(0, 0, 1800, 0), (30, 30, 600, 1200), (60, 270, 0, 1800), (300, 300, 1200, 600), (330, 330, 1800, 0)]
+    result = dense(log)
+    assert len(result) == 12 and total(observed(log), "Charging") == 16200
+    assert all(r["Available"] + r["Charging"] == r["Total"] == 1800 for r in result.values())
