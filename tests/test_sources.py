@@ -157,3 +157,18 @@ def test_an_unset_folder_is_an_error_and_settled_tables_can_be_released(
     assert len(list(tmp_path.rglob("_SUCCESS"))) == 2
     release(spark)
     assert list(tmp_path.iterdir()) == []
+
+
+def test_a_fact_is_written_by_the_tasks_that_hold_it(spark, tmp_path):
+    """Neither shuffled nor sorted: as many files of a state as there are tasks."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    rows = spark.range(60, numPartitions=3).selectExpr("id", "if(id % 2 = 0, 'NSW', 'VIC') AS state")
+    for some in (rows, rows.where("state = 'VIC'")):
+        writers.write_fact(some, str(tmp_path / "fact"), "2024-01-02")
+        stored = spark.read.parquet(str(tmp_path / "fact"))
+        assert stored.select("id", "state").exceptAll(some).count() == 0
+        assert stored.count() == some.count()
+        assert len(list((tmp_path / "fact" / "state=VIC").rglob("*.parquet"))) == 3
+    assert not (tmp_path / "fact" / "state=NSW" / "year=2024" / "month=1").exists()
+    assert spark.conf.get(name) == before
