@@ -1,3 +1,4 @@
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -173,3 +174,18 @@ def test_port_count_and_null_keys(spark):
     )
     row = metrics.evse_level(df).collect()
     assert len(row) == 1 and row[0].evse_port_count == 2 and row[0].Total == 3 * 1800
+
+
+def test_tasks_that_count_ports_follow_the_rows(spark, monkeypatch):
+    """Their number comes from the rows, not from the few bytes that these are."""
+    keys = "'E' AS evse_id, concat('P', id % 3) AS evse_port_id, 'A' AS cpo_name, 'x' AS address, 's' AS suburb, 2000 AS postcode"
+    rest = "'l' AS lga_name, 0.0D AS latitude, 0.0D AS longitude, 7.0D AS power, 'not_funded' AS government_funded, 'NSW' AS state"
+    at = "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 30 * cast(id div 3 AS int)) AS interval"
+    seconds = ", ".join(f"cast(100 AS bigint) AS `{s}`" for s in [*STATUSES, TOTAL])
+    fact = spark.sql(f"SELECT {keys}, {rest}, {at}, {seconds} FROM range(300)")
+    monkeypatch.setattr(metrics, "PORT_ROWS", 10)
+    level = metrics.evse_level(fact)
+    assert re.search(r"hashpartitioning\(.*, 30\)", level._jdf.queryExecution().executedPlan().toString())
+    rows = level.collect()
+    assert len(rows) == 100
+    assert all(r[metrics.PORT_COUNT] == 3 and r.Charging == 300 for r in rows)
