@@ -66,13 +66,15 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def parts_for(df: DataFrame, rows: int) -> int:
+def parts_for(df: DataFrame, rows: int, each: Column | None = None) -> int:
     """How many partitions of about ``rows`` rows ``df`` makes, at least one for each core.
 
     For a shuffle whose tasks hold far more than they read, where Spark's own choice by
     bytes read makes too few. Counts ``df``: of a stored table that reads file footers only.
+    ``each`` tells how many rows a row of ``df`` stands for.
     """
-    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    n = df.count() if each is None else df.agg(F.sum(each)).first()[0] or 0
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-n // rows))
 
 
 def numbered_within(

@@ -319,6 +319,34 @@ def unrolled(runs: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.withColumn("update_time", from_epoch_second(F.col("_bucket"))).select(*columns)
 
 
+def is_runs(fact: DataFrame) -> bool:
+    """Does a row stand for a run of equal half hours (``_from`` to ``_to``), not for one?"""
+    return {"_from", "_to"} <= set(fact.columns)
+
+
+def half_hours() -> Column:
+    """The number of half hours of a run."""
+    return F.expr(f"(_to - _from) div {BUCKET_SECONDS} + 1")
+
+
+def by_day(runs: DataFrame) -> DataFrame:
+    """Runs cut at midnight, with the ``_day`` they lie in.
+
+    ``_day`` is the moment from which the half hours of a run's grid count, which is midnight
+    where the grid holds it.
+    """
+    day = 86_400
+
+    def of(second: str) -> Column:
+        return F.expr(f"{second} - pmod({second}, {day}) div {BUCKET_SECONDS} * {BUCKET_SECONDS}")
+
+    days = F.sequence(of("_from"), of("_to"), F.lit(day).cast("bigint"))
+    last = F.col("_day") + F.lit(day - BUCKET_SECONDS).cast("bigint")
+    return runs.withColumn("_day", F.explode(days)).withColumns(
+        {"_from": F.greatest("_from", "_day"), "_to": F.least(F.col("_to"), last)}
+    )
+
+
 def dense_columns(statuses: Sequence[str]) -> list[str]:
     return [*PORT_KEYS, "update_time", *[s for s in statuses if s != UNKNOWN], UNKNOWN, TOTAL]
 

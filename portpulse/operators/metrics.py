@@ -15,15 +15,20 @@ from pyspark.sql import functions as F
 
 from portpulse.functions.clock import (
     bucket_start,
+    epoch_second,
+    from_epoch_second,
     local_time,
     local_time_between,
     midnight,
     ntz,
+    seconds_of,
     to_datetime,
 )
 from portpulse.functions.rates import metric_seconds, rate
 from portpulse.functions.scale import all_not_null, parts_for
+from portpulse.operators import durations
 from portpulse.schema import (
+    BUCKET_SECONDS,
     EVSE_KEYS,
     METRICS,
     NOT_FUNDED,
@@ -77,6 +82,37 @@ def local_between_dates(
     return between_dates(df.where(coarse).withColumn(column, local), start, end)
 
 
+def local_runs(runs: DataFrame, start: datetime | str, end: datetime | str) -> DataFrame:
+    """:func:`local_between_dates` for runs: cut at midnight UTC, moved to local time and clipped.
+
+    A day's piece in which the clocks change falls into its half hours, so that in local time
+    too a run has all half hours between its ends.
+    """
+    width = F.lit(BUCKET_SECONDS).cast("bigint")
+    margin = 86_400
+    lo = to_datetime(start)
+    lo_s, hi_s = seconds_of(lo) + (1 if lo.microsecond else 0), seconds_of(end)
+    near = (F.col("_to") >= lo_s - margin) & (F.col("_from") <= hi_s + margin)
+
+    def local(second: Column) -> Column:
+        return epoch_second(local_time_between(from_epoch_second(second), F.col("state"), start, end))
+
+    begin, last = F.col("_from"), F.col("_to")
+    same = local(last) - local(begin) == last - begin
+    whole = F.array(F.struct(begin.alias("a"), last.alias("b")))
+    single = F.transform(F.sequence(begin, last, width), lambda s: F.struct(s.alias("a"), s.alias("b")))
+    pieces = durations.by_day(runs.where(near)).withColumn("_r", F.explode(F.when(same, whole).otherwise(single)))
+    pieces = pieces.withColumns({"_from": local(F.col("_r.a")), "_to": local(F.col("_r.b"))})
+
+    def steps(seconds: Column) -> Column:
+        """Whole half hours that cover so many seconds, in seconds."""
+        up = F.greatest(seconds, F.lit(0).cast("bigint")) + width - 1
+        return up - F.pmod(up, width)
+
+    clipped = pieces.withColumns({"_from": begin + steps(F.lit(lo_s) - begin), "_to": last - steps(last - F.lit(hi_s))})
+    return clipped.where(begin <= last).drop("_day", "_r")
+
+
 def between_dates(df: DataFrame, start: datetime | str, end: datetime | str) -> DataFrame:
     """Both bounds inclusive; an end given as a date means its midnight only."""
     return df.where(F.col("interval").between(ntz(start), ntz(end)))
@@ -142,13 +178,15 @@ def evse_level(
 ) -> DataFrame:
     """Port rows -> charger rows: summed seconds and the number of distinct ports."""
     keys = [*EVSE_KEYS, *more_keys, "interval"]
-    return _with_port_count(fact, keys, "evse_id", ["evse_port_id"], PORT_COUNT, statuses)
+    count = _runs_with_port_count if durations.is_runs(fact) else _with_port_count
+    return count(fact, keys, "evse_id", ["evse_port_id"], PORT_COUNT, statuses)
 
 
 def site_level(fact: DataFrame, statuses: Sequence[str] = STATUSES) -> DataFrame:
     """Port rows -> site rows, the report's input, with distinct ports per interval."""
     keys = [*SITE_KEYS, "interval"]
-    return _with_port_count(fact, keys, "address", PORT_KEYS, SITE_PORT_COUNT, statuses)
+    count = _runs_with_port_count if durations.is_runs(fact) else _with_port_count
+    return count(fact, keys, "address", PORT_KEYS, SITE_PORT_COUNT, statuses)
 
 
 def _with_port_count(
@@ -178,6 +216,39 @@ def _with_port_count(
     return per_port.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values], counted)
 
 
+def _runs_with_port_count(
+    runs: DataFrame,
+    keys: Sequence[str],
+    spread: str,
+    port: Sequence[str],
+    name: str,
+    statuses: Sequence[str],
+) -> DataFrame:
+    """:func:`_with_port_count` of runs of equal half hours.
+
+    Runs are dealt by charger or site and day and become half hours only in the task that sums
+    them. A run counts its port in those half hours of its day that no earlier run of the port
+    has, which a bit each tells, so ports are folded by run and not by half hour.
+    """
+    values = [*statuses, TOTAL]
+    keys = [k for k in keys if k != "interval"]
+    parts = parts_for(runs, PORT_ROWS, durations.half_hours())
+    days = durations.by_day(runs.where(all_not_null(keys))).repartition(parts, spread, "_day")
+    slot = f"cast((%s - _day) div {BUCKET_SECONDS} AS int)"
+    bits = F.expr(f"shiftleft(shiftleft(1L, {slot % '_to'} - {slot % '_from'} + 1) - 1L, {slot % '_from'})")
+    of_port = Window.partitionBy(*dict.fromkeys([*keys, *port]), "_day").orderBy("_from", "_to")
+    before = F.bit_or("_bits").over(of_port.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.col("_bits").bitwiseAND(F.bitwise_not(F.coalesce(before, F.lit(0).cast("bigint"))))
+    rows = (
+        days.withColumn("_bits", bits)
+        .withColumn("_new", F.when(all_not_null(port), new).otherwise(F.lit(0).cast("bigint")))
+        .select(*keys, "_day", "_new", *values, F.explode(F.sequence("_from", "_to", F.lit(BUCKET_SECONDS).cast("bigint"))).alias("_at"))
+    )
+    counted = F.sum(F.bit_get("_new", F.expr(slot % "_at")).cast("bigint")).alias(name)
+    level = rows.groupBy(*keys, "_day", "_at").agg(*[F.sum(v).alias(v) for v in values], counted)
+    return level.select(*keys, from_epoch_second(F.col("_at")).alias("interval"), *values, name)
+
+
 def long_variables(
     wide: DataFrame, count: str = PORT_COUNT, statuses: Sequence[str] = STATUSES
 ) -> DataFrame:

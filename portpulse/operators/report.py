@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from portpulse.functions.clock import from_epoch_second
 from portpulse.functions.rates import metric_seconds, percent, rate
 from portpulse.functions.scale import all_not_null
+from portpulse.operators.durations import is_runs
 from portpulse.operators.metrics import SITE_PORT_COUNT
 from portpulse.functions.scale import settle
 from portpulse.schema import (
@@ -31,6 +33,8 @@ def _shares(statuses: Sequence[str]) -> list[Column]:
 
 def latest_interval(df: DataFrame) -> Column:
     """The last interval of a table, as a scalar; of a plain scan it is cheap."""
+    if is_runs(df):
+        return df.select(from_epoch_second(F.max("_to"))).scalar()
     return df.select(F.max("interval")).scalar()
 
 
@@ -191,6 +195,7 @@ def top_three(areas: DataFrame, variable: str) -> DataFrame:
 
 def charging_summary(areas: DataFrame) -> DataFrame:
     """What the report says of the three areas that charge most."""
+    areas = settle(areas)  # a line for each area and operator, read twice
     top = top_three(areas, "Charging_prop")
     unavailable = mostly_unavailable(areas).agg(
         F.coalesce(F.sum("value"), F.lit(0)).cast("bigint").alias("n")

@@ -15,14 +15,14 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from portpulse.functions.clock import to_datetime
-from portpulse.operators import metrics, privacy
+from portpulse.operators import durations, metrics, privacy
 from portpulse.plans.monthly import Period
 from portpulse.schema import STATUSES
 from portpulse.sources.readers import of_range
 from portpulse.sources.writers import replace_label
 
 _LAYOUT = ("state", "year", "month")
-_AREA = ["state", "lga_name", "cpo_name", "government_funded", "interval"]
+_AREA = ["state", "lga_name", "cpo_name", "government_funded"]
 
 
 @dataclass(frozen=True)
@@ -32,17 +32,25 @@ class LevelStore:
     statuses: Sequence[str] = tuple(STATUSES)
 
     def replace(self, fact: DataFrame, period: Period) -> None:
-        """Store the charger level of one period's fact table in place of the former one."""
+        """Store the charger level of one period's fact table in place of the former one.
+
+        ``fact`` has half hours or runs of equal ones (``monthly.fact_runs``).
+        """
         begin = to_datetime(period.start)
         label = {"year": begin.year, "month": begin.month}
         # a period begins some hours before its first local day does
         margin = timedelta(days=2)
-        local = metrics.local_between_dates(
-            metrics.dashboard_names(fact), begin - margin, to_datetime(period.end) + margin
-        )
+        bounds = begin - margin, to_datetime(period.end) + margin
+        if durations.is_runs(fact):
+            local = metrics.local_runs(fact, *bounds)
+            runs = local.select(*_AREA, "_from", "_to").distinct()
+            areas = metrics.dashboard_names(durations.unrolled(runs, [*_AREA, "update_time"]))
+        else:
+            local = metrics.local_between_dates(metrics.dashboard_names(fact), *bounds)
+            areas = local.select(*_AREA, "interval")
         level = metrics.evse_level(local, self.statuses, ["state"])
         replace_label(level, f"{self.path}/level", label, _LAYOUT, "state")
-        replace_label(local.select(*_AREA).distinct(), f"{self.path}/areas", label, _LAYOUT, "state")
+        replace_label(areas.distinct(), f"{self.path}/areas", label, _LAYOUT, "state")
 
     def load(self, start: datetime | str, end: datetime | str, state: str | None = None) -> DataFrame:
         """The charger level of a range of local time, without areas that reveal a single operator."""

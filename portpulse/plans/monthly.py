@@ -87,10 +87,30 @@ def fact_table(
 ) -> DataFrame:
     """One row per port and half hour: location columns and seconds per status.
 
-    ``location`` is a prepared one. Its columns are joined to the runs of equal half hours, of
-    which there are few, and the join keeps the partitioning by port. An input that lacks a column
-    is an error here. A status outside the list counts as ``Unknown``; :func:`fact_of_feed` takes
-    the list from the feed.
+    A status outside the list counts as ``Unknown``; :func:`fact_of_feed` takes the list from the
+    feed.
+    """
+    return half_hourly(fact_runs(log, location, windows, period, statuses, residual))
+
+
+def half_hourly(runs: DataFrame) -> DataFrame:
+    """The half hours of a fact table's runs."""
+    rest = [c for c in runs.columns if c not in (*PORT_KEYS, "_from", "_to")]
+    return durations.unrolled(runs, [*PORT_KEYS, "update_time", *rest])
+
+
+def fact_runs(
+    log: DataFrame,
+    location: DataFrame,
+    windows: DataFrame | None,
+    period: Period,
+    statuses: Sequence[str] = STATUSES,
+    residual: str = "reference",
+) -> DataFrame:
+    """:func:`fact_table` with one row per port and run of equal half hours, ``_from`` to ``_to``.
+
+    ``location`` is a prepared one. Its columns are joined to the runs, of which there are few,
+    and the join keeps the partitioning by port. An input that lacks a column is an error here.
     """
     log = conform(log, STATUS_LOG, "status log")
     conform(location, LOCATION, "location")
@@ -99,11 +119,7 @@ def fact_table(
     # Written once: two facts about the whole timeline and its pieces are read from it.
     rows = settle(port_timeline(log, location, windows, period, statuses))
     runs = durations.dense_runs(rows, period.bounds[0], statuses, residual)
-    more = [c for c in location.columns if c not in PORT_KEYS]
-    fact = durations.unrolled(
-        metrics.with_location(runs, location), [*durations.dense_columns(statuses), *more]
-    )
-    return places.apply_cpo_cleaning(fact)
+    return places.apply_cpo_cleaning(metrics.with_location(runs, location))
 
 
 def fact_of_feed(

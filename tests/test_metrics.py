@@ -1,3 +1,4 @@
+import random
 import re
 from datetime import datetime, timedelta
 
@@ -5,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from portpulse.functions.clock import local_time, local_time_between
-from portpulse.operators import metrics, privacy, stats
+from portpulse.operators import metrics, privacy, report, stats
+from portpulse.plans import monthly
 from portpulse.schema import STATUSES, TOTAL
 
 
@@ -189,3 +191,53 @@ def test_tasks_that_count_ports_follow_the_rows(spark, monkeypatch):
     rows = level.collect()
     assert len(rows) == 100
     assert all(r[metrics.PORT_COUNT] == 3 and r.Charging == 300 for r in rows)
+
+
+@pytest.fixture
+def some_runs(spark):
+    """Runs of ports that are listed twice, overlap, lack a key or a name, some over a change of the clocks."""
+    rng, rows = random.Random(5), []
+    begin = int((datetime(2024, 4, 4) - datetime(1970, 1, 1)).total_seconds())
+    for i in range(240):
+        port, site = rng.randrange(6), rng.randrange(2)
+        first = rng.randrange(200)
+        last = first + rng.choice([0, 0, 1, 5, 60, 150])
+        rows.append(
+            (
+                rng.choice(["NSW", "QLD", "ZZ"]), "A", rng.choice(["x", "x", "x", None]), "S", 2000, rng.choice(["L", "M"]), 1.0, -0.0, 7.0,
+                rng.choice(["not_funded", "grant"]), f"E{site}", rng.choice([f"P{port}"] * 4 + [None]),
+                begin + first * 1800, begin + last * 1800, *[rng.randrange(1800) for _ in STATUSES], 1800,
+            )
+        )
+    fields = ", ".join(f"`{s}` bigint" for s in [*STATUSES, TOTAL])
+    return spark.createDataFrame(
+        rows,
+        "state string, cpo_name string, address string, suburb string, postcode int, lga_name string, latitude double, "
+        f"longitude double, power double, government_funded string, evse_id string, evse_port_id string, _from bigint, _to bigint, {fields}",
+    )
+
+
+def lines(df):
+    return df.columns, sorted(map(str, df.collect()))
+
+
+def test_levels_of_runs_are_those_of_their_half_hours(some_runs, monkeypatch):
+    monkeypatch.setattr(metrics, "PORT_ROWS", 3000)
+    fact = metrics.dashboard_names(monthly.half_hourly(some_runs))
+    assert lines(metrics.site_level(some_runs)) == lines(metrics.site_level(fact))
+    assert lines(metrics.evse_level(some_runs)) == lines(metrics.evse_level(fact))
+    assert report.latest_interval(some_runs) is not None
+    latest = [df.limit(1).select(report.latest_interval(df).alias("t")).first().t for df in (some_runs, fact)]
+    assert latest[0] == latest[1]
+    # only runs are shuffled: one exchange, by site and day
+    plan = metrics.site_level(some_runs)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning", plan.split("Initial Plan")[0])) == 1
+
+
+@pytest.mark.parametrize("bounds", [("2024-04-01", "2024-04-30"), ("2024-04-06 03:10:00", "2024-04-07 02:30:00"), ("2024-04-07", "2024-04-07")])
+def test_local_runs_have_the_half_hours_of_local_time(some_runs, bounds):
+    fact = metrics.dashboard_names(monthly.half_hourly(some_runs))
+    local = metrics.local_between_dates(fact, *bounds)
+    runs = metrics.local_runs(some_runs, *bounds)
+    assert lines(metrics.dashboard_names(monthly.half_hourly(runs)).select(*local.columns)) == lines(local)
+    assert lines(metrics.evse_level(runs, more_keys=["state"])) == lines(metrics.evse_level(local, more_keys=["state"]))
