@@ -142,6 +142,22 @@ def local_time_between(
     return converted
 
 
+def local_second_between(
+    second: Column, state: Column, start: datetime | str, end: datetime | str
+) -> Column:
+    """:func:`local_time_between` in whole seconds since 1970."""
+    lo, hi = to_datetime(start) - timedelta(days=2), to_datetime(end) + timedelta(days=2)
+    shift = F.lit(0)
+    for zone in sorted(set(STATE_TIMEZONES.values())):
+        states = [s for s, z in STATE_TIMEZONES.items() if z == zone]
+        first, *later = zone_offsets(zone, lo, hi)
+        local = F.lit(int(first[1].total_seconds()))
+        for moment, offset in later:
+            local = F.when(second >= seconds_of(moment), int(offset.total_seconds())).otherwise(local)
+        shift = F.when(state.isin(states), local).otherwise(shift)
+    return second + shift
+
+
 def _shifted(ts: Column, offset: timedelta) -> Column:
     return ts + F.expr(f"INTERVAL '{int(offset.total_seconds() // 60)}' MINUTE")
 

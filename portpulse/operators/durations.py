@@ -24,7 +24,7 @@ from portpulse.functions.clock import (
     truncate_minute,
 )
 from portpulse.functions.scale import parts_for, settle
-from portpulse.operators.outages import closed_windows, flag_in_outage
+from portpulse.operators.outages import closed_windows, flag_in_outage, repeated
 from portpulse.schema import (
     BUCKET_SECONDS,
     MISSING,
@@ -231,7 +231,8 @@ def all_amended_events(events: DataFrame, lo: datetime, hi: datetime) -> DataFra
 
     ``events`` are the rows from the carried-in one to ``hi``, with their outage rows.
     The first row of a port that is not new moves to ``lo``; every row at its last
-    moment is repeated at ``hi``. A row without status is left out.
+    moment is repeated at ``hi``. A row without status is left out. One with ``_times``
+    stands for so many equal ones, which are made last.
     """
     # Read for the first and last moments and for the rows; one line per port joins back.
     rows = settle(events.where(F.col("status").isNotNull()))
@@ -240,11 +241,13 @@ def all_amended_events(events: DataFrame, lo: datetime, hi: datetime) -> DataFra
     new = F.col("_first") > ntz(lo)
     begin = F.when(~new & (ts == F.col("_first")), ntz(lo)).otherwise(ts)
     moments = F.when(ts == F.col("_last"), F.array(begin, ntz(hi))).otherwise(F.array(begin))
-    return (
+    more = [c for c in rows.columns if c == "_times"]
+    amended = (
         rows.join(ends, list(PORT_KEYS))
-        .select(*CPO_PORT, "status", new.cast("int").alias("new_evse"), F.explode(moments).alias("_t"))
-        .select(*CPO_PORT, "status", truncate_minute(F.col("_t")).alias("update_time"), "new_evse")
+        .select(*CPO_PORT, "status", new.cast("int").alias("new_evse"), *more, F.explode(moments).alias("_t"))
+        .select(*CPO_PORT, "status", truncate_minute(F.col("_t")).alias("update_time"), "new_evse", *more)
     )
+    return repeated(amended) if more else amended
 
 
 def status_of(code: Column, statuses: Sequence[str]) -> Column:

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from portpulse.functions.clock import (
     bucket_start,
-    epoch_second,
     from_epoch_second,
     local_time,
+    local_second_between,
     local_time_between,
     midnight,
     ntz,
@@ -95,14 +95,14 @@ def local_runs(runs: DataFrame, start: datetime | str, end: datetime | str) -> D
     near = (F.col("_to") >= lo_s - margin) & (F.col("_from") <= hi_s + margin)
 
     def local(second: Column) -> Column:
-        return epoch_second(local_time_between(from_epoch_second(second), F.col("state"), start, end))
+        return local_second_between(second, F.col("state"), start, end)
 
     begin, last = F.col("_from"), F.col("_to")
     same = local(last) - local(begin) == last - begin
-    whole = F.array(F.struct(begin.alias("a"), last.alias("b")))
-    single = F.transform(F.sequence(begin, last, width), lambda s: F.struct(s.alias("a"), s.alias("b")))
-    pieces = durations.by_day(runs.where(near)).withColumn("_r", F.explode(F.when(same, whole).otherwise(single)))
-    pieces = pieces.withColumns({"_from": local(F.col("_r.a")), "_to": local(F.col("_r.b"))})
+    at = F.col("_at")
+    pieces = durations.by_day(runs.where(near)).withColumn("_same", same)
+    pieces = pieces.withColumn("_at", F.explode(F.sequence(begin, F.when(F.col("_same"), begin).otherwise(last), width)))
+    pieces = pieces.withColumns({"_from": local(at), "_to": local(F.when(F.col("_same"), last).otherwise(at))})
 
     def steps(seconds: Column) -> Column:
         """Whole half hours that cover so many seconds, in seconds."""
@@ -110,7 +110,7 @@ def local_runs(runs: DataFrame, start: datetime | str, end: datetime | str) -> D
         return up - F.pmod(up, width)
 
     clipped = pieces.withColumns({"_from": begin + steps(F.lit(lo_s) - begin), "_to": last - steps(last - F.lit(hi_s))})
-    return clipped.where(begin <= last).drop("_day", "_r")
+    return clipped.where(begin <= last).drop("_day", "_same", "_at")
 
 
 def between_dates(df: DataFrame, start: datetime | str, end: datetime | str) -> DataFrame:

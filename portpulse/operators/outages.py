@@ -78,19 +78,34 @@ def outside_outages(log: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def synthetic_rows(ports: DataFrame, windows: DataFrame) -> DataFrame:
-    """Two rows per port and window: back online, and gone ``Missing``."""
+    """Two rows per port and window: back online, and gone ``Missing``.
+
+    ``_times`` is passed on, where the windows have it.
+    """
+    more = [c for c in windows.columns if c == "_times"]
     pairs = ports.join(windows, "cpo_name")
     edges = F.array(
         F.struct(F.lit(None).cast("string").alias("status"), F.col("online_timestamp").alias("t")),
         F.struct(F.lit(MISSING).alias("status"), F.col("offline_timestamp").alias("t")),
     )
-    return pairs.select(*CPO_PORT, F.explode(edges).alias("_e")).select(
-        *CPO_PORT, F.col("_e.status").alias("status"), F.col("_e.t").alias("update_time")
+    return pairs.select(*CPO_PORT, *more, F.explode(edges).alias("_e")).select(
+        *CPO_PORT, F.col("_e.status").alias("status"), F.col("_e.t").alias("update_time"), *more
     )
 
 
+def repeated(rows: DataFrame) -> DataFrame:
+    """Each row as many times as its ``_times`` says."""
+    columns = [c for c in rows.columns if c != "_times"]
+    return rows.select(*columns, F.explode(F.array_repeat(F.lit(0), F.col("_times").cast("int"))).alias("_i")).select(*columns)
+
+
 def with_outage_rows(log: DataFrame, windows: DataFrame) -> DataFrame:
-    """The log without rows inside outages, plus the synthetic rows.
+    """The log without rows inside outages, plus the synthetic rows of each window."""
+    return repeated(counted_outage_rows(log, windows))
+
+
+def counted_outage_rows(log: DataFrame, windows: DataFrame) -> DataFrame:
+    """:func:`with_outage_rows` with equal windows taken once; ``_times`` tells how often they came.
 
     The status at ``online`` is the last one known before the outage. To find it,
     the port's rows are first reduced to the last one of each minute, split at any
@@ -98,6 +113,8 @@ def with_outage_rows(log: DataFrame, windows: DataFrame) -> DataFrame:
     of rows bounded by the length of the period, however chatty a port is. Log rows
     themselves never enter a window.
     """
+    once = F.lit(1).cast("bigint").alias("_times")
+    windows = settle(windows.groupBy(*windows.columns).agg(F.count(F.lit(1)).alias("_times")))
     # Read for its ports, for the last known statuses and for its rows.
     kept = settle(outside_outages(log, windows))
     ports = kept.select(*CPO_PORT).distinct()
@@ -118,7 +135,7 @@ def with_outage_rows(log: DataFrame, windows: DataFrame) -> DataFrame:
             F.max_by("status", F.struct("update_time", "status")).alias("status"),
             F.max("update_time").alias("update_time"),
         )
-        .select(*CPO_PORT, "status", "update_time", F.lit(False).alias("_added"))
+        .select(*CPO_PORT, "status", "update_time", once, F.lit(False).alias("_added"))
     )
     back = synthetic.where(F.col("status").isNull()).withColumn("_added", F.lit(True))
     upto = (
@@ -133,4 +150,5 @@ def with_outage_rows(log: DataFrame, windows: DataFrame) -> DataFrame:
         .drop("_added")
     )
     gone = synthetic.where(F.col("status") == MISSING)
-    return kept.select(*CPO_PORT, "status", "update_time").unionByName(filled).unionByName(gone)
+    logged = kept.select(*CPO_PORT, "status", "update_time", once)
+    return logged.unionByName(filled).unionByName(gone)

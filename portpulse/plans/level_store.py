@@ -49,7 +49,7 @@ class LevelStore:
             local = metrics.local_between_dates(metrics.dashboard_names(fact), *bounds)
             areas = local.select(*_AREA, "interval")
         level = metrics.evse_level(local, self.statuses, ["state"])
-        replace_label(level, f"{self.path}/level", label, _LAYOUT, "state")
+        replace_label(level, f"{self.path}/level", label, _LAYOUT, None)
         replace_label(areas.distinct(), f"{self.path}/areas", label, _LAYOUT, "state")
 
     def load(self, start: datetime | str, end: datetime | str, state: str | None = None) -> DataFrame:

@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from portpulse.operators import outages
+from portpulse.operators import durations, outages
 
 A = ("E", "P", "A")
 
@@ -85,3 +85,17 @@ def test_status_before_online_in_its_own_minute(make_log, make_windows):
     windows = make_windows([("A", t("02:00:10"), t("02:00:30"))])
     rows = outages.with_outage_rows(log, windows).where("update_time = timestamp_ntz'2024-01-01 02:00:30'")
     assert [r.status for r in rows.collect()] == ["Finishing"]
+
+
+def test_equal_windows_are_worked_on_once_and_give_their_rows_each(make_log, make_windows):
+    log = make_log([(*A, "Charging", t("00:10:00")), (*A, "Available", t("03:00:00")), ("E", "Q", "A", "Reserved", t("00:20:00"))])
+    windows = [("A", t("01:00:00"), t("02:00:00"))] * 3 + [("A", t("01:30:00"), t("02:00:00"))]
+    counted = outages.counted_outage_rows(log, make_windows(windows))
+    assert counted.count() == 3 + 2 * 2 * 2  # the log, and two rows for each port and different window
+    rows = outages.with_outage_rows(log, make_windows(windows))
+    assert rows.count() == 3 + 2 * 2 * 4
+    back = sorted((r.evse_port_id, r.status) for r in rows.where("update_time = timestamp_ntz'2024-01-01 02:00:00'").collect())
+    assert back == [("P", "Charging")] * 4 + [("Q", "Reserved")] * 4
+    lo, hi = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    each = sorted(map(str, durations.all_amended_events(rows, lo, hi).collect()))
+    assert each == sorted(map(str, durations.all_amended_events(counted, lo, hi).collect()))
