@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from portpulse.functions.clock import (
     bucket_second,
     epoch_micro,
+    epoch_second,
     from_epoch_second,
     ntz,
     seconds_of,
@@ -254,10 +255,17 @@ def status_of(code: Column, statuses: Sequence[str]) -> Column:
     return F.element_at(F.lit(list(statuses)), (code + 1).cast("int"))
 
 
-def status_durations(rows: DataFrame, statuses: Sequence[str] = STATUSES) -> DataFrame:
-    """Observed seconds per port, bucket and status (no fill)."""
+def status_durations(
+    rows: DataFrame, statuses: Sequence[str] = STATUSES, as_runs: bool = False
+) -> DataFrame:
+    """Observed seconds per port, bucket and status (no fill).
+
+    ``as_runs`` leaves equal buckets one run: ``_from`` and ``_to`` instead of ``update_time``.
+    """
     shown = F.array(*[F.struct(F.lit(s).alias("status"), F.col(s).alias("status_duration")) for s in statuses])
     observed = runs(rows, statuses).withColumn("_s", F.filter(shown, lambda r: r["status_duration"] > 0))
+    if as_runs:
+        return observed.select(*PORT_KEYS, "_from", "_to", F.inline("_s"))
     half_hours = unrolled(observed, [*PORT_KEYS, "update_time", "_s"])
     return half_hours.select(*PORT_KEYS, "update_time", F.inline("_s"))
 
@@ -322,6 +330,12 @@ def unrolled(runs: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.withColumn("update_time", from_epoch_second(F.col("_bucket"))).select(*columns)
 
 
+def runs_of_half_hours(fact: DataFrame) -> DataFrame:
+    """Each half hour (``update_time``) as a run of its own."""
+    second = epoch_second(F.col("update_time"))
+    return fact.where(F.col("update_time").isNotNull()).withColumns({"_from": second, "_to": second}).drop("update_time")
+
+
 def is_runs(fact: DataFrame) -> bool:
     """Does a row stand for a run of equal half hours (``_from`` to ``_to``), not for one?"""
     return {"_from", "_to"} <= set(fact.columns)
@@ -350,6 +364,27 @@ def by_day(runs: DataFrame) -> DataFrame:
     )
 
 
+#: The place of a second among the half hours of its ``_day``.
+SLOT = f"cast((%s - _day) div {BUCKET_SECONDS} AS int)"
+
+
+def day_bits() -> Column:
+    """The half hours of a run that lies in one ``_day``, as bits from the lowest."""
+    return F.expr(f"shiftleft(shiftleft(1L, {SLOT % '_to'} - {SLOT % '_from'} + 1) - 1L, {SLOT % '_from'})")
+
+
+def runs_of_bits() -> Column:
+    """The half hours told by the ``_bits`` of a ``_day``, as an array of runs."""
+    slots = "sequence(0, 47)"
+    begins, ends = "_bits & ~shiftleft(_bits, 1)", "_bits & ~shiftrightunsigned(_bits, 1)"
+
+    def moments(bits: str) -> str:
+        set_bits = f"filter({slots}, s -> bit_get({bits}, s) = 1)"
+        return f"transform({set_bits}, s -> _day + cast(s * {BUCKET_SECONDS} AS bigint))"
+
+    return F.expr(f"zip_with({moments(begins)}, {moments(ends)}, (b, e) -> named_struct('_from', b, '_to', e))")
+
+
 def dense_columns(statuses: Sequence[str]) -> list[str]:
     return [*PORT_KEYS, "update_time", *[s for s in statuses if s != UNKNOWN], UNKNOWN, TOTAL]
 

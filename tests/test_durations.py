@@ -279,3 +279,12 @@ def test_what_is_summed_follows_the_stretches(make_log):
     result = dense(log)
     assert len(result) == 12 and total(observed(log), "Charging") == 16200
     assert all(r["Available"] + r["Charging"] == r["Total"] == 1800 for r in result.values())
+
+
+def test_status_durations_as_runs(make_log):
+    log = make_log([(*PORT, "Available", "2023-12-31 23:00:00"), (*PORT, "Charging", day("01:10:10")), (*PORT, "Reserved", day("04:00:40"))])
+    rows = timeline(log)
+    runs = durations.status_durations(rows, as_runs=True)
+    assert runs.count() == 6  # one line per run and status, one half hour has two
+    half_hours = durations.unrolled(runs, [*durations.PORT_KEYS, "update_time", "status", "status_duration"])
+    assert sorted(half_hours.collect()) == sorted(durations.status_durations(rows).collect())
