@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from portpulse.functions.clock import from_epoch_second
+from portpulse.functions.clock import epoch_second, from_epoch_second
 from portpulse.functions.rates import metric_seconds, percent, rate
 from portpulse.functions.scale import all_not_null
-from portpulse.operators.durations import is_runs
+from portpulse.operators.durations import half_hours, is_runs
 from portpulse.operators.metrics import SITE_PORT_COUNT
 from portpulse.functions.scale import settle
 from portpulse.schema import (
@@ -53,18 +53,22 @@ def snapshot(
     ``value`` is the number of ports at the latest interval, ``evse_port_site_count``
     its sum over time. Both levels and the port count come from one aggregation over
     grouping sets, after the rows of a group have been summed. ``latest`` may come from
-    the table the sites were made of, which saves making them twice.
+    the table the sites were made of, which saves making them twice. ``sites`` has half hours,
+    or runs that add up to them (``metrics.site_runs``), which count for as many.
     """
     groups = list(groups)
     others = [g for g in groups if g != "cpo_name"]
     values = [*statuses, TOTAL, SITE_PORT_COUNT]
     latest = latest_interval(sites) if latest is None else latest
+    times, at_latest = F.lit(1), F.col("interval") == latest
+    if is_runs(sites):
+        times, at_latest = half_hours(), epoch_second(latest).between(F.col("_from"), F.col("_to"))
     base = (
         sites.where(all_not_null(groups))
         .groupBy(*groups)
         .agg(
-            *[F.sum(v).alias(v) for v in values],
-            F.sum(F.when(F.col("interval") == latest, F.col(SITE_PORT_COUNT))).alias("value"),
+            *[F.sum(F.col(v) * times).alias(v) for v in values],
+            F.sum(F.when(at_latest, F.col(SITE_PORT_COUNT))).alias("value"),
         )
     )
     sets = base.groupingSets([[F.col(g) for g in groups], [F.col(g) for g in others]], *[F.col(g) for g in groups])

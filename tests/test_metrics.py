@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from portpulse.functions.clock import local_time, local_time_between
 from portpulse.operators import metrics, privacy, report, stats
 from portpulse.plans import monthly
-from portpulse.schema import STATUSES, TOTAL
+from portpulse.schema import EVSE_KEYS, STATUSES, TOTAL
 
 
 def evse(spark, rows):
@@ -241,3 +241,41 @@ def test_local_runs_have_the_half_hours_of_local_time(some_runs, bounds):
     runs = metrics.local_runs(some_runs, *bounds)
     assert lines(metrics.dashboard_names(monthly.half_hourly(runs)).select(*local.columns)) == lines(local)
     assert lines(metrics.evse_level(runs, more_keys=["state"])) == lines(metrics.evse_level(local, more_keys=["state"]))
+
+
+@pytest.mark.parametrize("interval", ["30min", "1440min", "10080min", "ME"])
+def test_rollup_of_runs_is_that_of_their_half_hours(some_runs, interval):
+    """Ports that come and go, absent cells and overlapping runs make days that have no one port count."""
+    absent = F.when(F.pmod(F.hash("evse_port_id", "_from"), F.lit(5)) != 0, F.col("Charging"))
+    for fact in (some_runs, some_runs.withColumn("Charging", absent)):
+        runs, level = metrics.evse_runs(fact), metrics.evse_level(fact)
+        for keys in (["cpo_name"], metrics.SITE_ROLLUP, []):
+            assert lines(metrics.rollup(runs, keys, interval)) == lines(metrics.rollup(level, keys, interval))
+
+
+def test_days_of_one_port_count_are_rolled_up_without_half_hours(some_runs):
+    """A dense table: every port has all half hours."""
+    day = 86_400 - 1800
+    begin = int((datetime(2024, 4, 4) - datetime(1970, 1, 1)).total_seconds())
+    dense = some_runs.where("evse_port_id IS NOT NULL").limit(20).withColumns({"_from": F.lit(begin).cast("bigint"), "_to": F.lit(begin + 3 * day).cast("bigint")})
+    runs, level = metrics.evse_runs(dense), metrics.evse_level(dense)
+    rolled = metrics.rollup(runs, ["cpo_name"], "1440min")
+    assert lines(rolled) == lines(metrics.rollup(level, ["cpo_name"], "1440min"))
+    # the days are stored, nothing is left to unroll
+    assert "unionall" not in rolled._jdf.queryExecution().optimizedPlan().toString().lower().replace(" ", "")
+    assert "left_semi" not in rolled._jdf.queryExecution().optimizedPlan().toString().lower().replace("leftsemi", "left_semi")
+
+
+def test_snapshot_of_runs_is_that_of_their_half_hours(some_runs):
+    runs, sites = metrics.site_runs(some_runs), metrics.site_level(some_runs)
+    for groups in (["lga_name", "cpo_name"], ["cpo_name"], ["cpo_name", "lga_name", "government_funded"]):
+        assert lines(report.snapshot(runs, groups)) == lines(report.snapshot(sites, groups))
+    # seconds are summed where they are read: only ports are dealt, and groups
+    plan = report.snapshot(runs, ["cpo_name"], F.lit("2024-04-05").cast("timestamp_ntz"))._jdf.queryExecution().executedPlan().toString()
+    assert "_at" not in plan
+
+
+def test_level_of_runs(some_runs):
+    keys = [*EVSE_KEYS, "state"]
+    got = metrics.level_of_runs(metrics.evse_runs(some_runs, more_keys=["state"]), keys, "evse_id", metrics.PORT_COUNT)
+    assert lines(got) == lines(metrics.evse_level(some_runs, more_keys=["state"]).select(*got.columns))

@@ -5,12 +5,14 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from portpulse.operators import metrics, sessions
+from portpulse.operators import durations, metrics, report, sessions
 from portpulse.operators.privacy import LabelStore
+from portpulse.plans import catalog
 from portpulse.plans.count_store import CountStore
 from portpulse.plans.level_store import LevelStore
 from portpulse.plans.monthly import Period
 from portpulse.schema import STATUSES, TOTAL
+from portpulse.sources import writers
 
 MAY, JUNE = Period("2024-05-01", "2024-05-31"), Period("2024-06-01", "2024-06-30")
 
@@ -158,3 +160,38 @@ def test_streamed_sessions_are_given_out_once_they_are_over(spark, tmp_path):
     start = datetime(2024, 5, 31, 23)
     hour = timedelta(hours=1)
     assert got == [("P1", start, 600), ("P1", start + 2 * hour, 400), ("P2", start + hour / 2, 10), ("P2", start + 1.5 * hour, 20)]
+
+
+def test_what_is_stored_and_summed_stays_runs(spark, monkeypatch):
+    """The fact table, the charger level and the residual of the catalogue hold no row per half hour."""
+    seen = {}
+
+    def noted(owner, name, of):
+        called = getattr(owner, name)
+
+        def note(*args, **kwargs):
+            seen.setdefault(name, []).append(durations.is_runs(args[of]))
+            return called(*args, **kwargs)
+
+        monkeypatch.setattr(owner, name, note)
+
+    noted(writers, "write_fact", 0)
+    noted(LevelStore, "replace", 1)
+    noted(metrics, "rollup", 0)
+    noted(durations, "fill_residual", 0)
+    noted(report, "snapshot", 0)
+    for name in ("fact_two_periods", "rollup_after_rerun", "residual_unknown_total", "area_distribution"):
+        catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert set(seen) == {"write_fact", "replace", "rollup", "fill_residual", "snapshot"}
+    assert all(all(found) for found in seen.values())
+
+
+def test_level_store_takes_runs_and_half_hours(spark, make_fact, tmp_path):
+    halves = make_fact(MAY_ROWS)
+    stores = [LevelStore(spark, str(tmp_path / name)) for name in ("halves", "runs")]
+    stores[0].replace(halves, MAY)
+    stores[1].replace(durations.runs_of_half_hours(halves), MAY)
+    got = [sorted(map(str, s.load("2024-05-01", "2024-05-31").collect())) for s in stores]
+    assert got[0] == got[1] and len(got[0]) == 2
+    runs = stores[0].load_runs("2024-05-01", "2024-05-31")
+    assert durations.is_runs(runs) and runs.agg(F.sum("evse_port_count")).first()[0] == 3
