@@ -288,3 +288,24 @@ def test_status_durations_as_runs(make_log):
     assert runs.count() == 6  # one line per run and status, one half hour has two
     half_hours = durations.unrolled(runs, [*durations.PORT_KEYS, "update_time", "status", "status_duration"])
     assert sorted(half_hours.collect()) == sorted(durations.status_durations(rows).collect())
+
+
+def test_durations_need_no_edges_of_outages_that_overlap(make_log, make_windows):
+    """Nested, touching, repeated and inverted windows, whose ends partly change no status."""
+    rng = random.Random(11)
+
+    def moment():
+        return str(LO + timedelta(seconds=rng.randrange(6 * 3600)))
+
+    log = [("E", f"P{p}", rng.choice("AB"), rng.choice(REPORTED_STATUSES), "2023-12-31 23:00:00") for p in range(6)]
+    cpo = {p: c for _, p, c, _, _ in log}
+    log += [("E", p, cpo[p], rng.choice(REPORTED_STATUSES), moment()) for p in sorted(cpo) for _ in range(25)]
+    windows = [(c, *rng.sample([moment(), moment()], 2)) for c in "AB" for _ in range(6)]
+    windows += [("A", day("02:00:00"), day(f"0{h}:{m:02}:00")) for h in (2, 3) for m in range(5, 60, 5)]
+    windows += [("A", log[8][4], day("05:30:00")), ("B", day("05:00:00"), None), ("B", day("05:10:20"), log[-1][4])]
+    log, windows = make_log(log), make_windows(windows)
+    every, telling = (timeline(log, windows, every_edge=e) for e in (True, False))
+    assert telling.count() < every.count() / 1.2
+    got = [sorted(map(str, durations.dense_durations(rows, LO).collect())) for rows in (every, telling)]
+    assert got[0] == got[1]
+    assert len(got[0]) == 12 * 6
